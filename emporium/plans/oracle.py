@@ -110,7 +110,7 @@ def cte(name: str, sql: str) -> None:
     CTES[name] = sql
 
 
-for _e in ["orders", "order_items", "payments", "customers", "customers_batch2",
+for _e in ["orders", "orders_batch1", "orders_batch2", "customers_batch1", "order_items", "payments", "customers", "customers_batch2",
            "products", "sellers", "geolocation", "clickstream"]:
     cte(f"bronze_{_e}", bronze_sql(_e))
 
@@ -122,16 +122,26 @@ FROM bronze_orders""")
 cte("order_rejects_t", f"""SELECT *, CASE WHEN order_id IS NULL THEN 'null_order_id'
   WHEN order_status IS NULL OR order_status NOT IN ({_q(lookups.ORDER_STATUSES)}) THEN 'invalid_status' END AS reject_reason
 FROM typed_orders""")
-cte("orders_dedup", _dedup("(SELECT * EXCLUDE (reject_reason) FROM order_rejects_t WHERE reject_reason IS NULL)",
-                           ["order_id"], ["order_purchase_timestamp", "customer_id", "order_status",
-                                          *ORDER_TS[1:]]))
-cte("silver_orders", f"""SELECT *, CAST(delivery_seconds AS DOUBLE) / 86400.0 AS delivery_days,
+def silver_orders_sql(src: str = "bronze_orders", batch_ts: str = BATCH_TS) -> str:
+    typed = f"""SELECT trim(order_id) AS order_id, trim(customer_id) AS customer_id,
+  trim(upper(order_status)) AS order_status,
+  {", ".join(f"TRY_CAST(trim({c}) AS TIMESTAMP) AS {c}" for c in ORDER_TS)}
+FROM {src}"""
+    valid = (f"({typed}) WHERE order_id IS NOT NULL AND order_status IN ({_q(lookups.ORDER_STATUSES)})")
+    ded = _dedup(f"(SELECT * FROM {valid})", ["order_id"],
+                 ["order_purchase_timestamp", "customer_id", "order_status", *ORDER_TS[1:]])
+    return f"""SELECT *, CAST(delivery_seconds AS DOUBLE) / 86400.0 AS delivery_days,
   coalesce(order_delivered_customer_date > order_estimated_delivery_date, false) AS is_late_delivery,
-  {BATCH_TS} AS ingestion_timestamp, 'orders' AS source_system,
+  {batch_ts} AS ingestion_timestamp, 'orders' AS source_system,
   {hash_sql(["order_id", "customer_id", "order_status", *ORDER_TS])} AS record_hash
 FROM (SELECT *, CASE WHEN order_delivered_customer_date IS NOT NULL AND order_purchase_timestamp IS NOT NULL
   THEN date_diff('second', order_purchase_timestamp, order_delivered_customer_date) END AS delivery_seconds
-  FROM orders_dedup)""")
+  FROM ({ded}))"""
+
+
+cte("silver_orders", silver_orders_sql())
+cte("orders_b1", silver_orders_sql("bronze_orders_batch1"))
+cte("orders_b2", silver_orders_sql("bronze_orders_batch2", "TIMESTAMP '2024-02-01 00:00:00'"))
 
 # ---------------------------------------------------------------- silver customers
 _CUST_COLS = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
@@ -149,6 +159,7 @@ FROM {src} WHERE trim(customer_id) IS NOT NULL"""
 
 
 cte("silver_customers", _silver_customers("bronze_customers"))
+cte("silver_customers_b1", _silver_customers("bronze_customers_batch1"))
 cte("silver_customers_b2", _silver_customers("bronze_customers_batch2"))
 
 # ---------------------------------------------------------------- silver products
@@ -286,3 +297,58 @@ def with_ctes(select: str) -> str:
         return select
     body = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in need)
     return f"WITH {body}\n{select}"
+
+
+# ---------------------------------------------------------------- history (SCD2, upsert)
+def _cust_inc(src: str) -> str:
+    ded = _dedup(f"(SELECT customer_unique_id, customer_id, customer_city, customer_state, "
+                 f"customer_zip_code_prefix FROM {src})", ["customer_unique_id"],
+                 ["customer_id", "customer_city", "customer_state", "customer_zip_code_prefix"])
+    return f"SELECT *, {hash_sql(['customer_city', 'customer_state', 'customer_zip_code_prefix'])} AS record_hash FROM ({ded})"
+
+
+cte("cust_inc_1", _cust_inc("silver_customers_b1"))
+cte("cust_inc_2", _cust_inc("silver_customers_b2"))
+_INC = ["customer_unique_id", "customer_id", "customer_city", "customer_state", "customer_zip_code_prefix",
+        "record_hash"]
+_T1, _T2, _OPEN = "1990-01-01 00:00:00", "1998-01-01 00:00:00", "9999-12-31 00:00:00"
+
+
+def _scd_initial(open_end: str | None) -> str:
+    vt = f"TIMESTAMP '{open_end}'" if open_end else "CAST(NULL AS TIMESTAMP)"
+    return (f"SELECT {skey('customer_unique_id', repr(_T1))} AS customer_sk, {', '.join(_INC)}, "
+            f"true AS is_current, TIMESTAMP '{_T1}' AS valid_from, {vt} AS valid_to FROM cust_inc_1")
+
+
+def _scd_apply(hist: str, open_end: str | None) -> str:
+    vt = f"TIMESTAMP '{open_end}'" if open_end else "CAST(NULL AS TIMESTAMP)"
+    changed = "(i.customer_unique_id IS NOT NULL AND c.record_hash IS DISTINCT FROM i.record_hash)"
+    return f"""SELECT * FROM {hist} WHERE NOT is_current
+UNION ALL
+SELECT c.customer_sk, {', '.join('c.' + x for x in _INC)},
+  (NOT {changed}) AND c.is_current AS is_current, c.valid_from,
+  CASE WHEN {changed} THEN TIMESTAMP '{_T2}' ELSE c.valid_to END AS valid_to
+FROM (SELECT * FROM {hist} WHERE is_current) c LEFT JOIN cust_inc_2 i ON c.customer_unique_id = i.customer_unique_id
+UNION ALL
+SELECT {skey('i.customer_unique_id', repr(_T2))} AS customer_sk, {', '.join('i.' + x for x in _INC)},
+  true AS is_current, TIMESTAMP '{_T2}' AS valid_from, {vt} AS valid_to
+FROM cust_inc_2 i LEFT JOIN (SELECT * FROM {hist} WHERE is_current) c ON c.customer_unique_id = i.customer_unique_id
+WHERE c.customer_unique_id IS NULL OR c.record_hash IS DISTINCT FROM i.record_hash"""
+
+
+cte("dim_customers_initial", _scd_initial(None))
+cte("dim_customers", _scd_apply("dim_customers_initial", None))
+cte("dim_customers_initial_oe", _scd_initial(_OPEN))
+cte("dim_customers_oe", _scd_apply("dim_customers_initial_oe", _OPEN))
+
+_ORD_COLS = ["customer_id", "order_status", *ORDER_TS, "delivery_seconds", "delivery_days",
+             "is_late_delivery", "ingestion_timestamp", "source_system", "record_hash"]
+cte("orders_b2_clean", _dedup("(SELECT * FROM orders_b2 WHERE order_id IS NOT NULL)", ["order_id"], _ORD_COLS))
+_TAKE_S = ("(t.order_id IS NULL OR (s.order_id IS NOT NULL AND t.record_hash IS DISTINCT FROM s.record_hash))")
+cte("orders_upserted", f"""SELECT coalesce(t.order_id, s.order_id) AS order_id,
+  {", ".join(f"CASE WHEN {_TAKE_S} THEN s.{c} ELSE t.{c} END AS {c}" for c in _ORD_COLS)}
+FROM orders_b1 t FULL OUTER JOIN orders_b2_clean s ON t.order_id = s.order_id""")
+cte("orders_changeset", """SELECT coalesce(t.order_id, s.order_id) AS order_id,
+  CASE WHEN t.order_id IS NULL THEN 'insert' WHEN s.order_id IS NULL THEN 'target_only'
+       WHEN t.record_hash IS DISTINCT FROM s.record_hash THEN 'update' ELSE 'unchanged' END AS change_type
+FROM orders_b1 t FULL OUTER JOIN orders_b2_clean s ON t.order_id = s.order_id""")

@@ -86,8 +86,8 @@ def _spec(dialect: str) -> dict[str, dict]:
                 ("customer_state", "substr(r_name, 1, 2)"),
             ],
         },
-        # Second customer batch: every tenth customer moved to another city,
-        # and customers absent from batch 1 (id % 17 = 0) arrive.
+        # Second customer batch: all customers (those with a negative balance
+        # arrive for the first time) and every tenth one moved to another city.
         "customers_batch2": {
             "from": "customer",
             "geo": ("c_nationkey",),
@@ -165,7 +165,29 @@ def _spec(dialect: str) -> dict[str, dict]:
     }
 
 
-ENTITIES = ["orders", "order_items", "payments", "customers", "customers_batch2",
+def _with_batches(spec: dict[str, dict]) -> dict[str, dict]:
+    """Load batches used by the upsert / SCD scenarios.
+
+    Orders arrive in two overlapping date windows: batch 1 holds purchases
+    before 2000, batch 2 purchases from 1999 on, where open (shipped) orders
+    of batch 1 have since been delivered. Customers with a negative account
+    balance are onboarded only in the second customer batch.
+    """
+    o = spec["orders"]
+    b2 = []
+    for name, expr in o["cols"]:
+        if name == "order_status":
+            expr = expr.replace("WHEN o_orderstatus = 'F' THEN", "WHEN o_orderstatus IN ('F', 'O') THEN")
+        if name == "order_delivered_customer_date":
+            expr = expr.replace("WHEN o_orderstatus = 'F'", "WHEN o_orderstatus IN ('F', 'O')")
+        b2.append((name, expr))
+    spec["orders_batch1"] = {**o, "where": "o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"}
+    spec["orders_batch2"] = {**o, "cols": b2, "where": "o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'"}
+    spec["customers_batch1"] = {**spec["customers"], "where": "c_acctbal >= 0"}
+    return spec
+
+
+ENTITIES = ["orders", "orders_batch1", "orders_batch2", "customers_batch1", "order_items", "payments", "customers", "customers_batch2",
             "products", "sellers", "geolocation", "clickstream"]
 
 
@@ -178,9 +200,11 @@ def _geo_join(t: Tables, df: DataFrame, key: str) -> DataFrame:
 
 def bronze(spark: SparkSession, base: str, entity: str) -> DataFrame:
     """Bronze DataFrame for ``entity`` built from the tables under ``base``."""
-    spec = _spec("spark")[entity]
+    spec = _with_batches(_spec("spark"))[entity]
     t = Tables(spark, base)
     src = getattr(t, spec["from"])
+    if "where" in spec:
+        src = src.filter(spec["where"])
     if "geo" in spec:
         src = _geo_join(t, src, spec["geo"][0])
     return src.selectExpr(*[f"{expr} AS {name}" for name, expr in spec["cols"]])
@@ -188,9 +212,11 @@ def bronze(spark: SparkSession, base: str, entity: str) -> DataFrame:
 
 def bronze_sql(entity: str) -> str:
     """The same entity as DuckDB SQL over the pre-registered source views."""
-    spec = _spec("duckdb")[entity]
+    spec = _with_batches(_spec("duckdb"))[entity]
     cols = ",\n  ".join(f"{expr} AS {name}" for name, expr in spec["cols"])
     src = spec["from"]
+    if "where" in spec:
+        src = f"(SELECT * FROM {src} WHERE {spec['where']})"
     if "geo" in spec:
         src = (f"{src} LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) "
                f"ON {spec['geo'][0]} = n_nationkey")
