@@ -221,6 +221,11 @@ class Gold:
     def dim_sellers(self):
         return self._memo("dim_sellers", lambda: dim_sellers(self.silver.raw("sellers")))
 
+    @property
+    def dim_customers(self):
+        from emporium.plans.history import dim_customers
+        return self._memo("dim_customers", lambda: dim_customers(self.spark, self.base))
+
     @property
     def fact_order_items(self):
         return self._memo("fact_order_items",

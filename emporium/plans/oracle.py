@@ -352,3 +352,17 @@ cte("orders_changeset", """SELECT coalesce(t.order_id, s.order_id) AS order_id,
   CASE WHEN t.order_id IS NULL THEN 'insert' WHEN s.order_id IS NULL THEN 'target_only'
        WHEN t.record_hash IS DISTINCT FROM s.record_hash THEN 'update' ELSE 'unchanged' END AS change_type
 FROM orders_b1 t FULL OUTER JOIN orders_b2_clean s ON t.order_id = s.order_id""")
+
+
+def avg_days(col: str = "delivery_seconds") -> str:
+    return f"(CAST(SUM({col}) AS DOUBLE) / CAST(NULLIF(COUNT({col}), 0) AS DOUBLE) / 86400.0)"
+
+
+def value_segment_case(ltv: str) -> str:
+    whens = " ".join(f"WHEN {ltv} > {b} THEN '{label}'" for b, label in lookups.VALUE_SEGMENTS)
+    return f"CASE {whens} ELSE '{lookups.VALUE_SEGMENT_LOW}' END"
+
+
+cte("dim_customers_current", "SELECT * FROM dim_customers WHERE is_current")
+cte("primary_product", """SELECT order_id, arg_min(product_id, order_item_id) AS primary_product_id
+FROM silver_order_items GROUP BY order_id""")
