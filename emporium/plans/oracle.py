@@ -366,3 +366,13 @@ def value_segment_case(ltv: str) -> str:
 cte("dim_customers_current", "SELECT * FROM dim_customers WHERE is_current")
 cte("primary_product", """SELECT order_id, arg_min(product_id, order_item_id) AS primary_product_id
 FROM silver_order_items GROUP BY order_id""")
+
+
+def checks_sql(label: str, src: str, checks: dict[str, str]) -> str:
+    """One aggregate over ``src`` unpivoted into report rows."""
+    cols = ", ".join(f"{expr} AS {name}" for name, expr in checks.items())
+    agg = f"(SELECT COUNT(*) AS total_rows, {cols} FROM {src})"
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{label}' AS "table", '{name}' AS "check", CAST({name} AS BIGINT) AS failed_rows,
+  CAST(total_rows AS BIGINT) AS total_rows, {name} = 0 AS passed FROM {agg}"""
+        for name in checks)
