@@ -376,3 +376,13 @@ def checks_sql(label: str, src: str, checks: dict[str, str]) -> str:
         f"""SELECT '{label}' AS "table", '{name}' AS "check", CAST({name} AS BIGINT) AS failed_rows,
   CAST(total_rows AS BIGINT) AS total_rows, {name} = 0 AS passed FROM {agg}"""
         for name in checks)
+
+
+# ---------------------------------------------------------------- clickstream
+cte("clicks", "SELECT *, TRY_CAST(event_timestamp AS TIMESTAMP) AS event_ts FROM bronze_clickstream")
+cte("click_minutes", """SELECT time_bucket(INTERVAL '1 minute', event_ts) AS window_start,
+  time_bucket(INTERVAL '1 minute', event_ts) + INTERVAL '1 minute' AS window_end,
+  event_type, device_type, CAST(COUNT(*) AS BIGINT) AS event_count,
+  CAST(COUNT(user_id) AS BIGINT) AS unique_sessions,
+  CAST(COUNT(DISTINCT session_id) AS BIGINT) AS distinct_sessions
+FROM clicks GROUP BY ALL""")
