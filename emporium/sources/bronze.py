@@ -223,8 +223,20 @@ def bronze_sql(entity: str) -> str:
     return f"SELECT\n  {cols}\nFROM {src}"
 
 
+def shape(src: DataFrame, entity: str) -> DataFrame:
+    """Apply an entity's Bronze projection to an already loaded (static or
+    streaming) source DataFrame; joins are not supported here."""
+    spec = _with_batches(_spec("spark"))[entity]
+    if "where" in spec:
+        src = src.filter(spec["where"])
+    return src.selectExpr(*[f"{expr} AS {name}" for name, expr in spec["cols"]])
+
+
+def as_json_messages(df: DataFrame) -> DataFrame:
+    """Rows as broker messages: a key and one JSON text body per row."""
+    return df.select(F.col("event_id").alias("key"), F.to_json(F.struct(*df.columns)).alias("body"))
+
+
 def clickstream_json(spark: SparkSession, base: str) -> DataFrame:
     """Clickstream as the broker delivers it: one JSON text body per event."""
-    df = bronze(spark, base, "clickstream")
-    return df.select(F.col("event_id").alias("key"),
-                     F.to_json(F.struct(*df.columns)).alias("body"))
+    return as_json_messages(bronze(spark, base, "clickstream"))
