@@ -186,16 +186,23 @@ def fact_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 class Gold:
-    """Lazily built Gold tables over one source folder."""
+    """Gold tables over one source folder (lazy, or materialized with a store)."""
 
-    def __init__(self, spark: SparkSession, base: str, silver: Silver | None = None):
-        self.spark, self.base = spark, base
-        self.silver = silver or Silver(spark, base)
+    def __init__(self, spark: SparkSession, base: str, silver: Silver | None = None, store=None):
+        self.spark, self.base, self.store = spark, base, store
+        self.silver = silver or Silver(spark, base, store=store)
         self._t: dict[str, DataFrame] = {}
 
+    # Tables whose files are ordered by a key, so min/max statistics prune
+    # scans filtered on it (the date key for facts).
+    _SORT = {"fact_orders": ["order_date_key"], "fact_order_items": ["order_date_key"]}
+
     def _memo(self, name, fn):
         if name not in self._t:
-            self._t[name] = fn()
+            df = fn()
+            if self.store is not None:
+                df = self.store.persist("gold/" + name, df, self._SORT.get(name))
+            self._t[name] = df
         return self._t[name]
 
     @property

@@ -53,20 +53,22 @@ def dim_customers(spark, sf, open_end=None) -> DataFrame:
                           CHANGE_TS, sk="customer_sk", open_end=open_end)
 
 
-def orders_asof_customer(spark, sf) -> DataFrame:
+def orders_asof_customer(spark, sf, gold=None) -> DataFrame:
     """Each order with the customer's address valid at purchase time."""
-    s = Silver(spark, sf)
+    s = gold.silver if gold is not None else Silver(spark, sf)
     facts = s.orders.join(s.customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
     facts = facts.select("order_id", "customer_unique_id", "order_purchase_timestamp")
-    versions = dim_customers(spark, sf).select(
+    dim = gold.dim_customers if gold is not None else dim_customers(spark, sf)
+    versions = dim.select(
         "customer_unique_id", "customer_sk", "customer_city", "customer_state", "valid_from", "valid_to")
     j = scd.asof_lookup(facts, versions, "customer_unique_id", "order_purchase_timestamp")
     return j.select("order_id", "customer_unique_id", "order_purchase_timestamp",
                     "customer_sk", "customer_city", "customer_state")
 
 
-def customer_type3(spark, sf) -> DataFrame:
-    return scd.scd3_previous(dim_customers(spark, sf), "customer_unique_id", ["customer_city"])
+def customer_type3(spark, sf, gold=None) -> DataFrame:
+    dim = gold.dim_customers if gold is not None else dim_customers(spark, sf)
+    return scd.scd3_previous(dim, "customer_unique_id", ["customer_city"])
 
 
 def orders_batches(spark, sf) -> tuple[DataFrame, DataFrame]:

@@ -16,11 +16,32 @@ def table_path(base: str, name: str) -> str:
     return single if "://" in base or os.path.exists(single) else os.path.join(base, name)
 
 
+# Fixed-size reference tables (a few dozen rows); never worth spreading.
+SMALL_REFERENCE_TABLES = {"region", "nation"}
+
+
+def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Give a scan at least one split per core.
+
+    A file written as a single row group is one scan task, which would run
+    every row-level step before the first shuffle (text parsing, validation,
+    hashing, partial aggregation) on one core. When the scan has fewer
+    splits than the cluster has cores it is round-robin spread once; at
+    scale (thousands of files / row groups) this is a no-op.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Scan one table; Catalyst prunes columns and pushes filters into it."""
     if fmt == "parquet":
-        return spark.read.parquet(table_path(base, name))
-    return spark.read.format(fmt).load(os.path.join(base, name))
+        df = spark.read.parquet(table_path(base, name))
+    else:
+        df = spark.read.format(fmt).load(os.path.join(base, name))
+    return df if name in SMALL_REFERENCE_TABLES else spread(df, spark)
 
 
 class Tables:
