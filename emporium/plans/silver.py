@@ -66,9 +66,9 @@ def order_rules(df: DataFrame):
 
 def silver_orders(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS) -> DataFrame:
     typed = typed_orders(raw)
-    good, _ = split_valid(typed, order_rules(typed))
     # Validate first, then de-duplicate: an invalid copy can never evict a valid one.
-    dedup = keep_first(good, ["order_id"], ["order_purchase_timestamp", "customer_id"])
+    dedup = keep_first(typed, ["order_id"], ["order_purchase_timestamp", "customer_id"],
+                       rejected=order_rules(typed).isNotNull())
     secs = F.when(F.col("order_delivered_customer_date").isNotNull()
                   & F.col("order_purchase_timestamp").isNotNull(),
                   seconds_between("order_purchase_timestamp", "order_delivered_customer_date"))
@@ -152,9 +152,9 @@ def payment_rules(df: DataFrame):
 
 def payment_details(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS) -> DataFrame:
     typed = typed_payments(raw)
-    good, _ = split_valid(typed, payment_rules(typed))
-    # (order_id, payment_sequential) is the key: one row per key.
-    dedup = keep_first(good, ["order_id", "payment_sequential"])
+    # (order_id, payment_sequential) is the key: one valid row per key.
+    dedup = keep_first(typed, ["order_id", "payment_sequential"],
+                       rejected=payment_rules(typed).isNotNull())
     return add_audit_columns(dedup, "payments", batch_ts)
 
 
@@ -202,9 +202,9 @@ def item_rules(df: DataFrame):
 
 def silver_order_items(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS) -> DataFrame:
     typed = typed_items(raw)
-    good, _ = split_valid(typed, item_rules(typed))
-    dedup = keep_first(good, ["order_id", "order_item_id"],
-                       ["product_id", "seller_id", "shipping_limit_date", "price", "freight_value"])
+    dedup = keep_first(typed, ["order_id", "order_item_id"],
+                       ["product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+                       rejected=item_rules(typed).isNotNull())
     enriched = dedup.withColumn("line_total_value", (F.col("price") + F.col("freight_value")).cast(MONEY))
     return add_audit_columns(enriched, "order_items", batch_ts)
 
