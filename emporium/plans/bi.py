@@ -152,7 +152,9 @@ def delivery_heatmap(fact: DataFrame, dim_customers: DataFrame, dim_geography: D
 
 def heatmap_wide(long: DataFrame) -> DataFrame:
     """The heatmap as a State x Month matrix (months 1..12 as columns)."""
-    return long.groupBy("state").pivot("month", list(range(1, 13))).agg(F.first("avg_delivery_days"))
+    # One (state, month) row each in the long form; the explicit month list
+    # makes this a single aggregation (no pass to discover pivot values).
+    return long.groupBy("state").pivot("month", list(range(1, 13))).agg(F.max("avg_delivery_days"))
 
 
 def top_customers(clv: DataFrame, n: int = 20) -> DataFrame:

@@ -71,42 +71,44 @@ def customer_type3(spark, sf, gold=None) -> DataFrame:
     return scd.scd3_previous(dim, "customer_unique_id", ["customer_city"])
 
 
-def orders_batches(spark, sf) -> tuple[DataFrame, DataFrame]:
+def orders_batches(spark, sf, silver=None) -> tuple[DataFrame, DataFrame]:
+    if silver is not None:
+        return silver.orders_batch(1), silver.orders_batch(2)
     target = silver_orders(bronze(spark, sf, "orders_batch1"))
     source = silver_orders(bronze(spark, sf, "orders_batch2"), batch_ts=BATCH2_TS)
     return target, source
 
 
-def upsert_orders(spark, sf) -> DataFrame:
-    t, s = orders_batches(spark, sf)
+def upsert_orders(spark, sf, silver=None) -> DataFrame:
+    t, s = orders_batches(spark, sf, silver)
     return upsert.upsert(t, s, ["order_id"])
 
 
-def upsert_changeset(spark, sf) -> DataFrame:
-    t, s = orders_batches(spark, sf)
+def upsert_changeset(spark, sf, silver=None) -> DataFrame:
+    t, s = orders_batches(spark, sf, silver)
     return upsert.change_set(t, s, ["order_id"])
 
 
-def orders_change_log(spark, sf) -> DataFrame:
+def orders_change_log(spark, sf, silver=None) -> DataFrame:
     """Version 1 = batch 1; version 2 = the rows batch 2 inserted or changed."""
-    t, s = orders_batches(spark, sf)
+    t, s = orders_batches(spark, sf, silver)
     changed = upsert.change_set(t, s, ["order_id"]).filter(F.col("change_type").isin("insert", "update"))
     v2 = upsert.clean_source(s, ["order_id"]).join(changed.select("order_id"), "order_id", "left_semi")
     return versioning.tag(t, 1).unionByName(versioning.tag(v2, 2))
 
 
-def snapshot_as_of(spark, sf) -> DataFrame:
+def snapshot_as_of(spark, sf, silver=None) -> DataFrame:
     """Both versions of the order table, read back from the change log."""
-    log = orders_change_log(spark, sf)
+    log = orders_change_log(spark, sf, silver)
     v1 = versioning.snapshot(log, ["order_id"], 1).withColumn("snapshot_version", F.lit(1))
     v2 = versioning.snapshot(log, ["order_id"], 2).withColumn("snapshot_version", F.lit(2))
     return v1.unionByName(v2).select("snapshot_version", "order_id", "order_status",
                                      "order_delivered_customer_date", "record_hash")
 
 
-def schema_evolution(spark, sf) -> DataFrame:
+def schema_evolution(spark, sf, silver=None) -> DataFrame:
     """Additive evolution: an older, narrower batch unioned with a wider one."""
-    t, s = orders_batches(spark, sf)
+    t, s = orders_batches(spark, sf, silver)
     old = t.drop("delivery_seconds", "delivery_days", "is_late_delivery")
     return old.unionByName(s, allowMissingColumns=True).select(
         "order_id", "order_status", "source_system", "ingestion_timestamp", "delivery_seconds",

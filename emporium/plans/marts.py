@@ -244,3 +244,13 @@ def revenue_by_category(fact_items: DataFrame, dim_products: DataFrame) -> DataF
     return j.groupBy("category").agg(
         F.sum("price").cast(MONEY_SUM).alias("revenue"),
         F.count(F.lit(1)).alias("items"))
+
+
+def customer_id_ratio(customers: DataFrame) -> DataFrame:
+    """Customer ids per real person (one aggregate pass)."""
+    from emporium.functions.numeric import round_div
+    return customers.agg(
+        F.count(F.lit(1)).alias("total_ids"),
+        F.count_distinct("customer_unique_id").alias("unique_customers"),
+        round_div("count(1)", "count(DISTINCT customer_unique_id)", 2).cast("decimal(18,2)")
+         .alias("ids_per_customer"))

@@ -261,6 +261,21 @@ class Silver:
     def payment_summary(self):
         return self._memo("payment_summary", lambda: payment_summary(self.payment_details))
 
+    @property
+    def clickstream(self):
+        """Decoded, valid clickstream events (the stream's Bronze -> Silver step, in batch)."""
+        from emporium.sources.bronze import clickstream_json
+        from emporium.streaming import clickstream as CS
+        return self._memo("clickstream",
+                          lambda: CS.valid(CS.decode(clickstream_json(self.spark, self.base))))
+
+    def orders_batch(self, n: int):
+        """Silver orders of load batch ``n`` (1 or 2) of the upsert scenario."""
+        from emporium.plans.history import BATCH2_TS
+        ts = self.batch_ts if n == 1 else BATCH2_TS
+        return self._memo(f"orders_batch{n}",
+                          lambda: silver_orders(self.raw(f"orders_batch{n}"), ts))
+
     @property
     def order_items(self):
         return self._memo("order_items", lambda: silver_order_items(self.raw("order_items"), self.batch_ts))

@@ -31,10 +31,14 @@ CLICK_SCHEMA = T.StructType([
 FIELDS = [f.name for f in CLICK_SCHEMA.fields]
 
 
-def decode(raw: DataFrame, body: str = "body", ltz: bool = False) -> DataFrame:
+def decode(raw: DataFrame, body: str = "body", ltz: bool = False,
+           schema: T.StructType = CLICK_SCHEMA) -> DataFrame:
     """JSON body -> typed events (+ ``event_ts``); malformed bodies are kept
-    with ``_corrupt = true`` and a null ``event_ts`` instead of failing."""
-    ev = raw.select(F.from_json(F.col(body).cast("string"), CLICK_SCHEMA).alias("e"))
+    with ``_corrupt = true`` and a null ``event_ts`` instead of failing.
+
+    A wider ``schema`` (additive evolution) simply yields nulls for fields
+    older messages do not carry."""
+    ev = raw.select(F.from_json(F.col(body).cast("string"), schema).alias("e"))
     ts = F.col("e.event_timestamp")
     parsed = F.to_timestamp(ts) if ltz else ts.try_cast("timestamp_ntz")
     return ev.select("e.*", parsed.alias("event_ts"),

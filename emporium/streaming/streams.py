@@ -124,6 +124,17 @@ def dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _ntz(spark.read.parquet(out + "/data"), "event_ts")
 
 
+def evolved_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream restarted with a wider payload schema (a new optional
+    ``campaign`` field): old messages decode with ``campaign = null``."""
+    from pyspark.sql import types as T
+    wider = T.StructType(CS.CLICK_SCHEMA.fields + [T.StructField("campaign", T.StringType(), True)])
+    ev = CS.valid(CS.decode(messages(spark, folder), ltz=True, schema=wider))
+    out = workdir(spark, "evolution")
+    run_to_parquet(ev.select("event_id", "event_type", "campaign", "event_ts"), out)
+    return _ntz(spark.read.parquet(out + "/data"), "event_ts")
+
+
 def tumbling_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Update-mode window counts kept exactly-once in a table.
 
