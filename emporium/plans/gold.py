@@ -205,11 +205,23 @@ class Gold:
             self._t[name] = df
         return self._t[name]
 
+    def prefetch(self, silver_tables: list[str], parallel: int = 4) -> None:
+        """Materialize independent Silver tables concurrently (separate Spark
+        jobs from a small thread pool); a no-op for lazy plans."""
+        if self.store is None:
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(lambda n: getattr(self.silver, n), silver_tables))
+
     @property
     def fact_orders(self):
         s = self.silver
-        return self._memo("fact_orders", lambda: fact_orders(
-            s.orders, s.order_items, s.payment_summary, s.customers))
+
+        def build():
+            self.prefetch(["orders", "order_items", "payment_summary", "customers"])
+            return fact_orders(s.orders, s.order_items, s.payment_summary, s.customers)
+        return self._memo("fact_orders", build)
 
     @property
     def dim_date(self):

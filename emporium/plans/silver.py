@@ -235,7 +235,7 @@ class Silver:
             df = fn()
             if self.store is not None and not name.startswith("raw_"):
                 df = self.store.persist("silver/" + name, df)
-            self._t[name] = df
+            self._t.setdefault(name, df)
         return self._t[name]
 
     def raw(self, entity: str) -> DataFrame:

@@ -31,6 +31,11 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         self._done: set[str] = set()
         self._lock = threading.Lock()
+        self._table_locks: dict[str, threading.Lock] = {}
+
+    def _table_lock(self, name: str) -> threading.Lock:
+        with self._lock:
+            return self._table_locks.setdefault(name, threading.Lock())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -41,7 +46,7 @@ class Warehouse:
         ``sort_within`` orders rows inside each file so row-group min/max
         statistics on that column let later filters skip data.
         """
-        with self._lock:
+        with self._table_lock(name):   # different tables may be built concurrently
             if name not in self._done:
                 out = df.sortWithinPartitions(*sort_within) if sort_within else df
                 out.write.mode("overwrite").parquet(self.path(name))
