@@ -222,18 +222,18 @@ def top_products_by_year(fact_items: DataFrame, dim_products: DataFrame, n: int
                          year: int | None = None) -> DataFrame:
     """The n products with most revenue in each purchase year.
 
-    Products are aggregated to (year, product) first, so the ranking window
-    only sees one row per product and year.
+    Products are aggregated to (year, product) first; the per-year ranking is
+    the salted two-stage top-n, so no task ranks a whole year.
     """
-    from pyspark.sql import Window
+    from emporium.operators.topk import top_n_per_group
     f = fact_items.withColumn("year", F.year("order_purchase_timestamp"))
     if year is not None:
         f = f.filter(F.col("year") == year)
     agg = f.groupBy("year", "product_id").agg(
         F.sum("price").cast(MONEY_SUM).alias("revenue"),
         F.count_distinct("order_id").alias("orders"))
-    w = Window.partitionBy("year").orderBy(F.desc("revenue"), "product_id")
-    ranked = agg.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    ranked = top_n_per_group(agg, ["year"], [F.desc("revenue"), F.col("product_id")], n,
+                             salt_by=["product_id"])
     return ranked.join(dim_products.select("product_id", "category"), "product_id", "left").select(
         "year", "rank", "category", "product_id", "revenue", "orders")
 
