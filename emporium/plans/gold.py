@@ -214,6 +214,27 @@ class Gold:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             list(pool.map(lambda n: getattr(self.silver, n), silver_tables))
 
+    SILVER_TABLES = ["orders", "order_items", "payment_details", "payment_summary", "customers", "products"]
+    DIMENSIONS = ["dim_date", "dim_products", "dim_geography", "dim_sellers", "dim_customers"]
+    FACTS = ["fact_orders", "fact_order_items"]
+
+    def build_all(self, parallel: int = 4) -> None:
+        """The load contract: Silver tables (independent, concurrently), then
+        the dimensions (concurrently), then the facts."""
+        from concurrent.futures import ThreadPoolExecutor
+        self.prefetch(self.SILVER_TABLES, parallel)
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(lambda n: getattr(self, n), self.DIMENSIONS))
+        for n in self.FACTS:
+            getattr(self, n)
+
+    def register_views(self) -> list[str]:
+        """Expose every Gold table as a temp view for ``spark.sql``."""
+        names = self.DIMENSIONS + self.FACTS
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(n)
+        return names
+
     @property
     def fact_orders(self):
         s = self.silver

@@ -279,3 +279,12 @@ class Silver:
     @property
     def order_items(self):
         return self._memo("order_items", lambda: silver_order_items(self.raw("order_items"), self.batch_ts))
+
+
+def order_items_with_fallback(spark: SparkSession, silver_path: str, raw: DataFrame) -> DataFrame:
+    """The Silver order items when that table exists, else the Bronze
+    items put through the *same* Silver rules (never uncast raw rows)."""
+    from emporium.sources.warehouse import exists
+    if exists(spark, silver_path):
+        return spark.read.parquet(silver_path)
+    return silver_order_items(raw)

@@ -32,6 +32,7 @@ class Warehouse:
         self._done: set[str] = set()
         self._lock = threading.Lock()
         self._table_locks: dict[str, threading.Lock] = {}
+        self.metrics: dict[str, int] = {}   # rows written per table, observed during the write
 
     def _table_lock(self, name: str) -> threading.Lock:
         with self._lock:
@@ -48,8 +49,12 @@ class Warehouse:
         """
         with self._table_lock(name):   # different tables may be built concurrently
             if name not in self._done:
+                from pyspark.sql import Observation
+                from pyspark.sql import functions as F
+                obs = Observation(f"load:{name}")
                 out = df.sortWithinPartitions(*sort_within) if sort_within else df
-                out.write.mode("overwrite").parquet(self.path(name))
+                out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.path(name))
+                self.metrics[name] = int(obs.get["rows"])
                 self._done.add(name)
         return self.spark.read.parquet(self.path(name)).select(*df.columns)
 
@@ -64,3 +69,10 @@ def warehouse_for(spark: SparkSession, source_dir: str) -> Warehouse:
             wh = Warehouse(spark, f"{base}/warehouse/{tag}-{uuid.uuid4().hex[:12]}")
             _RUNS[key] = wh
         return wh
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists (any Hadoop-compatible file system)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -57,12 +57,22 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
                        for c in df.columns])
 
 
-def run_to_parquet(df: DataFrame, out: str, mode: str = "append") -> dict:
-    """Drain the source into a Parquet sink; returns the last progress."""
+def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict | None = None,
+                   timeout_s: float | None = None) -> dict:
+    """Run a stream into a Parquet sink and return its progress.
+
+    ``trigger`` defaults to ``{"availableNow": True}`` (drain and stop); a
+    continuous deployment passes e.g. ``{"processingTime": "30 seconds"}``
+    and a ``timeout_s`` after which the query is stopped (its checkpoint
+    lets the next start resume exactly there)."""
     q = (df.writeStream.format("parquet").outputMode(mode)
            .option("checkpointLocation", out + "/_checkpoint")
-           .trigger(availableNow=True).start(out + "/data"))
-    q.awaitTermination()
+           .trigger(**(trigger or {"availableNow": True})).start(out + "/data"))
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
+        q.stop()
     progress = q.recentProgress
     return {"progress": progress}
 
