@@ -214,7 +214,8 @@ class Gold:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             list(pool.map(lambda n: getattr(self.silver, n), silver_tables))
 
-    SILVER_TABLES = ["orders", "order_items", "payment_details", "payment_summary", "customers", "products"]
+    SILVER_TABLES = ["orders", "order_items", "payment_details", "payment_summary", "customers", "products",
+                     "clickstream"]
     DIMENSIONS = ["dim_date", "dim_products", "dim_geography", "dim_sellers", "dim_customers"]
     FACTS = ["fact_orders", "fact_order_items"]
 
