@@ -73,7 +73,11 @@ def customer_type3(spark, sf, gold=None) -> DataFrame:
 
 def orders_batches(spark, sf, silver=None) -> tuple[DataFrame, DataFrame]:
     if silver is not None:
-        return silver.orders_batch(1), silver.orders_batch(2)
+        # Materialized: the two independent loads are built as concurrent jobs.
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            t, s = pool.map(silver.orders_batch, [1, 2])
+        return t, s
     target = silver_orders(bronze(spark, sf, "orders_batch1"))
     source = silver_orders(bronze(spark, sf, "orders_batch2"), batch_ts=BATCH2_TS)
     return target, source
