@@ -42,6 +42,26 @@ def event_source(spark: SparkSession, folder: str, file_glob: str = "events*.par
     return r.parquet(folder)
 
 
+def json_source(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw JSON messages, one per line, from files landing in ``folder``."""
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(folder).withColumnRenamed("value", "body")
+
+
+def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
+                 starting_offsets: str = "earliest") -> DataFrame:
+    """Production reader: the topic's messages as (key, body).
+
+    Needs the Spark Kafka connector on the classpath (not bundled with
+    PySpark); everything downstream of this reader is unchanged."""
+    raw = (spark.readStream.format("kafka")
+           .option("kafka.bootstrap.servers", bootstrap_servers)
+           .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+    return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("body"))
+
+
 def messages(spark: SparkSession, folder: str, **kw) -> DataFrame:
     """The source as broker messages (key, JSON body)."""
     return as_json_messages(shape(event_source(spark, folder, **kw), "clickstream"))
