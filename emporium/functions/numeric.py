@@ -16,11 +16,6 @@ MONEY_SUM = "decimal(38,2)"
 PCT = "decimal(9,2)"
 
 
-def money(c: Column) -> Column:
-    """Exact money type; invalid text becomes null instead of failing."""
-    return c.try_cast(MONEY)
-
-
 def avg_exact(c: Column) -> Column:
     """AVG of an exact (integer / decimal) column as DOUBLE.
 

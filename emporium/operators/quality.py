@@ -14,9 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-REPORT_COLS = ["table", "check", "failed_rows", "total_rows", "passed"]
-
-
 def table_checks(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
     """One pass over ``df``; ``checks`` maps name -> failed-row count expression."""
     names = list(checks)

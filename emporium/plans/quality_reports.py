@@ -112,3 +112,16 @@ def dq_table_stats(g: Gold) -> DataFrame:
 def dq_scd2(g: Gold) -> DataFrame:
     """D7."""
     return Q.scd2_checks(g.dim_customers, "customer_unique_id")
+
+
+def dq_duplicates(g: Gold) -> DataFrame:
+    """Raw keys delivered more than once, per entity (what de-duplication removes)."""
+    from emporium.operators.dedup import duplicate_groups
+    s = g.silver
+    specs = [("orders", ["order_id"]), ("order_items", ["order_id", "order_item_id"]),
+             ("payments", ["order_id", "payment_sequential"]), ("customers", ["customer_id"]),
+             ("products", ["product_id"])]
+    parts = [duplicate_groups(s.raw(e), keys).agg(
+        F.lit(e).alias("entity"), F.count(F.lit(1)).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("extra_rows")) for e, keys in specs]
+    return Q.union_all(parts)

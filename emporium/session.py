@@ -18,6 +18,10 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state (per-user sessions, dedup keys) can outgrow the heap at
+    # scale; RocksDB keeps it off-heap with incremental checkpoints.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -52,12 +56,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
-    if "://" not in path:
-        path = tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return path

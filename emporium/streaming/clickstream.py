@@ -28,9 +28,6 @@ CLICK_SCHEMA = T.StructType([
     T.StructField("event_timestamp", T.StringType(), False),
 ])
 
-FIELDS = [f.name for f in CLICK_SCHEMA.fields]
-
-
 def decode(raw: DataFrame, body: str = "body", ltz: bool = False,
            schema: T.StructType = CLICK_SCHEMA) -> DataFrame:
     """JSON body -> typed events (+ ``event_ts``); malformed bodies are kept
