@@ -267,7 +267,7 @@ class Silver:
         from emporium.sources.bronze import clickstream_json
         from emporium.streaming import clickstream as CS
         return self._memo("clickstream",
-                          lambda: CS.valid(CS.decode(clickstream_json(self.spark, self.base))))
+                          lambda: CS.decode_valid(clickstream_json(self.spark, self.base)))
 
     def orders_batch(self, n: int):
         """Silver orders of load batch ``n`` (1 or 2) of the upsert scenario."""

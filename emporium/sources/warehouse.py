@@ -76,3 +76,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def count_files(spark: SparkSession, pattern: str) -> int:
+    """Number of files matching a glob (any Hadoop-compatible file system)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return 0 if found is None else len(found)

@@ -35,11 +35,21 @@ def workdir(spark: SparkSession, name: str) -> str:
 
 def event_source(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the event files in ``folder``."""
+    """Streaming read of the event files in ``folder``.
+
+    A landing folder with fewer files than cores would decode each
+    micro-batch in a handful of tasks; then the rows are spread round-robin
+    across the cores first (a busy folder, like a many-partition topic,
+    already gives one task per file and is left alone)."""
+    from emporium.sources.warehouse import count_files
     r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(folder)
+    df = r.parquet(folder)
+    cores = spark.sparkContext.defaultParallelism
+    if count_files(spark, f"{folder.rstrip('/')}/{file_glob}") < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def json_source(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -69,7 +79,7 @@ def messages(spark: SparkSession, folder: str, **kw) -> DataFrame:
 
 def events(spark: SparkSession, folder: str, **kw) -> DataFrame:
     """Decoded, typed events with an event-time column usable for watermarks."""
-    return CS.valid(CS.decode(messages(spark, folder, **kw), ltz=True))
+    return CS.decode_valid(messages(spark, folder, **kw), ltz=True)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -159,7 +169,7 @@ def evolved_schema(spark: SparkSession, folder: str) -> DataFrame:
     ``campaign`` field): old messages decode with ``campaign = null``."""
     from pyspark.sql import types as T
     wider = T.StructType(CS.CLICK_SCHEMA.fields + [T.StructField("campaign", T.StringType(), True)])
-    ev = CS.valid(CS.decode(messages(spark, folder), ltz=True, schema=wider))
+    ev = CS.decode_valid(messages(spark, folder), ltz=True, schema=wider)
     out = workdir(spark, "evolution")
     run_to_parquet(ev.select("event_id", "event_type", "campaign", "event_ts"), out)
     return _ntz(spark.read.parquet(out + "/data"), "event_ts")
@@ -230,9 +240,9 @@ def late_drop(spark: SparkSession, folder: str) -> DataFrame:
     # Written one after the other: the file source replays in modification order.
     for i, part in enumerate(parts):
         part.coalesce(1).write.parquet(f"{replay}/{i}")
-    ev = CS.valid(CS.decode(as_json_messages(shape(
+    ev = CS.decode_valid(as_json_messages(shape(
         spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true").parquet(replay), "clickstream")), ltz=True))
+        .option("recursiveFileLookup", "true").parquet(replay), "clickstream")), ltz=True)
     m = CS.tumbling_metrics(ev.withWatermark("event_ts", WATERMARK), exact_sessions=False)
     out = workdir(spark, "late")
     res = run_to_parquet(m, out)
