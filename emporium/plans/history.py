@@ -28,28 +28,33 @@ BATCH2_TS = _dt.datetime(2024, 2, 1)
 CUSTOMER_ATTRS = ["customer_city", "customer_state", "customer_zip_code_prefix"]
 
 
-def customer_incoming(customers: DataFrame) -> DataFrame:
-    """One row per person (customer_unique_id) with an attribute hash."""
+# Attributes whose change opens a new version; the far-future variant (M9)
+# tracks city and state only.
+OPEN_END_ATTRS = ["customer_city", "customer_state"]
+
+
+def customer_incoming(customers: DataFrame, tracked: list[str] | None = None) -> DataFrame:
+    """One row per person (customer_unique_id) with a hash of the tracked attributes."""
     people = keep_first(
         customers.select("customer_unique_id", "customer_id", *CUSTOMER_ATTRS),
         ["customer_unique_id"], ["customer_id"])
-    return people.withColumn("record_hash", row_hash(people, CUSTOMER_ATTRS))
+    return people.withColumn("record_hash", row_hash(people, tracked or CUSTOMER_ATTRS))
 
 
-def customers_batch(spark: SparkSession, sf: str, n: int) -> DataFrame:
+def customers_batch(spark: SparkSession, sf: str, n: int, tracked: list[str] | None = None) -> DataFrame:
     entity = "customers_batch1" if n == 1 else "customers_batch2"
-    return customer_incoming(silver_customers(bronze(spark, sf, entity)))
+    return customer_incoming(silver_customers(bronze(spark, sf, entity)), tracked)
 
 
-def dim_customers_initial(spark, sf, open_end=None) -> DataFrame:
-    return scd.scd2_initial(customers_batch(spark, sf, 1), "customer_unique_id", INITIAL_TS,
+def dim_customers_initial(spark, sf, open_end=None, tracked=None) -> DataFrame:
+    return scd.scd2_initial(customers_batch(spark, sf, 1, tracked), "customer_unique_id", INITIAL_TS,
                             sk="customer_sk", open_end=open_end)
 
 
-def dim_customers(spark, sf, open_end=None) -> DataFrame:
+def dim_customers(spark, sf, open_end=None, tracked=None) -> DataFrame:
     """Batch 1 then batch 2, as one plan."""
-    hist = dim_customers_initial(spark, sf, open_end)
-    return scd.scd2_apply(hist, customers_batch(spark, sf, 2), "customer_unique_id", "record_hash",
+    hist = dim_customers_initial(spark, sf, open_end, tracked)
+    return scd.scd2_apply(hist, customers_batch(spark, sf, 2, tracked), "customer_unique_id", "record_hash",
                           CHANGE_TS, sk="customer_sk", open_end=open_end)
 
 

@@ -300,27 +300,29 @@ def with_ctes(select: str) -> str:
 
 
 # ---------------------------------------------------------------- history (SCD2, upsert)
-def _cust_inc(src: str) -> str:
+def _cust_inc(src: str, tracked=("customer_city", "customer_state", "customer_zip_code_prefix")) -> str:
     ded = _dedup(f"(SELECT customer_unique_id, customer_id, customer_city, customer_state, "
                  f"customer_zip_code_prefix FROM {src})", ["customer_unique_id"],
                  ["customer_id", "customer_city", "customer_state", "customer_zip_code_prefix"])
-    return f"SELECT *, {hash_sql(['customer_city', 'customer_state', 'customer_zip_code_prefix'])} AS record_hash FROM ({ded})"
+    return f"SELECT *, {hash_sql(list(tracked))} AS record_hash FROM ({ded})"
 
 
 cte("cust_inc_1", _cust_inc("silver_customers_b1"))
 cte("cust_inc_2", _cust_inc("silver_customers_b2"))
+cte("cust_inc_1_cs", _cust_inc("silver_customers_b1", ("customer_city", "customer_state")))
+cte("cust_inc_2_cs", _cust_inc("silver_customers_b2", ("customer_city", "customer_state")))
 _INC = ["customer_unique_id", "customer_id", "customer_city", "customer_state", "customer_zip_code_prefix",
         "record_hash"]
 _T1, _T2, _OPEN = "1990-01-01 00:00:00", "1998-01-01 00:00:00", "9999-12-31 00:00:00"
 
 
-def _scd_initial(open_end: str | None) -> str:
+def _scd_initial(open_end: str | None, inc1: str = "cust_inc_1") -> str:
     vt = f"TIMESTAMP '{open_end}'" if open_end else "CAST(NULL AS TIMESTAMP)"
     return (f"SELECT {skey('customer_unique_id', repr(_T1))} AS customer_sk, {', '.join(_INC)}, "
-            f"true AS is_current, TIMESTAMP '{_T1}' AS valid_from, {vt} AS valid_to FROM cust_inc_1")
+            f"true AS is_current, TIMESTAMP '{_T1}' AS valid_from, {vt} AS valid_to FROM {inc1}")
 
 
-def _scd_apply(hist: str, open_end: str | None) -> str:
+def _scd_apply(hist: str, open_end: str | None, inc2: str = "cust_inc_2") -> str:
     vt = f"TIMESTAMP '{open_end}'" if open_end else "CAST(NULL AS TIMESTAMP)"
     changed = "(i.customer_unique_id IS NOT NULL AND c.record_hash IS DISTINCT FROM i.record_hash)"
     return f"""SELECT * FROM {hist} WHERE NOT is_current
@@ -328,18 +330,18 @@ UNION ALL
 SELECT c.customer_sk, {', '.join('c.' + x for x in _INC)},
   (NOT {changed}) AND c.is_current AS is_current, c.valid_from,
   CASE WHEN {changed} THEN TIMESTAMP '{_T2}' ELSE c.valid_to END AS valid_to
-FROM (SELECT * FROM {hist} WHERE is_current) c LEFT JOIN cust_inc_2 i ON c.customer_unique_id = i.customer_unique_id
+FROM (SELECT * FROM {hist} WHERE is_current) c LEFT JOIN {inc2} i ON c.customer_unique_id = i.customer_unique_id
 UNION ALL
 SELECT {skey('i.customer_unique_id', repr(_T2))} AS customer_sk, {', '.join('i.' + x for x in _INC)},
   true AS is_current, TIMESTAMP '{_T2}' AS valid_from, {vt} AS valid_to
-FROM cust_inc_2 i LEFT JOIN (SELECT * FROM {hist} WHERE is_current) c ON c.customer_unique_id = i.customer_unique_id
+FROM {inc2} i LEFT JOIN (SELECT * FROM {hist} WHERE is_current) c ON c.customer_unique_id = i.customer_unique_id
 WHERE c.customer_unique_id IS NULL OR c.record_hash IS DISTINCT FROM i.record_hash"""
 
 
 cte("dim_customers_initial", _scd_initial(None))
 cte("dim_customers", _scd_apply("dim_customers_initial", None))
-cte("dim_customers_initial_oe", _scd_initial(_OPEN))
-cte("dim_customers_oe", _scd_apply("dim_customers_initial_oe", _OPEN))
+cte("dim_customers_initial_oe", _scd_initial(_OPEN, "cust_inc_1_cs"))
+cte("dim_customers_oe", _scd_apply("dim_customers_initial_oe", _OPEN, "cust_inc_2_cs"))
 
 _ORD_COLS = ["customer_id", "order_status", *ORDER_TS, "delivery_seconds", "delivery_days",
              "is_late_delivery", "ingestion_timestamp", "source_system", "record_hash"]
