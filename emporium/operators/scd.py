@@ -25,7 +25,8 @@ def _ts(v) -> Column:
 
 def scd2_initial(incoming: DataFrame, key: str, effective_ts, sk: str = "sk",
                  open_end=None) -> DataFrame:
-    """First load: every incoming row is a current version."""
+    """First load: every incoming row is a current version (null keys rejected)."""
+    incoming = incoming.filter(F.col(key).isNotNull())
     vf = _ts(effective_ts)
     return incoming.select(
         surrogate_key(F.col(key), vf.cast("string")).alias(sk), *incoming.columns,
@@ -34,6 +35,9 @@ def scd2_initial(incoming: DataFrame, key: str, effective_ts, sk: str = "sk",
 
 def scd2_apply(history: DataFrame, incoming: DataFrame, key: str, hash_col: str,
                effective_ts, sk: str = "sk", open_end=None) -> DataFrame:
+    # A null business key never matches, so it would open a new version on
+    # every load: such rows are rejected.
+    incoming = incoming.filter(F.col(key).isNotNull())
     attrs = [c for c in incoming.columns if c != key]
     cols = [sk, key, *attrs, *SCD_COLS]
     cur = history.filter(F.col("is_current"))

@@ -59,6 +59,13 @@ def test_scd2_idempotent(spark):
     assert sorted(map(key, h.collect())) == sorted(map(key, again.collect()))
 
 
+def test_scd2_rejects_null_keys(spark):
+    b = _batch(spark, [("u1", "c1", "A", "SP", "1"), (None, "c9", "Z", "SP", "9")])
+    h = scd.scd2_initial(b, "customer_unique_id", T1)
+    h2 = scd.scd2_apply(h, b, "customer_unique_id", "record_hash", T2)
+    assert [r.customer_unique_id for r in h2.collect()] == ["u1"]
+
+
 def test_scd2_open_end_and_asof(spark):
     far = dt.datetime(9999, 12, 31)
     b1 = _batch(spark, [("u1", "c1", "A", "SP", "1")])
