@@ -58,6 +58,12 @@ def dim_customers(spark, sf, open_end=None, tracked=None) -> DataFrame:
                           CHANGE_TS, sk="customer_sk", open_end=open_end)
 
 
+def customer_changes(spark, sf) -> DataFrame:
+    """Per person, what applying batch 2 to the initial dimension does."""
+    hist = dim_customers_initial(spark, sf)
+    return scd.scd2_changes(hist, customers_batch(spark, sf, 2), "customer_unique_id", "record_hash")
+
+
 def orders_asof_customer(spark, sf, gold=None) -> DataFrame:
     """Each order with the customer's address valid at purchase time."""
     s = gold.silver if gold is not None else Silver(spark, sf)
