@@ -57,11 +57,14 @@ class VersionedTable:
                deleted: bool = False) -> int:
         """Append ``rows`` as the next version; returns the version number."""
         v = self.latest_version() + 1
-        obs_name = f"commit_{v}"
         from pyspark.sql import Observation
-        obs = Observation(obs_name)
-        out = tag(rows, v, deleted).observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("append").partitionBy("_version").parquet(self.data_path)
+        obs = Observation(f"commit_{v}")
+        out = rows.withColumn("_deleted", F.lit(deleted)).observe(obs, F.count(F.lit(1)).alias("rows"))
+        # Data first, into its own version folder with overwrite: a commit
+        # retried after a failure (data written, no commit record) replaces
+        # the orphaned files instead of duplicating them. The commit record
+        # is what makes the version visible to readers of the history.
+        out.write.mode("overwrite").parquet(f"{self.data_path}/_version={v}")
         ts = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         rec = self.spark.createDataFrame(
             [(v, ts, operation, int(obs.get["rows"]))],
@@ -70,7 +73,9 @@ class VersionedTable:
         return v
 
     def log(self) -> DataFrame:
-        return self.spark.read.parquet(self.data_path)
+        """Committed versions only (orphaned data of a failed commit is ignored)."""
+        committed = self.latest_version()
+        return self.spark.read.parquet(self.data_path).filter(F.col("_version") <= committed)
 
     def read_version(self, version: int | None = None) -> DataFrame:
         return snapshot(self.log(), self.keys, version)

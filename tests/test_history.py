@@ -108,6 +108,12 @@ def test_versioned_snapshots(spark, tmp_path):
     assert {r.v for r in vt.read_version(1).collect()} == {"1"}
     assert {r.v for r in vt.read_as_of(dt.datetime(2024, 1, 15)).collect()} == {"1"}
     assert [r.rows for r in vt.history().collect()] == [1, 1]
+    # a failed commit (data written, no record) is invisible and is replaced by the retry
+    spark.createDataFrame([("a", "junk", False)], "k string, v string, _deleted boolean") \
+        .write.parquet(str(tmp_path / "t" / "data" / "_version=3"))
+    assert {r.v for r in vt.read_version().collect()} == {"2"}
+    assert vt.commit(spark.createDataFrame([("a", "3")], schema), "merge") == 3
+    assert {r.v for r in vt.read_version().collect()} == {"3"} and vt.log().count() == 3
 
 
 def test_schema_enforcement(spark):
