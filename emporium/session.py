@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one job run under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/runs/{name}-{uuid.uuid4().hex[:12]}"

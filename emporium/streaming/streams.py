@@ -13,13 +13,12 @@ restarted job resumes exactly where it stopped. Jobs run with the
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import versioning
-from emporium.session import checkpoint_dir
+from emporium.session import run_folder
 from emporium.sources.bronze import as_json_messages, shape
 from emporium.streaming import clickstream as CS
 
@@ -28,9 +27,8 @@ WATERMARK = "5 minutes"
 
 
 def workdir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one job run under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder (checkpoint, sink) for one stream run."""
+    return run_folder(spark, "stream-" + name)
 
 
 def event_source(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
