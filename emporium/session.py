@@ -45,19 +45,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this must be set (a shared, fault-tolerant file system).
     Only when it is unset -- local tests -- a private scratch folder is made
-    and registered, so lineage cuts still go through ``checkpoint()``.
+    and registered as the context's checkpoint folder.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
+    global _LOCAL_FALLBACK
+    cur = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not cur:
-        cur = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+        try:
+            cur = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            cur = None
     if not cur:
-        cur = tempfile.mkdtemp(prefix="emporium-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+        cur = spark.sparkContext.getCheckpointDir()
+        if cur and cur.startswith("file:"):
+            cur = cur[len("file:"):]
+    if not cur:
+        if _LOCAL_FALLBACK is None:
+            _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="emporium-ckpt-")
+        cur = _LOCAL_FALLBACK
+        spark.sparkContext.setCheckpointDir(cur)
     return cur
 
 
+_LOCAL_FALLBACK: str | None = None
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one job run under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/runs/{name}-{uuid.uuid4().hex[:12]}"
