@@ -224,8 +224,14 @@ class Silver:
     tables are lazy plans; with one they are materialized.
     """
 
-    def __init__(self, spark: SparkSession, base: str, batch_ts=DEFAULT_BATCH_TS, store=None):
+    def __init__(self, spark: SparkSession, base: str, batch_ts=DEFAULT_BATCH_TS, store=None,
+                 raw_reader=None):
+        """``raw_reader(entity) -> DataFrame`` supplies the Bronze entities
+        (text columns); by default they are derived from the test tables
+        under ``base``. With real landings pass e.g.
+        ``lambda e: ingest.read_bronze(spark, bronze_root, e, latest=True)``."""
         self.spark, self.base, self.batch_ts, self.store = spark, base, batch_ts, store
+        self.raw_reader = raw_reader or (lambda entity: bronze(spark, base, entity))
         self._t: dict[str, DataFrame] = {}
 
     def _memo(self, name, fn):
@@ -239,7 +245,7 @@ class Silver:
         return self._t[name]
 
     def raw(self, entity: str) -> DataFrame:
-        return self._memo("raw_" + entity, lambda: bronze(self.spark, self.base, entity))
+        return self._memo("raw_" + entity, lambda: self.raw_reader(entity))
 
     @property
     def orders(self):
@@ -264,10 +270,10 @@ class Silver:
     @property
     def clickstream(self):
         """Decoded, valid clickstream events (the stream's Bronze -> Silver step, in batch)."""
-        from emporium.sources.bronze import clickstream_json
+        from emporium.sources.bronze import as_json_messages
         from emporium.streaming import clickstream as CS
         return self._memo("clickstream",
-                          lambda: CS.decode_valid(clickstream_json(self.spark, self.base)))
+                          lambda: CS.decode_valid(as_json_messages(self.raw("clickstream"))))
 
     def orders_batch(self, n: int):
         """Silver orders of load batch ``n`` (1 or 2) of the upsert scenario."""
