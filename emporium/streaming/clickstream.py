@@ -87,6 +87,21 @@ def tumbling_metrics(events: DataFrame, width: str = "1 minute", exact_sessions:
     return _flat(g)
 
 
+def tumbling_metrics_chained(events: DataFrame, width: str = "1 minute") -> DataFrame:
+    """T5 / T6 for streams with an *exact* distinct session count.
+
+    ``count(DISTINCT)`` is not allowed on a stream, but two chained
+    aggregations are: per (window, type, device, session) first, then per
+    (window, type, device) -- event counts are summed, sessions counted."""
+    per_session = events.groupBy(F.window("event_ts", width).alias("w"), "event_type", "device_type",
+                                 "session_id").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.count("user_id").alias("n_user"))
+    g = per_session.groupBy("w", "event_type", "device_type").agg(
+        F.sum("n").alias("event_count"), F.sum("n_user").alias("unique_sessions"),
+        F.count("session_id").alias("distinct_sessions"))
+    return _flat(g, "w")
+
+
 def sliding_metrics(events: DataFrame, width: str = "1 minute", slide: str = "30 seconds") -> DataFrame:
     """Events per overlapping window and event type."""
     g = events.groupBy(F.window("event_ts", width, slide), "event_type").agg(
