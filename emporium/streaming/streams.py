@@ -223,7 +223,7 @@ def _as_dicts(progress: list) -> list[dict]:
 def late_drop(spark: SparkSession, folder: str) -> DataFrame:
     """Replay the events out of time order and report what was dropped.
 
-    Three files land one after the other: the newest quarter, the next
+    Three parts land one after the other: the newest quarter, the next
     quarter, then the older half. Spark filters late rows against the
     watermark of the *previous* micro-batch, so the older half (third batch)
     arrives behind the watermark set by the first and is dropped.
@@ -236,12 +236,16 @@ def late_drop(spark: SparkSession, folder: str) -> DataFrame:
     parts = [src.filter(F.col("ts") >= q[1]),
              src.filter((F.col("ts") >= q[0]) & (F.col("ts") < q[1])),
              src.filter(F.col("ts") < q[0])]
-    # Written one after the other: the file source replays in modification order.
+    # Each part is written in parallel as exactly ``k`` files, the parts one
+    # after the other: the file source replays in modification order and
+    # ``maxFilesPerTrigger = k`` makes each micro-batch exactly one part.
+    k = spark.sparkContext.defaultParallelism
     for i, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{replay}/{i}")
+        part.repartition(k).write.parquet(f"{replay}/{i}")
     ev = CS.decode_valid(as_json_messages(shape(
-        spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true").parquet(replay), "clickstream")), ltz=True)
+        spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", k)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .parquet(replay), "clickstream")), ltz=True)
     m = CS.tumbling_metrics(ev.withWatermark("event_ts", WATERMARK), exact_sessions=False)
     out = workdir(spark, "late")
     res = run_to_parquet(m, out)

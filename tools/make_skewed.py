@@ -42,6 +42,8 @@ def main():
             df = df.withColumn("_h", F.col("event_id")).withColumn(
                 "user_id", F.when(hot, F.lit(5)).otherwise(F.col("user_id")))
         cols = [c for c in df.columns if c != "_h"]
+        # One file per table, like the local test folders this tool copies
+        # (a local fixture generator, not a production job).
         df.select(*cols).coalesce(1).write.mode("overwrite").parquet(os.path.join(out, f"{t}.parquet.d"))
         # single-file layout like the source folder: <table>.parquet
         part = [f for f in os.listdir(os.path.join(out, f"{t}.parquet.d")) if f.endswith(".parquet")][0]
