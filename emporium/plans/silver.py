@@ -240,10 +240,15 @@ class Silver:
         if name not in self._t:
             df = fn()
             if self.store is not None and not name.startswith("raw_"):
-                df = self.store.persist("silver/" + name, df)
+                df = self.store.persist("silver/" + name, df, bucket_by=self._BUCKETS.get(name))
             self._t.setdefault(name, df)
         return self._t[name]
 
+    # Order-keyed tables are bucketed alike, so the per-order aggregates and
+    # the joins that assemble the facts need no shuffle of these tables.
+    _BUCKETS = {"orders": ["order_id"], "order_items": ["order_id"],
+                "payment_details": ["order_id"], "payment_summary": ["order_id"]}
+
     def raw(self, entity: str) -> DataFrame:
         return self._memo("raw_" + entity, lambda: self.raw_reader(entity))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -32,6 +33,12 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local runs only: a catalog location outside the working directory
+        # (it holds no data -- warehouse tables use explicit paths under the
+        # checkpoint folder -- but enables bucketed tables). On a cluster the
+        # deployment's own warehouse setting is kept.
+        conf["spark.sql.warehouse.dir"] = os.path.join(tempfile.gettempdir(), "emporium-sql-warehouse")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
