@@ -47,3 +47,25 @@ def test_fact_pre_aggregates_items(spark):
     r = f[0]
     assert r.total_item_value == Decimal("15.50") and r.item_count == 2 and r.order_date_key == 20180101
     assert r.order_month == 201801
+
+
+def test_fact_assembly_is_colocated_on_bucketed_silver(spark):
+    """The order-keyed Silver tables are bucketed alike: assembling the fact
+    from them shuffles nothing on order_id (only the customer lookup)."""
+    from conftest import SF_SMALL
+    from emporium.plans.registry import lakehouse
+    g = lakehouse(spark, SF_SMALL)
+    if not g.store._can_bucket():
+        import pytest
+        pytest.skip("no configured catalog location: unbucketed fallback")
+    s = g.silver
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = G.fact_orders(s.orders, s.order_items, s.payment_summary, s.customers)
+        plan = f._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin [order_id" in plan
+    assert "hashpartitioning(order_id" not in plan
+    assert "hashpartitioning(customer_id" in plan
