@@ -85,6 +85,25 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
                        for c in df.columns])
 
 
+class _state_partitions:
+    """Start a stream with one state partition per core.
+
+    A stateful stream fixes its partition count at first start (stored in
+    its checkpoint) from ``spark.sql.shuffle.partitions``; the stream's
+    session is a snapshot taken at ``start()``, so the setting is applied
+    only around the start and the caller's session is restored."""
+
+    def __init__(self, spark: SparkSession, n: int | None = None):
+        self.spark, self.n = spark, n or spark.sparkContext.defaultParallelism
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
 def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict | None = None,
                    timeout_s: float | None = None) -> dict:
     """Run a stream into a Parquet sink and return its progress.
@@ -93,9 +112,10 @@ def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict
     continuous deployment passes e.g. ``{"processingTime": "30 seconds"}``
     and a ``timeout_s`` after which the query is stopped (its checkpoint
     lets the next start resume exactly there)."""
-    q = (df.writeStream.format("parquet").outputMode(mode)
-           .option("checkpointLocation", out + "/_checkpoint")
-           .trigger(**(trigger or {"availableNow": True})).start(out + "/data"))
+    with _state_partitions(df.sparkSession):
+        q = (df.writeStream.format("parquet").outputMode(mode)
+               .option("checkpointLocation", out + "/_checkpoint")
+               .trigger(**(trigger or {"availableNow": True})).start(out + "/data"))
     if timeout_s is None:
         q.awaitTermination()
     else:
@@ -195,8 +215,9 @@ def tumbling_upsert(spark: SparkSession, folder: str) -> DataFrame:
         (batch.withColumn("_deleted", F.lit(False)).write.mode("overwrite")
             .parquet(f"{table}/_version={int(batch_id)}"))
 
-    q = (m.writeStream.outputMode("update").foreachBatch(write_batch)
-           .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
+    with _state_partitions(spark):
+        q = (m.writeStream.outputMode("update").foreachBatch(write_batch)
+               .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     keys = ["window_start", "window_end", "event_type", "device_type"]
     log = spark.read.parquet(table)
