@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from emporium.plans.silver import silver_orders
 from emporium.sources import ingest as I
-from emporium.sources.bronze import _spec, bronze
+from emporium.sources.bronze import bronze, entity_columns
 from emporium.session import run_folder as workdir
 
 LANDED = ["orders", "order_items", "payments", "customers", "products", "sellers", "geolocation"]
 
 
 def _columns(entity: str) -> list[str]:
-    return [c for c, _ in _spec("spark")[entity]["cols"]]
+    return entity_columns(entity)
 
 
 def ingest_config(spark: SparkSession, sf: str) -> DataFrame:

@@ -223,6 +223,11 @@ def bronze_sql(entity: str) -> str:
     return f"SELECT\n  {cols}\nFROM {src}"
 
 
+def entity_columns(entity: str) -> list[str]:
+    """The raw (text) column names of a Bronze entity."""
+    return [name for name, _ in _with_batches(_spec("spark"))[entity]["cols"]]
+
+
 def shape(src: DataFrame, entity: str) -> DataFrame:
     """Apply an entity's Bronze projection to an already loaded (static or
     streaming) source DataFrame; joins are not supported here."""
