@@ -1,0 +1,19 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from emporium.session import get_session
+    yield get_session("local[4]", shuffle_partitions=4)
+
+
+@pytest.fixture(scope="session")
+def sf_small():
+    return SF
