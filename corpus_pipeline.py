@@ -7,18 +7,42 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emporium.llm import bpe_trie
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, quality_fm, secret_scan
 from emporium.llm.common import cut, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, learned from ``labels``, doesn't reject."""
+    return quality_fm.keep(docs, quality_fm.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the smallest id."""
+    return bag_minhash.drop_copies(spark, docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ``benchmark``."""
+    return decontaminate.clean(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked."""
+    return secret_scan.redact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents that remain."""
     return bpe_trie.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_quality),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("secret_scan", mask_secrets),
     ("bpe_encoding", encode_decode),
 ]
 

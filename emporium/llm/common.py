@@ -28,6 +28,16 @@ def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed bijective scrambling of unsigned 64-bit integers."""
     with np.errstate(over="ignore"):

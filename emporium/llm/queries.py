@@ -5,16 +5,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emporium.llm import bpe_trie
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, quality_fm, secret_scan
 from emporium.llm.common import table
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model).select(
+        "doc_id", quality_fm.is_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_quality_fm": op1_quality_fm,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_bag_minhash": op3_bag_minhash,
+    "op6_secret_scan": op6_secret_scan,
     "op10_bpe_trie": op10_bpe_trie,
 }
 
