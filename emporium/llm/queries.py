@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, quality_fm, secret_scan, vector_join
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, quality_fm, secret_scan, url_lists, vector_join
 from emporium.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.query(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -46,10 +50,13 @@ QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_decontaminate": op2_decontaminate,
     "op3_bag_minhash": op3_bag_minhash,
+    "op5_url_lists": op5_url_lists,
     "op6_secret_scan": op6_secret_scan,
     "op8_html_crf": op8_html_crf,
     "op9_vector_join": op9_vector_join,
     "op10_bpe_trie": op10_bpe_trie,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_url_lists": url_lists.SQL,
+}
