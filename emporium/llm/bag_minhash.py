@@ -107,7 +107,7 @@ def bands(signature: np.ndarray, n: int, rows: int) -> np.ndarray:
 _cache = WordHashes()
 
 
-def _texts(batches: Iterator[pa.RecordBatch], limit: int = 300_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _texts(batches: Iterator[pa.RecordBatch], limit: int = 60_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of (id, text) batches of ``limit`` words or so, with the words' hashes."""
     for b in batches:
         texts = b.column(1).to_pylist()
@@ -164,6 +164,36 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, share:
     return joined.mapInArrow(run, f"{schema}, similarity double")
 
 
+def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """Verified links (a, b) that join all similar texts of a bucket.
+
+    ``held(bucket, rep, head)`` has the members of each bucket and its
+    smallest; ``texts(id, text)`` has their texts."""
+    pairs = held.where("rep > head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    first = cut(spark, verified(pairs, texts, shingle), "verified")
+    links = first.where(F.col("similarity") >= threshold).select("a", "b")
+
+    # buckets of several components
+    part = components(spark, links)
+    placed = (held.join(part.withColumnRenamed("node", "kn"), F.col("rep") == F.col("kn"), "left")
+              .select("bucket", "rep", "head", F.coalesce("component", "rep").alias("comp")))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("bucket").alias("k"))
+    open_ = (placed.join(mixed, F.col("bucket") == F.col("k"), "left_semi")
+             .join(first.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "similarity"),
+                   (F.col("rep") == F.col("ka")) & (F.col("head") == F.col("kb")))
+             .select("bucket", "rep", "comp", (1 - F.col("similarity")).alias("far")))
+    radius = 1 - threshold
+    open_ = cut(spark, open_.withColumn("cell", F.floor(F.col("far") / radius).cast("int")), "open")
+    other = open_.select(F.col("bucket").alias("k"), F.col("rep").alias("b"), F.col("comp").alias("kc"), F.col("far").alias("kf"),
+                         F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("kcell"))
+    rest = (open_.join(other, (F.col("bucket") == F.col("k")) & (F.col("cell") == F.col("kcell")) & (F.col("rep") > F.col("b"))
+                       & (F.col("comp") != F.col("kc")) & (F.abs(F.col("far") - F.col("kf")) <= radius + 1e-9))
+            .select(F.col("rep").alias("a"), "b").distinct())
+    second = verified(rest, texts, shingle).where(F.col("similarity") >= threshold).select("a", "b")
+    by_part = part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return by_part.union(second)
+
+
 def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_bands: int = BANDS,
                     rows: int = ROWS, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id, kept, digest) per input row; see the module."""
@@ -181,40 +211,17 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     head = (entry.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("top"))
             .where("head < top").select(F.col("bucket").alias("k"), "head"))
     held = cut(spark, entry.join(head, F.col("bucket") == F.col("k")).select("bucket", "rep", "head"), "buckets")
-    pairs = held.where("rep > head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
 
     # 3: exact similarity, from the texts of candidates alone
     named_twice = held.select(F.col("rep").alias("k")).distinct()
     chosen = (named.join(named_twice, F.col("id") == F.col("k"), "left_semi")
               .groupBy("id").agg(F.min("text").alias("text")))
     chosen = cut(spark, chosen, "candidates")
-    first = cut(spark, verified(pairs, chosen, shingle), "verified")
-    links = first.where(F.col("similarity") >= threshold).select("a", "b")
     # rows that share an id share a class
     same_id = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    # 4: buckets of several components
-    part = components(spark, links)
-    placed = (held.join(part.withColumnRenamed("node", "kn"), F.col("rep") == F.col("kn"), "left")
-              .select("bucket", "rep", "head", F.coalesce("component", "rep").alias("comp")))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("bucket").alias("k"))
-    open_ = (placed.join(mixed, F.col("bucket") == F.col("k"), "left_semi")
-             .join(first.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "similarity"),
-                   (F.col("rep") == F.col("ka")) & (F.col("head") == F.col("kb")))
-             .select("bucket", "rep", "comp", (1 - F.col("similarity")).alias("far")))
-    radius = 1 - threshold
-    cell = F.floor(F.col("far") / radius).cast("int")
-    open_ = cut(spark, open_.withColumn("cell", cell), "open")
-    other = open_.select(F.col("bucket").alias("k"), F.col("rep").alias("b"), F.col("comp").alias("kc"), F.col("far").alias("kf"),
-                         F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("kcell"))
-    rest = (open_.join(other, (F.col("bucket") == F.col("k")) & (F.col("cell") == F.col("kcell")) & (F.col("rep") > F.col("b"))
-                       & (F.col("comp") != F.col("kc")) & (F.abs(F.col("far") - F.col("kf")) <= radius + 1e-9))
-            .select(F.col("rep").alias("a"), "b").distinct())
-    second = verified(rest, chosen, shingle).where(F.col("similarity") >= threshold).select("a", "b")
-
     # 5: classes
-    by_rep = part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    classes = components(spark, by_rep.union(second).union(same_id))
+    classes = components(spark, linked(spark, held, chosen, shingle, threshold).union(same_id))
     rows_of = sketches.select("id", "digest").distinct()
     classed = (rows_of.join(classes.withColumnRenamed("node", "kn"), F.col("id") == F.col("kn"), "left")
                .select("id", F.coalesce("component", "id").alias("class_id")).distinct())

@@ -52,7 +52,7 @@ class WordHashes(dict):
     punctuation; 0 for tokens that are punctuation only. Bounded: emptied
     when it holds ``limit`` tokens."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

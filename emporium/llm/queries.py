@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, quality_fm, secret_scan, url_lists, vector_join
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, paragraph_dedup, quality_fm, secret_scan, url_lists, vector_join
 from emporium.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_bag_minhash": op3_bag_minhash,
     "op5_url_lists": op5_url_lists,
     "op6_secret_scan": op6_secret_scan,
+    "op7_paragraph_dedup": op7_paragraph_dedup,
     "op8_html_crf": op8_html_crf,
     "op9_vector_join": op9_vector_join,
     "op10_bpe_trie": op10_bpe_trie,
