@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, paragraph_dedup, quality_fm, secret_scan, url_lists, vector_join
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, license_scan, paragraph_dedup, quality_fm, secret_scan, url_lists, vector_join
 from emporium.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.query(spark, table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_decontaminate": op2_decontaminate,
     "op3_bag_minhash": op3_bag_minhash,
+    "op4_license_scan": op4_license_scan,
     "op5_url_lists": op5_url_lists,
     "op6_secret_scan": op6_secret_scan,
     "op7_paragraph_dedup": op7_paragraph_dedup,
