@@ -168,7 +168,11 @@ def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int,
     """Verified links (a, b) that join all similar texts of a bucket.
 
     ``held(bucket, rep, head)`` has the members of each bucket and its
-    smallest; ``texts(id, text)`` has their texts."""
+    smallest; ``texts(id, text)`` has their texts. With a column ``owner``,
+    links between members of one owner are of no use and not looked for
+    after the comparison with the bucket's smallest."""
+    if "owner" not in held.columns:
+        held = held.withColumn("owner", F.col("rep"))
     pairs = held.where("rep > head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     first = cut(spark, verified(pairs, texts, shingle), "verified")
     links = first.where(F.col("similarity") >= threshold).select("a", "b")
@@ -176,18 +180,19 @@ def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int,
     # buckets of several components
     part = components(spark, links)
     placed = (held.join(part.withColumnRenamed("node", "kn"), F.col("rep") == F.col("kn"), "left")
-              .select("bucket", "rep", "head", F.coalesce("component", "rep").alias("comp")))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("bucket").alias("k"))
+              .select("bucket", "rep", "head", "owner", F.coalesce("component", "rep").alias("comp")))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("owner").alias("o1"), F.max("owner").alias("o2"))
+             .where("c1 < c2 and o1 < o2").select(F.col("bucket").alias("k")))
     open_ = (placed.join(mixed, F.col("bucket") == F.col("k"), "left_semi")
              .join(first.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "similarity"),
                    (F.col("rep") == F.col("ka")) & (F.col("head") == F.col("kb")))
-             .select("bucket", "rep", "comp", (1 - F.col("similarity")).alias("far")))
+             .select("bucket", "rep", "comp", "owner", (1 - F.col("similarity")).alias("far")))
     radius = 1 - threshold
     open_ = cut(spark, open_.withColumn("cell", F.floor(F.col("far") / radius).cast("int")), "open")
-    other = open_.select(F.col("bucket").alias("k"), F.col("rep").alias("b"), F.col("comp").alias("kc"), F.col("far").alias("kf"),
+    other = open_.select(F.col("bucket").alias("k"), F.col("rep").alias("b"), F.col("comp").alias("kc"), F.col("far").alias("kf"), F.col("owner").alias("ko"),
                          F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("kcell"))
     rest = (open_.join(other, (F.col("bucket") == F.col("k")) & (F.col("cell") == F.col("kcell")) & (F.col("rep") > F.col("b"))
-                       & (F.col("comp") != F.col("kc")) & (F.abs(F.col("far") - F.col("kf")) <= radius + 1e-9))
+                       & (F.col("comp") != F.col("kc")) & (F.col("owner") != F.col("ko")) & (F.abs(F.col("far") - F.col("kf")) <= radius + 1e-9))
             .select(F.col("rep").alias("a"), "b").distinct())
     second = verified(rest, texts, shingle).where(F.col("similarity") >= threshold).select("a", "b")
     by_part = part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
