@@ -28,7 +28,8 @@ def row_hash(df: DataFrame, columns: list[str]) -> Column:
 
 
 def surrogate_key(*cols: Column | str) -> Column:
-    """A 60-bit BIGINT key derived from the natural key.
+    """A key derived from the natural key: its full SHA-256, so keys of
+    different rows are different at any table size.
 
     Unlike ``monotonically_increasing_id`` it does not depend on partition
     layout, so it is stable across rebuilds and across appends.
@@ -36,4 +37,4 @@ def surrogate_key(*cols: Column | str) -> Column:
     parts = [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(HASH_NULL)).cast("string")
              for c in cols]
     text = parts[0] if len(parts) == 1 else F.concat_ws(HASH_SEP, *parts)
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+    return F.sha2(text, 256)

@@ -47,13 +47,10 @@ def missing_columns(df: DataFrame, required: list[str]) -> Column:
     return F.lit(len([c for c in required if c not in df.columns]))
 
 
-def flag_misses(df: DataFrame, ref: DataFrame, left_key: str, right_key: str, flag: str,
-                broadcast: bool = False) -> DataFrame:
+def flag_misses(df: DataFrame, ref: DataFrame, left_key: str, right_key: str, flag: str) -> DataFrame:
     """Left join ``df`` to the distinct keys of ``ref`` and add ``flag`` =
     true when the key has no partner (null keys are misses, as in an anti join)."""
     keys = ref.select(F.col(right_key).alias("_rk")).distinct().withColumn(flag, F.lit(False))
-    if broadcast:
-        keys = F.broadcast(keys)
     j = df.join(keys, df[left_key] == keys["_rk"], "left").drop("_rk")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(True)))
 

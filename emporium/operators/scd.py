@@ -48,8 +48,12 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, key: str, hash_col: str,
 
     has_cur = F.col("c_valid_from").isNotNull()
     has_inc = F.col("i_" + hash_col).isNotNull()
-    changed = has_cur & has_inc & ~F.col("c_" + hash_col).eqNullSafe(F.col("i_" + hash_col))
     eff = _ts(effective_ts)
+    differs = has_cur & has_inc & ~F.col("c_" + hash_col).eqNullSafe(F.col("i_" + hash_col))
+    # A batch at the time a version began corrects that version in place; one
+    # from before it comes too late and changes nothing.
+    replaced = differs & (F.col("c_valid_from") == eff)
+    changed = differs & (F.col("c_valid_from") < eff)
 
     old = F.struct(
         F.col("c_" + sk).alias(sk), F.col("c_" + key).alias(key),
@@ -64,7 +68,7 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, key: str, hash_col: str,
         *[F.col("i_" + a).alias(a) for a in attrs],
         F.lit(True).alias("is_current"), eff.alias("valid_from"), _ts(open_end).alias("valid_to"),
     )
-    rows = F.array(F.when(has_cur, old), F.when(has_inc & (~has_cur | changed), new))
+    rows = F.array(F.when(has_cur & ~replaced, old), F.when(has_inc & (~has_cur | changed | replaced), new))
     applied = (j.select(F.explode(rows).alias("r")).filter(F.col("r").isNotNull())
                 .select("r.*"))
     return closed.select(*cols).unionByName(applied)

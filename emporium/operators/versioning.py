@@ -1,8 +1,8 @@
 """Versioned tables (history / time travel) on plain Parquet.
 
 A versioned table is an append-only change log: every commit appends the
-rows it wrote under a new ``_version`` partition together with a commit
-record (version, timestamp, row count, operation). A snapshot at version n
+rows it wrote together with a commit record (version, timestamp, row count,
+operation). A snapshot at version n
 is, per key, the row with the greatest ``_version <= n`` -- computed with a
 partial ``max(struct)`` aggregate, so it partitions like any group-by and a
 hot key is pre-reduced per task. Deletes are recorded as tombstones.
@@ -12,10 +12,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.operators.upsert import change_set, clean_source
+from emporium.sources.warehouse import exists
+
 
 def tag(df: DataFrame, version: int, deleted: bool = False) -> DataFrame:
     return df.select("*", F.lit(version).alias("_version"), F.lit(deleted).alias("_deleted"))
@@ -31,61 +35,75 @@ def snapshot(log: DataFrame, keys: list[str], version: int | None = None) -> Dat
 
 
 class VersionedTable:
-    """A change-log table at ``path`` (on the shared file system)."""
+    """A change-log table at ``path`` (on the shared file system).
+
+    ``data/_attempt=<id>`` holds the rows of one commit attempt, and
+    ``_commits/_version=<n>`` names the attempt that became version n. A
+    commit writes its data first and then its record, which must not exist
+    yet: of two writers of the same version the second fails, and nothing
+    that a record names is ever overwritten. Attempts without a record are
+    never read. A table that can't be read raises; only a missing commit
+    folder means an empty table.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str]):
         self.spark, self.path, self.keys = spark, path, keys
         self.data_path = os.path.join(path, "data")
         self.commits_path = os.path.join(path, "_commits")
 
-    def _exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.commits_path).limit(1).count()
-            return True
-        except Exception:  # noqa: BLE001 -- absent table
-            return False
+    def exists(self) -> bool:
+        return exists(self.spark, self.commits_path)
 
     def commits(self) -> DataFrame:
-        return self.spark.read.parquet(self.commits_path)
+        """One row per version: version, attempt, committed_at, operation, rows."""
+        return (self.spark.read.schema("attempt string, committed_at timestamp_ntz, operation string, rows long, _version int")
+                .parquet(self.commits_path).withColumnRenamed("_version", "version"))
 
     def latest_version(self) -> int:
-        if not self._exists():
+        if not self.exists():
             return 0
         return self.commits().agg(F.max("version")).first()[0] or 0
 
     def commit(self, rows: DataFrame, operation: str, committed_at: _dt.datetime | None = None,
-               deleted: bool = False) -> int:
-        """Append ``rows`` as the next version; returns the version number."""
-        v = self.latest_version() + 1
-        from pyspark.sql import Observation
-        obs = Observation(f"commit_{v}")
+               deleted: bool = False, partition_by: list[str] | None = None) -> int:
+        """Append ``rows`` as the next version, creating the table if it is
+        missing; returns the version number."""
+        v, attempt = self.latest_version() + 1, uuid.uuid4().hex
+        obs = Observation(f"commit_{attempt}")
         out = rows.withColumn("_deleted", F.lit(deleted)).observe(obs, F.count(F.lit(1)).alias("rows"))
-        # Data first, into its own version folder with overwrite: a commit
-        # retried after a failure (data written, no commit record) replaces
-        # the orphaned files instead of duplicating them. The commit record
-        # is what makes the version visible to readers of the history.
-        out.write.mode("overwrite").parquet(f"{self.data_path}/_version={v}")
+        out.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{self.data_path}/_attempt={attempt}")
         ts = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rec = self.spark.createDataFrame(
-            [(v, ts, operation, int(obs.get["rows"]))],
-            "version int, committed_at timestamp_ntz, operation string, rows long")
-        rec.write.mode("append").parquet(self.commits_path)
+        rec = self.spark.createDataFrame([(attempt, ts, operation, int(obs.get["rows"]))],
+                                         "attempt string, committed_at timestamp_ntz, operation string, rows long")
+        rec.write.mode("errorifexists").parquet(f"{self.commits_path}/_version={v}")
         return v
 
-    def log(self) -> DataFrame:
-        """Committed versions only (orphaned data of a failed commit is ignored)."""
-        committed = self.latest_version()
-        return self.spark.read.parquet(self.data_path).filter(F.col("_version") <= committed)
+    def upsert(self, source: DataFrame, operation: str = "upsert", committed_at: _dt.datetime | None = None,
+               partition_by: list[str] | None = None) -> int:
+        """Commit the rows of ``source`` that are new or changed; the first
+        call creates the table from all of them."""
+        src = clean_source(source, self.keys)
+        if self.exists():
+            kinds = change_set(self.read_version(), src, self.keys).filter(F.col("change_type").isin("insert", "update"))
+            src = src.join(kinds.select(*self.keys), self.keys, "left_semi")
+        return self.commit(src, operation, committed_at, partition_by=partition_by)
+
+    def log(self, version: int | None = None) -> DataFrame:
+        """Rows of the committed versions up to ``version`` (attempts without a record are ignored)."""
+        named = self.commits().select(F.col("attempt").alias("_attempt"), F.col("version").alias("_version"))
+        if version is not None:
+            named = named.filter(F.col("_version") <= version)
+        data = self.spark.read.option("mergeSchema", "true").parquet(self.data_path)
+        return data.join(named, "_attempt").drop("_attempt")
 
     def read_version(self, version: int | None = None) -> DataFrame:
-        return snapshot(self.log(), self.keys, version)
+        return snapshot(self.log(version), self.keys)
 
     def read_as_of(self, ts) -> DataFrame:
         """Snapshot of the last version committed at or before ``ts``."""
         row = (self.commits().filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz"))
                .agg(F.max("version")).first())
-        v = row[0] if row and row[0] is not None else 0
-        return self.read_version(v)
+        return self.read_version(row[0] or 0)
 
     def history(self) -> DataFrame:
-        return self.commits().orderBy("version")
+        return self.commits().drop("attempt").orderBy("version")

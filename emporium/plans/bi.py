@@ -75,10 +75,10 @@ def segment_counts(clv: DataFrame) -> DataFrame:
         F.sum("lifetime_value").cast(MONEY_SUM).alias("revenue"))
 
 
-def clv_histogram(clv: DataFrame, width: int = 500, buckets: int = 20) -> DataFrame:
-    """People per lifetime-value band of ``width`` (last band open)."""
+def clv_histogram(clv: DataFrame, width: int = 500) -> DataFrame:
+    """People per lifetime-value band of ``width``, every band that occurs."""
     # Integer division on cents: exact band edges.
-    b = F.least(F.expr(f"CAST(lifetime_value * 100 AS BIGINT) div {width * 100}"), F.lit(buckets))
+    b = F.expr(f"CAST(lifetime_value * 100 AS BIGINT) div {width * 100}")
     return clv.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("customers")).select(
         "bucket", (F.col("bucket") * width).alias("bucket_start"), "customers")
 
@@ -86,20 +86,18 @@ def clv_histogram(clv: DataFrame, width: int = 500, buckets: int = 20) -> DataFr
 def new_vs_returning(fact: DataFrame) -> DataFrame:
     """Per month, people ordering for the first time vs returning.
 
-    The first purchase per person is a partial aggregate joined back on the
-    person key (AQE splits a hot person), not a window over all of one
-    person's orders.
+    Orders are counted per person and month first (combined before the
+    shuffle), so a person is as many rows as there are months, however many
+    orders they place; the first month joins these rows.
     """
-    f = fact.filter(F.col("customer_unique_id").isNotNull())
-    first = f.groupBy("customer_unique_id").agg(
-        F.date_format(F.min("order_purchase_timestamp"), "yyyy-MM").alias("first_month"))
-    j = f.select("customer_unique_id", "order_id",
-                 F.date_format("order_purchase_timestamp", "yyyy-MM").alias("year_month")).join(
-        first, "customer_unique_id")
+    months = (fact.filter(F.col("customer_unique_id").isNotNull())
+              .groupBy("customer_unique_id", F.date_format("order_purchase_timestamp", "yyyy-MM").alias("year_month"))
+              .agg(F.count("order_id").alias("orders")))
+    first = months.groupBy("customer_unique_id").agg(F.min("year_month").alias("first_month"))
+    j = months.join(first, "customer_unique_id")
     kind = F.when(F.col("year_month") == F.col("first_month"), "new").otherwise("returning")
     return j.groupBy("year_month", kind.alias("customer_type")).agg(
-        F.count_distinct("customer_unique_id").alias("customers"),
-        F.count("order_id").alias("orders"))
+        F.count("customer_unique_id").alias("customers"), F.sum("orders").alias("orders"))
 
 
 def _with_geo(fact: DataFrame, dim_customers: DataFrame, dim_geography: DataFrame) -> DataFrame:

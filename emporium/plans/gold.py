@@ -188,8 +188,15 @@ def fact_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 class Gold:
     """Gold tables over one source folder (lazy, or materialized with a store)."""
 
-    def __init__(self, spark: SparkSession, base: str, silver: Silver | None = None, store=None):
+    def __init__(self, spark: SparkSession, base: str, silver: Silver | None = None, store=None,
+                 customer_history: DataFrame | None = None, customer_batches=None):
+        """``customer_history`` is the stored customer dimension of the last
+        load (none on the first); this load's Silver customers are applied to
+        it. ``customer_batches() -> [(customers, effective time), ...]``
+        gives other batches, oldest first (the test tables hold two)."""
         self.spark, self.base, self.store = spark, base, store
+        self.customer_history = customer_history
+        self.customer_batches = customer_batches or (lambda: [(self.silver.customers, self.silver.batch_ts)])
         self.silver = silver or Silver(spark, base, store=store)
         self._t: dict[str, DataFrame] = {}
 
@@ -264,8 +271,8 @@ class Gold:
 
     @property
     def dim_customers(self):
-        from emporium.plans.history import dim_customers
-        return self._memo("dim_customers", lambda: dim_customers(self.spark, self.base))
+        from emporium.plans.history import apply_customers
+        return self._memo("dim_customers", lambda: apply_customers(self.customer_history, self.customer_batches()))
 
     @property
     def fact_order_items(self):

@@ -18,6 +18,7 @@ from emporium.functions.hashing import row_hash
 from emporium.operators import scd, upsert, versioning
 from emporium.operators.dedup import keep_first
 from emporium.plans.silver import Silver, silver_customers, silver_orders
+from emporium.session import run_folder
 from emporium.sources.bronze import bronze
 
 INITIAL_TS = _dt.datetime(1990, 1, 1)
@@ -41,6 +42,25 @@ def customer_incoming(customers: DataFrame, tracked: list[str] | None = None) ->
     return people.withColumn("record_hash", row_hash(people, tracked or CUSTOMER_ATTRS))
 
 
+def apply_customers(history: DataFrame | None, batches: list[tuple[DataFrame, object]], tracked: list[str] | None = None,
+                    open_end=None) -> DataFrame:
+    """The customer dimension after batches of Silver customers, oldest first,
+    on top of its stored history (None before the first load)."""
+    for customers, at in batches:
+        incoming = customer_incoming(customers, tracked)
+        if history is None:
+            history = scd.scd2_initial(incoming, "customer_unique_id", at, sk="customer_sk", open_end=open_end)
+        else:
+            history = scd.scd2_apply(history, incoming, "customer_unique_id", "record_hash", at, sk="customer_sk", open_end=open_end)
+    return history
+
+
+def scenario_batches(spark: SparkSession, sf: str) -> list[tuple[DataFrame, object]]:
+    """The two customer batches of the test tables."""
+    return [(silver_customers(bronze(spark, sf, "customers_batch1")), INITIAL_TS),
+            (silver_customers(bronze(spark, sf, "customers_batch2")), CHANGE_TS)]
+
+
 def customers_batch(spark: SparkSession, sf: str, n: int, tracked: list[str] | None = None) -> DataFrame:
     entity = "customers_batch1" if n == 1 else "customers_batch2"
     return customer_incoming(silver_customers(bronze(spark, sf, entity)), tracked)
@@ -53,9 +73,7 @@ def dim_customers_initial(spark, sf, open_end=None, tracked=None) -> DataFrame:
 
 def dim_customers(spark, sf, open_end=None, tracked=None) -> DataFrame:
     """Batch 1 then batch 2, as one plan."""
-    hist = dim_customers_initial(spark, sf, open_end, tracked)
-    return scd.scd2_apply(hist, customers_batch(spark, sf, 2, tracked), "customer_unique_id", "record_hash",
-                          CHANGE_TS, sk="customer_sk", open_end=open_end)
+    return apply_customers(None, scenario_batches(spark, sf), tracked, open_end)
 
 
 def customer_changes(spark, sf) -> DataFrame:
@@ -121,6 +139,33 @@ def snapshot_as_of(spark, sf, silver=None) -> DataFrame:
                                      "order_delivered_customer_date", "record_hash")
 
 
+def versioned_orders_table(spark, sf, silver=None) -> versioning.VersionedTable:
+    """M1 / M6: a stored order table, created from batch 1 and upserted with batch 2."""
+    t, s = orders_batches(spark, sf, silver)
+    table = versioning.VersionedTable(spark, run_folder(spark, "orders-table"), ["order_id"])
+    table.upsert(t, "create", INITIAL_TS)
+    table.upsert(s, "upsert", BATCH2_TS)
+    return table
+
+
+def versioned_orders(spark, sf, silver=None) -> DataFrame:
+    """The stored table by version and by time: version 1, as of the second
+    commit, and the newest."""
+    table = versioned_orders_table(spark, sf, silver)
+    cols = ["order_id", "order_status", "order_delivered_customer_date", "record_hash"]
+    reads = {"version 1": table.read_version(1), "as of batch 2": table.read_as_of(BATCH2_TS), "newest": table.read_version()}
+    out = None
+    for name, df in reads.items():
+        part = df.select(F.lit(name).alias("read"), *cols)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def version_history(spark, sf, silver=None) -> DataFrame:
+    return versioned_orders_table(spark, sf, silver).history().select(
+        F.col("version").cast("long").alias("version"), "operation", "rows")
+
+
 def schema_evolution(spark, sf, silver=None) -> DataFrame:
     """Additive evolution: an older, narrower batch unioned with a wider one."""
     t, s = orders_batches(spark, sf, silver)

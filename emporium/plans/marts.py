@@ -1,9 +1,8 @@
 """Business marts over the Gold star schema (each a function -> DataFrame).
 
-Small dimensions are broadcast only where their size has a proven bound:
-``dim_date`` is bounded by the calendar span (366 rows per year), never by
-data volume. Everything else is left to the planner (AQE turns a side into
-a broadcast at runtime when its measured size is below the threshold).
+No side is broadcast by a hint: the planner and AQE broadcast a side when
+its measured size is below the threshold (a calendar stretched by one wrong
+timestamp is joined by shuffle).
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from emporium.functions.numeric import MONEY_SUM, avg_exact, pct
 
 def daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """V1: revenue, orders, freight, items and cancellations per calendar day."""
-    j = fact.join(F.broadcast(dim_date), fact["order_date_key"] == dim_date["date_key"])
+    j = fact.join(dim_date, fact["order_date_key"] == dim_date["date_key"])
     keys = ["date", "year", "month", "month_name", "year_month", "year_quarter", "day_name", "is_weekend"]
     # The fact has one row per order, so count(order_id) is the distinct count.
     return j.groupBy(*keys).agg(
@@ -66,12 +65,11 @@ def customer_lifetime_value(fact: DataFrame, dim_customers: DataFrame, literal:
                                       F.col("customer_city").alias("city"),
                                       F.col("customer_state").alias("state"))
     f = fact.filter(F.col("order_status").isin("DELIVERED", "SHIPPED"))
-    if literal:
-        j = f.drop("customer_unique_id").join(c, "customer_id")
-    else:
-        j = f.drop("customer_id").join(c.drop("customer_id"), "customer_unique_id")
+    # To person grain before the join: a hot person's orders are combined in
+    # every task, and the join moves one row per person.
+    key = "customer_id" if literal else "customer_unique_id"
     ts = F.col("order_purchase_timestamp")
-    out = j.groupBy("customer_unique_id", "city", "state").agg(
+    per = f.groupBy(key).agg(
         F.count("order_id").alias("total_orders"),
         F.sum("total_payment_value").cast(MONEY_SUM).alias("lifetime_value"),
         avg_exact(F.col("total_payment_value")).alias("avg_order_value"),
@@ -80,6 +78,7 @@ def customer_lifetime_value(fact: DataFrame, dim_customers: DataFrame, literal:
         F.datediff(F.to_date(F.max(ts)), F.to_date(F.min(ts))).alias("customer_tenure_days"),
         avg_days().alias("avg_delivery_days"),
     )
+    out = c.join(per, key).select("customer_unique_id", "city", "state", *[x for x in per.columns if x != key])
     return out.withColumn("value_segment", value_segment(F.col("lifetime_value")))
 
 

@@ -37,7 +37,7 @@ def skey(*cols: str) -> str:
     else:
         text = f"concat_ws(chr({ord(HASH_SEP)}), " + ", ".join(
             f"coalesce(CAST({c} AS VARCHAR), chr({ord(HASH_NULL)}))" for c in cols) + ")"
-    return f"('0x' || substr(sha256({text}), 1, 15))::BIGINT"
+    return f"sha256({text})"
 
 
 def initcap(expr: str) -> str:

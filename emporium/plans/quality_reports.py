@@ -39,8 +39,7 @@ def dq_report(g: Gold, as_of=DEFAULT_AS_OF) -> DataFrame:
     cur = g.dim_customers.filter(F.col("is_current"))
     f = g.fact_orders.select("order_id", "customer_id", "customer_unique_id", "order_date_key",
                              "total_payment_value", "order_purchase_timestamp")
-    # dim_date is bounded by the calendar span: broadcast is safe.
-    f = Q.flag_misses(f, g.dim_date, "order_date_key", "date_key", "_no_date", broadcast=True)
+    f = Q.flag_misses(f, g.dim_date, "order_date_key", "date_key", "_no_date")
     f = Q.flag_misses(f, cur, "customer_id", "customer_id", "_no_cust_id")
     f = Q.flag_misses(f, cur, "customer_unique_id", "customer_unique_id", "_no_person")
     fact = Q.table_checks(f, "fact_orders", {

@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if cur and cur.startswith("file:"):
             cur = cur[len("file:"):]
     if not cur:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="emporium-ckpt-")
         cur = _LOCAL_FALLBACK

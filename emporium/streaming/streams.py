@@ -6,15 +6,18 @@ reproduced as a JSON body so the decode step is the real one.
 
 Every job writes under the shared checkpoint folder (``spark.checkpoint.dir``;
 a private folder only when unset, as in tests), with its own checkpoint so a
-restarted job resumes exactly where it stopped. Jobs run with the
-``availableNow`` trigger: they drain what is there and stop.
+job started again on its checkpoint resumes where it stopped (``late_drop``
+does so). The registered jobs each take a new folder and run with the
+``availableNow`` trigger: they drain what is there and stop. In append mode
+the windows still open at the end are not part of the result;
+``tumbling_upsert`` (update mode) has every window.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators import versioning
@@ -33,21 +36,11 @@ def workdir(spark: SparkSession, name: str) -> str:
 
 def event_source(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the event files in ``folder``.
-
-    A landing folder with fewer files than cores would decode each
-    micro-batch in a handful of tasks; then the rows are spread round-robin
-    across the cores first (a busy folder, like a many-partition topic,
-    already gives one task per file and is left alone)."""
-    from emporium.sources.warehouse import count_files
+    """Streaming read of the event files in ``folder``."""
     r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.parquet(folder)
-    cores = spark.sparkContext.defaultParallelism
-    if count_files(spark, f"{folder.rstrip('/')}/{file_glob}") < cores:
-        df = df.repartition(cores)
-    return df
+    return r.parquet(folder)
 
 
 def json_source(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -105,8 +98,8 @@ class _state_partitions:
 
 
 def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict | None = None,
-                   timeout_s: float | None = None) -> dict:
-    """Run a stream into a Parquet sink and return its progress.
+                   timeout_s: float | None = None) -> None:
+    """Run a stream into a Parquet sink.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (drain and stop); a
     continuous deployment passes e.g. ``{"processingTime": "30 seconds"}``
@@ -121,8 +114,6 @@ def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict
     else:
         q.awaitTermination(timeout_s)
         q.stop()
-    progress = q.recentProgress
-    return {"progress": progress}
 
 
 def raw_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,57 +216,64 @@ def tumbling_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return _ntz(snap, "window_start", "window_end").select(*keys, "event_count", "unique_sessions")
 
 
-def progress_frame(spark: SparkSession, progress: list) -> DataFrame:
-    """Micro-batch progress as rows (batch id, input rows, late drops)."""
-    rows = []
-    for p in progress:
-        dropped = sum(int(s.get("numRowsDroppedByWatermark", 0) or 0) for s in p.get("stateOperators", []))
-        state = sum(int(s.get("numRowsTotal", 0) or 0) for s in p.get("stateOperators", []))
-        rows.append((int(p["batchId"]), int(p.get("numInputRows", 0)), dropped, state))
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, rows_dropped_by_watermark long, "
-                                       "state_rows long")
-
-
-def _as_dicts(progress: list) -> list[dict]:
-    import json
-    return [p if isinstance(p, dict) else json.loads(p.json) for p in progress]
-
-
 def late_drop(spark: SparkSession, folder: str) -> DataFrame:
     """Replay the events out of time order and report what was dropped.
 
-    Three parts land one after the other: the newest quarter, the next
-    quarter, then the older half. Spark filters late rows against the
-    watermark of the *previous* micro-batch, so the older half (third batch)
-    arrives behind the watermark set by the first and is dropped.
-    Split points are approximate quantiles of event time (bounded sketch,
-    evaluated once as a scalar subquery).
+    Three parts land one after the other -- the newest quarter of the time
+    span, the quarter before it, then the older half -- and after each the
+    job is started again on the same checkpoint (a restart resumes where the
+    last run stopped). Late rows are those whose window ended before the
+    watermark that the earlier batches set. One row: events sent, events
+    counted in some window, late events, and windows.
     """
-    src = spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(folder, "events.parquet"))
-    q = src.agg(F.percentile_approx("ts", [0.5, 0.75]).alias("q")).scalar()
-    replay = workdir(spark, "late-src")
-    parts = [src.filter(F.col("ts") >= q[1]),
-             src.filter((F.col("ts") >= q[0]) & (F.col("ts") < q[1])),
-             src.filter(F.col("ts") < q[0])]
-    # Each part is written in parallel as exactly ``k`` files, the parts one
-    # after the other: the file source replays in modification order and
-    # ``maxFilesPerTrigger = k`` makes each micro-batch exactly one part.
-    k = spark.sparkContext.defaultParallelism
+    src = spark.read.schema(EVENTS_SCHEMA).parquet(_event_files(folder))
+    lo, hi = src.agg(F.min("ts"), F.max("ts")).first()
+    replay, out = workdir(spark, "late-src"), workdir(spark, "late")
+    span = (hi - lo) // _dt.timedelta(microseconds=1) if lo else 0
+    cut = [F.lit(lo + _dt.timedelta(microseconds=n) if lo else None).cast("timestamp_ntz") for n in (span * 3 // 4, span // 2)]
+    ts = F.col("ts")
+    parts = [src.filter(ts >= cut[0]), src.filter((ts >= cut[1]) & (ts < cut[0])), src.filter(ts < cut[1])]
+
+    def write_batch(batch: DataFrame, batch_id: int):
+        batch.withColumn("_deleted", F.lit(False)).write.mode("overwrite").parquet(f"{out}/table/_version={int(batch_id)}")
+
     for i, part in enumerate(parts):
-        part.repartition(k).write.parquet(f"{replay}/{i}")
-    ev = CS.decode_valid(as_json_messages(shape(
-        spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", k)
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        .parquet(replay), "clickstream")), ltz=True)
-    m = CS.tumbling_metrics(ev.withWatermark("event_ts", WATERMARK), exact_sessions=False)
-    out = workdir(spark, "late")
-    res = run_to_parquet(m, out)
-    return progress_frame(spark, _as_dicts(res["progress"]))
-
-
-def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """Progress rows of a tumbling-window run."""
-    ev = events(spark, folder, max_files_per_trigger=1).withWatermark("event_ts", WATERMARK)
+        part.write.parquet(f"{replay}/{i}")
+        ev = CS.decode_valid(as_json_messages(shape(
+            spark.readStream.schema(EVENTS_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .parquet(replay), "clickstream")), ltz=True)
+        g = ev.withWatermark("event_ts", WATERMARK).groupBy(F.window("event_ts", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+        with _state_partitions(spark):
+            q = (g.select(F.col("w.start").alias("window_start"), "n").writeStream.outputMode("update").foreachBatch(write_batch)
+                 .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    sent = CS.decode_valid(as_json_messages(shape(src, "clickstream"))).agg(F.count(F.lit(1)).alias("sent_events"))
+    log = spark.read.schema("window_start timestamp, n long, _deleted boolean, _version int").parquet(out + "/table")
+    kept = versioning.snapshot(log, ["window_start"]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("kept_events"), F.count(F.lit(1)).alias("windows"))
+    return sent.join(kept).select("sent_events", "kept_events", (F.col("sent_events") - F.col("kept_events")).alias("late_events"), "windows")
+
+
+def stream_progress(spark: SparkSession, folder: str, file_glob: str = "events*.parquet") -> DataFrame:
+    """What each micro-batch (one file) read and wrote.
+
+    Every batch writes its own record beside its rows, so the report covers
+    all batches of the checkpoint, however many; a replayed batch replaces
+    its record."""
     out = workdir(spark, "progress")
-    res = run_to_parquet(CS.tumbling_metrics(ev, exact_sessions=False), out)
-    return progress_frame(spark, _as_dicts(res["progress"]))
+
+    def write_batch(batch: DataFrame, batch_id: int):
+        own = Observation(f"batch_{batch_id}")
+        (CS.decode_valid(batch.observe(own, F.count(F.lit(1)).alias("n"))).write.mode("overwrite").parquet(f"{out}/data/batch={int(batch_id)}"))
+        written = batch.sparkSession.read.parquet(f"{out}/data/batch={int(batch_id)}").count()
+        batch.sparkSession.createDataFrame([(int(own.get["n"]), written)], "input_rows long, sink_rows long") \
+            .write.mode("overwrite").parquet(f"{out}/progress/batch_id={int(batch_id)}")
+
+    q = (messages(spark, folder, file_glob=file_glob, max_files_per_trigger=1).writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("input_rows long, sink_rows long, batch_id long").parquet(out + "/progress").select("batch_id", "input_rows", "sink_rows")
+
+
+def _event_files(folder: str) -> str:
+    """The events table: one file, or a folder of files, of that name."""
+    return f"{folder.rstrip('/')}/events*.parquet"

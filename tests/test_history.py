@@ -108,14 +108,50 @@ def test_versioned_snapshots(spark, tmp_path):
     assert {r.v for r in vt.read_version(1).collect()} == {"1"}
     assert {r.v for r in vt.read_as_of(dt.datetime(2024, 1, 15)).collect()} == {"1"}
     assert [r.rows for r in vt.history().collect()] == [1, 1]
-    # a failed commit (data written, no record) is invisible and is replaced by the retry
+    # a failed commit (data written, no record) is invisible
     spark.createDataFrame([("a", "junk", False)], "k string, v string, _deleted boolean") \
-        .write.parquet(str(tmp_path / "t" / "data" / "_version=3"))
+        .write.parquet(str(tmp_path / "t" / "data" / "_attempt=dead"))
     assert {r.v for r in vt.read_version().collect()} == {"2"}
     assert vt.commit(spark.createDataFrame([("a", "3")], schema), "merge") == 3
     assert {r.v for r in vt.read_version().collect()} == {"3"} and vt.log().count() == 3
 
 
+def test_versioned_table_loses_nothing(spark, tmp_path):
+    import pytest
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, record_hash string")
+    vt = versioning.VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    assert not vt.exists() and vt.upsert(rows(("a", "1", "h1"), ("b", "1", "h1"))) == 1   # create if missing
+    assert vt.upsert(rows(("a", "1", "h1"), ("b", "2", "h2"), ("c", "1", "h1"))) == 2
+    assert [r.rows for r in vt.history().collect()] == [2, 2]
+    assert {(r.k, r.v) for r in vt.read_version().collect()} == {("a", "1"), ("b", "2"), ("c", "1")}
+    # a second writer of the same version fails instead of overwriting
+    late = versioning.VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    late.latest_version = lambda: 1
+    with pytest.raises(Exception):
+        late.commit(rows(("z", "9", "h9")), "write")
+    assert {r.k for r in vt.read_version().collect()} == {"a", "b", "c"}
+    # a damaged log raises, and version 1 stays
+    bad = tmp_path / "t" / "_commits" / "_version=3"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        vt.commit(rows(("x", "1", "h1")), "write")
+    (bad / "part-0.parquet").unlink()
+    bad.rmdir()
+    assert {r.k for r in vt.read_version(1).collect()} == {"a", "b"}
+
+
+def test_scd2_batches_at_or_before_the_current_version(spark):
+    one = lambda v: spark.createDataFrame([("a", v, v)], "customer_unique_id string, city string, record_hash string")
+    t = lambda d: dt.datetime(2024, 1, d)
+    h = scd.scd2_apply(scd.scd2_initial(one("x"), "customer_unique_id", t(1), sk="customer_sk"), one("y"), "customer_unique_id", "record_hash", t(5), sk="customer_sk")
+    same = scd.scd2_apply(h, one("z"), "customer_unique_id", "record_hash", t(5), sk="customer_sk").collect()
+    assert sorted((r.city, r.is_current) for r in same) == [("x", False), ("z", True)]
+    assert len({r.customer_sk for r in same}) == 2 and all(r.valid_to is None or r.valid_to > r.valid_from for r in same)
+    older = scd.scd2_apply(h, one("z"), "customer_unique_id", "record_hash", t(3), sk="customer_sk").collect()
+    assert sorted((r.city, r.is_current) for r in older) == [("x", False), ("y", True)]
+
+
 def test_schema_enforcement(spark):
     import pytest
     from pyspark.sql import types as T

@@ -75,3 +75,11 @@ def test_marts_from_ingested_landings(spark, tmp_path):
     got = marts.daily_revenue(g.fact_orders, g.dim_date)
     want = registry.QUERIES["daily_revenue"](spark, SF_SMALL)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    # the customer dimension comes from the landed customers, the next load is applied to its history
+    people = silver.customers.select("customer_unique_id").where("customer_unique_id IS NOT NULL").distinct().count()
+    first = g.dim_customers
+    assert first.count() == first.where("is_current").count() == people
+    again = Gold(spark, f"{root}/bronze", silver=silver, customer_history=first)
+    assert again.dim_customers.count() == people
+    assert set(g.register_views()) == set(g.DIMENSIONS + g.FACTS)
+    g.build_all()

@@ -3,6 +3,8 @@ is made only when the setting is absent."""
 
 import os
 
+import pytest
+
 from emporium import session
 
 
@@ -16,7 +18,7 @@ class _Conf:
 
 class _Ctx:
     def __init__(self, value):
-        self._conf, self.registered = _Conf(value), None
+        self._conf, self.registered, self.master = _Conf(value), None, "local[1]"
 
     def getConf(self):
         return self._conf
@@ -37,6 +39,13 @@ def test_reads_the_configured_folder():
     assert session.checkpoint_dir(_Spark("hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
 
 
+def test_a_cluster_needs_the_shared_folder():
+    s = _Spark(None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(s)
+
+
 def test_private_folder_only_when_unset():
     s = _Spark(None)
     d = session.checkpoint_dir(s)
