@@ -16,9 +16,11 @@ Slots are banded; documents that agree in a whole band are candidates:
      (candidates grow with the bucket, not with its square).
   3. The exact multiset similarity of these pairs is verified from the texts.
   4. Verified links make components. Where a bucket still holds several
-     components, its texts of different components are compared as well,
-     unless the triangle inequality of 1 - similarity rules the link out by
-     what both have with the bucket's smallest. So no link is lost to step 2.
+     components, its texts of different components are compared as well, in
+     pairs of blocks of ``block`` texts, unless the triangle inequality of
+     1 - similarity rules the link out by what both have with the bucket's
+     smallest. A task returns the links that join components, not all pairs.
+     So no link is lost to step 2.
   5. The components of all links are the classes.
 
 Results: one row per input row (id, class_id = smallest id of the class, kept
@@ -38,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import (WordHashes, chunked, cut, fresh, mix64, multiset, multiset_jaccard, shingles,
+from emporium.llm.common import (WordHashes, chunked, cut, fresh, importable, mix64, multiset, multiset_jaccard, shingles,
                                  word_hashes)
 from emporium.llm.components import components
 
@@ -117,6 +119,7 @@ def _texts(batches: Iterator[pa.RecordBatch], limit: int = 60_000) -> Iterator[t
 
 def sketch(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """(id, digest of the words, band hashes) for each row of (id, text) with words."""
+    importable(docs.sparkSession)
 
     def run(batches):
         for b, words in _texts(batches):
@@ -147,6 +150,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, share:
     joined = (dealt.join(left, F.col("a") == F.col("ka"))
               .join(right, (F.col("b") == F.col("kb")) & (F.col("part") == F.col("kp")))
               .select("text_a", "text_b", "a", "b", *extra))
+    importable(pairs.sparkSession)
 
     def run(batches):
         known: dict[str, tuple] = {}
@@ -164,7 +168,53 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, share:
     return joined.mapInArrow(run, f"{schema}, similarity double")
 
 
-def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+def _links_of_blocks(t: pa.Table, shingle: int, threshold: float) -> pa.Table:
+    """Links between different components of a block (or two) of a bucket's
+    texts: exact similarities where the triangle inequality leaves one
+    possible, and of the links only those that join components anew."""
+    own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    rep, comp, owner, far = (t.column(c).to_numpy() for c in ("rep", "comp", "owner", "far"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    maybe = ((np.abs(far[left][:, None] - far[right][None, :]) <= 1 - threshold + 1e-9) & (comp[left][:, None] != comp[right][None, :])
+             & (owner[left][:, None] != owner[right][None, :]))
+    if i == j:
+        maybe &= rep[left][:, None] < rep[right][None, :]
+    out: list[tuple[int, int]] = []
+    if maybe.any():
+        texts = t.column("text").to_pylist()
+        bags = {k: multiset(shingles(word_hashes(texts[k], _cache), shingle)) for k in {*left[maybe.any(1)].tolist(), *right[maybe.any(0)].tolist()}}
+        used = [k for k in right.tolist() if k in bags]
+        place = {k: n for n, k in enumerate(used)}
+        # the right texts by shingle
+        items, counts = np.concatenate([bags[k][0] for k in used]), np.concatenate([bags[k][1] for k in used])
+        row = np.repeat(np.arange(len(used)), [len(bags[k][0]) for k in used])
+        order = np.argsort(items, kind="stable")
+        items, counts, row = items[order], counts[order], row[order]
+        sizes = np.array([bags[k][1].sum() for k in used])
+        root = {c: c for c in {*comp.tolist()}}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for x, wanted in zip(left.tolist(), maybe):
+            if not wanted.any():
+                continue
+            h, n = bags[x]
+            a, b = np.searchsorted(items, h, "left"), np.searchsorted(items, h, "right")
+            length = b - a
+            at = np.repeat(a - np.cumsum(length) + length, length) + np.arange(length.sum())
+            both = np.bincount(row[at], np.minimum(counts[at], np.repeat(n, length)), len(used))
+            near = both >= threshold * (n.sum() + sizes - both) - 1e-9
+            for k in right[wanted].tolist():
+                if near[place[k]] and find(comp[x]) != find(comp[k]):
+                    root[find(comp[x])] = find(comp[k])
+                    out.append((max(rep[x], rep[k]), min(rep[x], rep[k])))
+    return pa.table({"a": pa.array([int(a) for a, _ in out], pa.int64()), "b": pa.array([int(b) for _, b in out], pa.int64())})
+
+
+def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int, threshold: float, block: int = 400) -> DataFrame:
     """Verified links (a, b) that join all similar texts of a bucket.
 
     ``held(bucket, rep, head)`` has the members of each bucket and its
@@ -187,14 +237,14 @@ def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int,
              .join(first.select(F.col("a").alias("ka"), F.col("b").alias("kb"), "similarity"),
                    (F.col("rep") == F.col("ka")) & (F.col("head") == F.col("kb")))
              .select("bucket", "rep", "comp", "owner", (1 - F.col("similarity")).alias("far")))
-    radius = 1 - threshold
-    open_ = cut(spark, open_.withColumn("cell", F.floor(F.col("far") / radius).cast("int")), "open")
-    other = open_.select(F.col("bucket").alias("k"), F.col("rep").alias("b"), F.col("comp").alias("kc"), F.col("far").alias("kf"), F.col("owner").alias("ko"),
-                         F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("kcell"))
-    rest = (open_.join(other, (F.col("bucket") == F.col("k")) & (F.col("cell") == F.col("kcell")) & (F.col("rep") > F.col("b"))
-                       & (F.col("comp") != F.col("kc")) & (F.col("owner") != F.col("ko")) & (F.abs(F.col("far") - F.col("kf")) <= radius + 1e-9))
-            .select(F.col("rep").alias("a"), "b").distinct())
-    second = verified(rest, texts, shingle).where(F.col("similarity") >= threshold).select("a", "b")
+    # compared block by block; each task returns links that join components, not pairs
+    open_ = cut(spark, open_, "open")
+    blocks = open_.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).withColumnRenamed("bucket", "k")
+    dealt = (open_.join(blocks, F.col("bucket") == F.col("k")).join(texts.select(F.col("id").alias("kt"), "text"), F.col("rep") == F.col("kt"))
+             .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "comp", "owner", "far", "text"))
+    second = dealt.groupBy("bucket", "i", "j").applyInArrow(lambda t: _links_of_blocks(t, shingle, threshold), "a long, b long").distinct()
     by_part = part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return by_part.union(second)
 

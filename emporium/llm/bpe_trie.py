@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import importable
+
 #: Fixed value: the pre-tokenization pattern of byte-level vocabularies.
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same pattern for texts of these characters only, without the slow
@@ -211,6 +213,7 @@ def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """(id, ids array<int>) for every row."""
     spec = _spec(df, tokenizer_path)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(spec)
@@ -230,6 +233,7 @@ def decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col:
     """(id, text) from arrays of ids; null or empty arrays give the empty text."""
     spec = _spec(df, tokenizer_path)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids"))
+    importable(df.sparkSession)
 
     def run(batches):
         enc = _encoder(spec)
@@ -246,6 +250,7 @@ def encode_digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     decodes these ids and digests the decoded text, in one pass."""
     spec = _spec(df, tokenizer_path)
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    importable(df.sparkSession)
 
     def run(batches):
         enc = _encoder(spec)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import WordHashes, chunked, fresh, shingles, word_hashes
+from emporium.llm.common import chunked, fresh, importable, shingles, word_hashes, WordHashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 23
@@ -177,6 +177,8 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str
         index = spark.sparkContext.broadcast(
             ItemIndex([(r.item_id, r.text) for r in own.where(block == k).orderBy("item_id", "text").collect()], shingle))
 
+        importable(docs.sparkSession)
+
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix = index.value
             for b in batches:

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import importable
+
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
                    "sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -415,6 +417,7 @@ def extract(df: DataFrame, model: Model | None = None, id_col: str = "page_id",
     m = model or default_model()
     sent = df.sparkSession.sparkContext.broadcast((m.weights, m.start, m.move))
     kind = df.schema[id_col].dataType.simpleString()
+    importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import WordHashes, word_hashes
+from emporium.llm.common import importable, word_hashes, WordHashes
 
 COVERAGE, DENSITY, SPREAD = 0.8, 0.6, 1.5
 
@@ -174,6 +174,7 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "
          density: float = DENSITY) -> DataFrame:
     """(id, template, coverage, first_word, last_word, n_found); see the module."""
     scanner = Scanner(TEMPLATES if templates is None else templates, coverage, density)  # a few templates, sent with the task
+    importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import importable
+
 HASHED = 1 << 15
 RANK = 6
 MAX_ROWS = 8_000
@@ -171,6 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2").select("id", "y")
               .orderBy(F.xxhash64("id"), "id").limit(max_rows))  # at most max_rows pairs of numbers
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(marked), "id")
+    importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -192,6 +195,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(id, score) per row: how likely label 1 is."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
+    importable(docs.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -210,6 +214,7 @@ def scores(model: Model, texts: list[str], rows: int = 500) -> np.ndarray:
 def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows scored ``threshold`` or more, all columns as they were."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    importable(docs.sparkSession)
 
     def run(batches):
         for b in batches:

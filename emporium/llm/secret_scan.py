@@ -31,6 +31,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import importable
+
 #: The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -124,6 +126,7 @@ def scan(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", t
     """(id, n_assign, n_access, n_hex, n_token, base_sha256, spans) per row."""
     sent = _Sent(df, ranks_path, pattern)
     kind = df.schema[id_col].dataType.simpleString()
+    importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         eff = _efficiency(sent)
@@ -162,6 +165,7 @@ def redact(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     sent = _Sent(df, ranks_path, pattern)
     at = df.columns.index(text_col)
     counted = df.columns.index(length_col) if length_col in df.columns and df.schema[length_col].dataType.typeName() in ("long", "integer") else None
+    importable(df.sparkSession)
 
     def run(batches):
         eff = _efficiency(sent)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import cut
+from emporium.llm.common import cut, importable
 from emporium.llm.components import components
 
 THRESHOLD = 0.98
@@ -54,6 +54,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def identified(rows: DataFrame) -> DataFrame:
     """(id, label, vec) -> (id, key, dim, vec) with a 128-bit key of label and
     vector; rows that link with nothing are left out."""
+    importable(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
