@@ -87,15 +87,18 @@ def dq_removal(g: Gold) -> DataFrame:
                        pct("raw_count - clean_count", "raw_count").alias("removal_rate"))
 
 
+PROFILED = ("orders", "order_items", "products", "payments", "customers")
+
+
 def dq_null_profile(g: Gold) -> DataFrame:
     """Nulls per column of the raw (Bronze) entities."""
     s = g.silver
-    return Q.union_all([Q.null_profile(s.raw(e), e) for e in ("orders", "order_items", "products")])
+    return Q.union_all([Q.null_profile(s.raw(e), e) for e in PROFILED])
 
 
 def dq_distinct_profile(g: Gold) -> DataFrame:
     s = g.silver
-    return Q.union_all([Q.distinct_profile(s.raw(e), e) for e in ("orders", "order_items", "products")])
+    return Q.union_all([Q.distinct_profile(s.raw(e), e) for e in PROFILED])
 
 
 def dq_table_stats(g: Gold) -> DataFrame:

@@ -30,6 +30,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._done: set[str] = set()
+        self._logged = 0
         self._lock = threading.Lock()
         self._table_locks: dict[str, threading.Lock] = {}
         self.metrics: dict[str, int] = {}   # rows written per table, observed during the write
@@ -86,6 +87,17 @@ class Warehouse:
             return self.spark.table(self._table_name(name)).select(*df.columns)
         return self.spark.read.parquet(self.path(name)).select(*df.columns)
 
+    def load_log(self) -> DataFrame:
+        """Rows written per table of this run, from its load log; tables built
+        since it was last written are added to it."""
+        path = self.path("_load_log")
+        with self._table_lock("_load_log"):
+            if len(self.metrics) > self._logged:
+                rows = sorted(self.metrics.items())
+                self.spark.createDataFrame(rows, "table_name string, rows_written long").coalesce(1).write.mode("overwrite").parquet(path)
+                self._logged = len(rows)
+        return self.spark.read.parquet(path)
+
     def buckets(self) -> int:
         """One bucket count for every order-keyed table (they must agree to co-locate)."""
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
