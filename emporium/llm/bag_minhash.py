@@ -293,8 +293,10 @@ def drop_copies(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text
     classes = near_duplicates(spark, df, id_col, text_col, **how)
     flags = cut(spark, classes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(key))
                 .agg(F.max("kept").alias(stays), F.count("*").alias(times)), "flags")
-    marked = df.join(flags, df[id_col].cast("long") == F.col(key), "left")
-    once = marked.where(F.col(key).isNull() | (F.col(stays) & (F.col(times) == 1))).select(df.columns)
+    # one exchange of the documents serves both kinds of ids
+    marked = df.join(flags, df[id_col].cast("long") == F.col(key))
+    once = marked.where(F.col(stays) & (F.col(times) == 1)).select(df.columns)
+    nameless = df.where(df[id_col].cast("long").isNull())
     first = F.min_by(F.struct(*df.columns), F.struct(F.coalesce(text_col, F.lit("")), F.xxhash64(*df.columns)))
     again = marked.where(F.col(stays) & (F.col(times) > 1)).groupBy(key).agg(first.alias(stays)).select(f"{stays}.*")
-    return once.union(again)
+    return once.union(again).union(nameless)
