@@ -9,6 +9,8 @@ from tokenizers import Tokenizer
 
 from emporium.llm import bpe_trie, queries
 
+SF = "/root/testdata/sf0.001"
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -38,15 +40,15 @@ def test_odd_texts(both, text):
     assert ids(enc, text) == lib.encode(text, add_special_tokens=False).ids
 
 
-def test_query_rows(spark, sf_small):
+def test_query_rows(spark):
     lib = Tokenizer.from_file(PATH)
     want = {}
-    docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     for r in docs:
         e = lib.encode(r.text or "", add_special_tokens=False).ids
         want[r.doc_id] = (len(e), hashlib.sha256(struct.pack(f"<{len(e)}I", *e)).hexdigest(),
                           hashlib.sha256(lib.decode(e, skip_special_tokens=False).encode()).hexdigest())
-    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.op10_bpe_trie(spark, sf_small).collect()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.op10_bpe_trie(spark, SF).collect()}
     assert got == want
 
 

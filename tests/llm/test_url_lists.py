@@ -4,6 +4,8 @@ import duckdb
 
 from emporium.llm import queries, url_lists
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
@@ -17,8 +19,8 @@ def test_query_equals_sql(spark):
     assert {r.action for r in got.select("action").distinct().collect()} == {"block", "allow", None}
 
 
-def test_no_python_in_the_plan(spark, sf_small):
-    plan = queries.op5_url_lists(spark, sf_small)._jdf.queryExecution().toString()
+def test_no_python_in_the_plan(spark):
+    plan = queries.op5_url_lists(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
 
 

@@ -5,6 +5,8 @@ import numpy as np
 
 from emporium.llm import queries, vector_join
 
+SF = "/root/testdata/sf0.001"
+
 
 def brute_force(rows):
     good = [(i, lab, np.array(v, float)) for i, v, lab in rows if i is not None and lab is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
@@ -35,7 +37,7 @@ def answer(df):
     return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in df.collect()), key=str)
 
 
-def test_query_equals_brute_force(spark, sf_small):
+def test_query_equals_brute_force(spark):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
     want = brute_force(rows)
     assert answer(queries.op9_vector_join(spark, "/root/testdata/sf0.01")) == want
