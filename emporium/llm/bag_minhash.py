@@ -230,6 +230,7 @@ def linked(spark: SparkSession, held: DataFrame, texts: DataFrame, shingle: int,
     # buckets of several components
     part = components(spark, links)
     placed = (held.join(part.withColumnRenamed("node", "kn"), F.col("rep") == F.col("kn"), "left")
+              .where("rep <> head")  # pairs with the smallest are verified
               .select("bucket", "rep", "head", "owner", F.coalesce("component", "rep").alias("comp")))
     mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("owner").alias("o1"), F.max("owner").alias("o2"))
              .where("c1 < c2 and o1 < o2").select(F.col("bucket").alias("k")))
