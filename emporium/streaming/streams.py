@@ -98,8 +98,9 @@ class _state_partitions:
 
 
 def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict | None = None,
-                   timeout_s: float | None = None) -> None:
-    """Run a stream into a Parquet sink.
+                   timeout_s: float | None = None):
+    """Run a stream into a Parquet sink; returns the ended query (which
+    remembers the progress of its last hundred batches only).
 
     ``trigger`` defaults to ``{"availableNow": True}`` (drain and stop); a
     continuous deployment passes e.g. ``{"processingTime": "30 seconds"}``
@@ -114,6 +115,7 @@ def run_to_parquet(df: DataFrame, out: str, mode: str = "append", trigger: dict
     else:
         q.awaitTermination(timeout_s)
         q.stop()
+    return q
 
 
 def raw_append(spark: SparkSession, folder: str) -> DataFrame:

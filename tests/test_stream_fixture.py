@@ -48,13 +48,13 @@ def test_event_fixture_stream(spark, tmp_path):
 
     counts = CS.tumbling_metrics(good, exact_sessions=False).select("window_start", "event_count")
     out2 = str(tmp_path / "windows")
-    res = ST.run_to_parquet(counts, out2)
+    query = ST.run_to_parquet(counts, out2)
     got = {r.window_start.strftime("%H:%M"): r.event_count
            for r in ST._ntz(spark.read.parquet(out2 + "/data"), "window_start").collect()}
     # e2 is counted twice here (no dedup in this query); e4 never reaches a window
     assert got == {"10:00": 1, "10:26": 1, "10:30": 2, "10:31": 1}
-    dropped = sum(s.get("numRowsDroppedByWatermark", 0)
-                  for p in ST._as_dicts(res["progress"]) for s in p.get("stateOperators", []))
+    progress = [p if isinstance(p, dict) else json.loads(p.json) for p in query.recentProgress]
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in progress for s in p.get("stateOperators", []))
     assert dropped >= 1
 
     corrupt = CS.decode(spark.read.text(str(src)).withColumnRenamed("value", "body"))
