@@ -20,7 +20,8 @@ Results per row: (id, n_links: other rows linked, component_id: smallest id
 reachable, kept: id = component_id). Rows whose vector is null, empty, zero or
 holds null or non-finite components, and rows without a label, link with
 nothing; so do rows without an id (component null, kept). Rows that repeat an
-id are vectors of their own, kept or not together. Other columns are ignored.
+id are vectors of their own, kept or not together (those that link with
+nothing stay). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,24 +53,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def identified(rows: DataFrame) -> DataFrame:
-    """(id, label, vec) -> (id, key, dim, vec) with a 128-bit key of label and
-    vector; rows that link with nothing are left out."""
+    """(id, label, vec) -> (id, label, key, dim, vec) with a 128-bit key of label
+    and vector; rows that link with nothing have a null key."""
     importable(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, keys, dims = [], [], []
-            for i, (label, vec) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                if label is None or not vec or any(x is None for x in vec):
-                    continue
-                v = np.array(vec, float)
-                if np.isfinite(v).all() and v.any():
-                    keep.append(i)
-                    keys.append(xxhash.xxh128_digest(struct.pack("<qq", label, len(v)) + v.tobytes()))
-                    dims.append(len(v))
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(keys, pa.binary()), pa.array(dims, pa.int32()),
-                                              b.column(2).take(at)], names=["id", "label", "key", "dim", "vec"])
+            keys, dims = [], []
+            for i, label, vec in zip(*(b.column(c).to_pylist() for c in range(3))):
+                key = dim = None
+                if i is not None and label is not None and vec and not any(x is None for x in vec):
+                    v = np.array(vec, float)
+                    if np.isfinite(v).all() and v.any():
+                        key, dim = xxhash.xxh128_digest(struct.pack("<qq", label, len(v)) + v.tobytes()), len(v)
+                keys.append(key)
+                dims.append(dim)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(dims, pa.int32()), b.column(2)],
+                                             names=["id", "label", "key", "dim", "vec"])
 
     return rows.mapInArrow(run, "id long, label long, key binary, dim int, vec array<double>")
 
@@ -154,9 +154,10 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "vec_id",
     eps = float(np.sqrt(2 - 2 * threshold))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
                      F.col(vec_col).cast("array<double>").alias("vec"))
-    found = cut(spark, identified(rows.where("id is not null")), "vectors")
-    distinct = cut(spark, found.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("label").alias("label"),
-                                                   F.first("dim").alias("dim"), F.first("vec").alias("vec")), "distinct")
+    found = cut(spark, identified(rows), "vectors")
+    usable = found.where("key is not null")
+    distinct = cut(spark, usable.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("label").alias("label"),
+                                                    F.first("dim").alias("dim"), F.first("vec").alias("vec")), "distinct")
     sent = spark.sparkContext.broadcast(pivots(spark, distinct, eps, max_pivots, cell))  # max_pivots vectors
 
     def deal(batches):
@@ -197,8 +198,7 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "vec_id",
                  .join(part.withColumnRenamed("node", "k2"), F.col("id") == F.col("k2"), "left")
                  .select(F.col("key").alias("k"), "n", F.coalesce("component", "id").alias("component")))
     by_row = found.select("id", "key").join(of_vector, F.col("key") == F.col("k")).select("id", "n", "component")
-    alone = (rows.select("id", "label", "vec").join(found.select(F.col("id").alias("k")).distinct(), F.col("id") == F.col("k"), "left_anti")
-             .select("id", F.lit(1).cast("long").alias("n"), F.col("id").alias("component")))
+    alone = found.where("key is null").select("id", F.lit(1).cast("long").alias("n"), F.col("id").alias("component"))
     return (by_row.union(alone)
             .select(F.col("id").alias(id_col), (F.col("n") - 1).alias("n_links"), F.col("component").alias("component_id"),
                     F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept")))

@@ -69,3 +69,11 @@ def test_odd_rows(spark):
         [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 2, 4, True), (13, 2, 4, False), (13, 2, 4, False), (None, 0, None, True)]
         + [(i, 0, i, True) for i in (5, 6, 7, 8, 9, 10, 11, 12)], key=str)
     assert vector_join.near_duplicates(spark, df.limit(0)).count() == 0
+
+
+def test_repeated_id_keeps_rows_without_a_usable_vector(spark):
+    """One row per vector, also where an id has a null or zero vector beside a valid one."""
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (2, None, 0), (2, [0.0, 0.0], 0), (3, None, 0), (None, [1.0, 0.0], 0), (None, None, None)],
+                               "vec_id long, embedding array<double>, label long")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in vector_join.near_duplicates(spark, df).collect()), key=str)
+    assert got == sorted([(1, 1, 1, True), (2, 1, 1, False), (2, 0, 2, True), (2, 0, 2, True), (3, 0, 3, True), (None, 0, None, True), (None, 0, None, True)], key=str)
