@@ -11,7 +11,7 @@ made in the order of time and only up to the time at which all slots are
 filled, so long documents need less than one point a shingle.
 
 Slots are banded; documents that agree in a whole band are candidates:
-  1. Equal word sequences are one text, named by its smallest id.
+  1. Equal word sequences are one text, which has a number of its own.
   2. In every band bucket, each text is compared with the bucket's smallest
      (candidates grow with the bucket, not with its square).
   3. The exact multiset similarity of these pairs is verified from the texts.
@@ -21,7 +21,8 @@ Slots are banded; documents that agree in a whole band are candidates:
      1 - similarity rules the link out by what both have with the bucket's
      smallest. A task returns the links that join components, not all pairs.
      So no link is lost to step 2.
-  5. The components of all links are the classes.
+  5. The components of all links are the classes; only there texts give way to
+     ids.
 
 Results: one row per input row (id, class_id = smallest id of the class, kept
 = the id is the smallest of its class). A text without words is equal to
@@ -136,6 +137,19 @@ def sketch(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS, shingle: int
     return docs.mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
+def digested(docs: DataFrame) -> DataFrame:
+    """(digest of the words, text) for each row of (id, text) with words."""
+    importable(docs.sparkSession)
+
+    def run(batches):
+        for b, words in _texts(batches):
+            got = [i for i, w in enumerate(words) if len(w)]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh128_digest(words[i].tobytes()) for i in got], pa.binary()),
+                                              b.column(1).take(pa.array(got, pa.int64()))], names=["digest", "text"])
+
+    return docs.select("id", "text").mapInArrow(run, "digest binary, text string")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, share: int = 500) -> DataFrame:
     """pairs(a, b, ...) with the exact multiset similarity of their texts(id, text).
 
@@ -257,10 +271,11 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     named = docs.where("id is not null")
     sketches = cut(spark, sketch(named, n_bands, rows, shingle), "sketch")
 
-    # 1: equal word sequences are one text
-    of_text = sketches.groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    texts = cut(spark, of_text, "texts")
-    member = sketches.select("id", "digest").join(texts.select("digest", "rep"), "digest").select("id", "rep", "digest").distinct()
+    # 1: equal word sequences are one text, numbered, as an id can have several
+    of_text = sketches.groupBy("digest").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+    texts = cut(spark, of_text.withColumn("rep", F.monotonically_increasing_id()), "texts")
+    member = cut(spark, sketches.select("id", "digest").distinct().join(texts.select("digest", "rep", "least"), "digest"), "members")
+    several = member.groupBy("id").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1").select(F.col("id").alias("k"), "first")
 
     # 2: within each bucket, all against the smallest
     entry = texts.select("rep", F.explode("bands").alias("bucket")).distinct()
@@ -268,19 +283,25 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
             .where("head < top").select(F.col("bucket").alias("k"), "head"))
     held = cut(spark, entry.join(head, F.col("bucket") == F.col("k")).select("bucket", "rep", "head"), "buckets")
 
-    # 3: exact similarity, from the texts of candidates alone
-    named_twice = held.select(F.col("rep").alias("k")).distinct()
-    chosen = (named.join(named_twice, F.col("id") == F.col("k"), "left_semi")
-              .groupBy("id").agg(F.min("text").alias("text")))
-    chosen = cut(spark, chosen, "candidates")
+    # 3: exact similarity, from the texts of candidates alone; where an id has several, by the digest
+    near = held.select(F.col("rep").alias("kr")).distinct()
+    wanted = cut(spark, texts.select("rep", "digest", "least").join(near, F.col("rep") == F.col("kr"), "left_semi"), "wanted")
+    sole = wanted.join(several, F.col("least") == F.col("k"), "left_anti").select(F.col("least").alias("kl"), "rep")
+    by_id = (named.join(sole, F.col("id") == F.col("kl")).groupBy("id").agg(F.min("text").alias("text"), F.first("rep").alias("rep"))
+             .select(F.col("rep").alias("id"), "text"))
+    rest = wanted.join(several, F.col("least") == F.col("k"), "left_semi").select(F.col("digest").alias("kd"), "rep")
+    by_digest = (digested(named.join(several, F.col("id") == F.col("k"), "left_semi")).join(rest, F.col("digest") == F.col("kd"))
+                 .groupBy("rep").agg(F.min("text").alias("text")).select(F.col("rep").alias("id"), "text"))
+    chosen = cut(spark, by_id.union(by_digest), "candidates")
     # rows that share an id share a class
-    same_id = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    same_id = member.join(several, F.col("id") == F.col("k")).where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
 
-    # 5: classes
+    # 5: classes, named by their smallest id
     classes = components(spark, linked(spark, held, chosen, shingle, threshold).union(same_id))
-    rows_of = sketches.select("id", "digest").distinct()
-    classed = (rows_of.join(classes.withColumnRenamed("node", "kn"), F.col("id") == F.col("kn"), "left")
-               .select("id", F.coalesce("component", "id").alias("class_id")).distinct())
+    placed = cut(spark, member.join(classes.withColumnRenamed("node", "kn"), F.col("rep") == F.col("kn"), "left")
+                 .select("id", "least", F.coalesce("component", "rep").alias("class")), "classes")
+    names = placed.groupBy("class").agg(F.min("least").alias("class_id")).withColumnRenamed("class", "kc")
+    classed = placed.join(names, F.col("class") == F.col("kc")).select("id", "class_id").distinct()
     return (docs.select("id").join(classed.withColumnRenamed("id", "kn"), F.col("id") == F.col("kn"), "left")
             .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
                     F.coalesce(F.col("class_id") == F.col("id"), F.lit(True)).alias("kept")))

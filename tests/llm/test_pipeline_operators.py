@@ -263,3 +263,16 @@ def test_pipeline_stages_on_odd_and_empty_input(spark, odd):
             out.count()
             if name != "bpe_encoding":
                 assert out.columns == df.columns
+
+
+def test_each_text_of_a_repeated_id_is_compared(spark):
+    """An id of two texts: a copy with one word changed of either one is in its class."""
+    rng = random.Random(31)
+    a, b, other = ([rng.choice("abcdefgh") + str(rng.randrange(9000)) for _ in range(150)] for _ in range(3))
+    a[0], b[0] = "aaa", "zzz"  # the id's smallest text is a
+    near_a, near_b = [*a[:-1], "changed"], [*b[:-1], "changed"]
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join(near_b)), (9, " ".join(near_a)), (3, " ".join(other)), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in bag_minhash.near_duplicates(spark, df).collect())
+    assert got == [(3, 3, True), (5, 5, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False)]
+    assert sorted(r.doc_id for r in bag_minhash.drop_copies(spark, df).collect()) == [3, 5]
