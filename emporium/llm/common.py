@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import string
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,20 @@ def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     importable(spark)
     path = run_folder(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STORED[id(out)] = (weakref.ref(out, lambda _, k=id(out): _STORED.pop(k, None)), path)
+    return out
+
+
+_STORED: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def spent(*tables: DataFrame) -> None:
+    """Empty the folders of tables made by ``cut`` that no later job reads:
+    all that was derived from them has to be written already."""
+    for df in tables:
+        _, path = _STORED.pop(id(df))
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

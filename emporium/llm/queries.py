@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, license_scan, paragraph_dedup, quality_fm, secret_scan, url_lists, vector_join
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, license_scan, ns_kmeans, paragraph_dedup, quality_fm, secret_scan, source_divergence, url_lists, vector_join
 from emporium.llm.common import table
 
 
@@ -54,6 +54,14 @@ def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_kmeans.cluster_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_decontaminate": op2_decontaminate,
@@ -65,8 +73,12 @@ QUERIES = {
     "op8_html_crf": op8_html_crf,
     "op9_vector_join": op9_vector_join,
     "op10_bpe_trie": op10_bpe_trie,
+    "op11_ns_kmeans": op11_ns_kmeans,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
     "op5_url_lists": url_lists.SQL,
+    "op11_ns_kmeans": ns_kmeans.SQL,
+    "op13_source_divergence": source_divergence.SQL,
 }
