@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import bag_minhash, bpe_trie, decontaminate, html_crf, license_scan, ns_kmeans, paragraph_dedup, quality_fm, secret_scan, source_divergence, url_lists, vector_join
+from emporium.llm import bag_minhash, bpe_trie, decontaminate, hilbert_search, html_crf, license_scan, ns_kmeans, paragraph_dedup, quality_fm, secret_scan, source_divergence, url_lists, vector_join
 from emporium.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op11_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ns_kmeans.cluster_vectors(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op12_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_search.search(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(spark, table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_vector_join": op9_vector_join,
     "op10_bpe_trie": op10_bpe_trie,
     "op11_ns_kmeans": op11_ns_kmeans,
+    "op12_hilbert_search": op12_hilbert_search,
     "op13_source_divergence": op13_source_divergence,
 }
 
