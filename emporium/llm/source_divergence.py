@@ -47,7 +47,7 @@ from emporium.llm.common import cut, importable, spent
 
 LEAST_DOCS = 10
 TOP_TERMS = 10
-BLOCK = 400_000      # entries of a block of postings
+BLOCK = 800_000      # entries of a block of postings
 CHUNK = 2_000        # terms of a chunk
 TILE = 1 << 20       # counts (terms x sources) compared at once
 HELD = 1 << 22       # sums of pairs a task holds before it hands them on
@@ -78,81 +78,90 @@ class Block:
         docs[b""] += 1
         self.entries += len(counts) + len(docs) - before
 
-    def run(self, shards: int) -> Iterator[tuple[int, tuple]]:
-        """(shard, chunk) rows, terms ascending within shard and language."""
+    def run(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """(shard, first, chunk) rows of each language, terms ascending within a shard."""
         for lang, docs in self.docs.items():
             names = sorted(s for x, s in self.counts if x == lang)
-            held: dict[bytes, list] = defaultdict(list)
-            for i, s in enumerate(names):
-                for term, n in self.counts[lang, s].items():
-                    held[term].append((i, n))
-            by: dict[int, list] = defaultdict(list)
-            for term in sorted(docs):
-                by[xxhash.xxh64_intdigest(term) % shards].append((term, docs[term], held[term]))
-            for shard, terms in by.items():
-                for i in range(0, len(terms), CHUNK):
-                    yield shard, _chunk(lang, names, terms[i:i + CHUNK])
-
-
-def _chunk(lang: str, names: list[str], terms: list[tuple[bytes, int, list]]) -> tuple:
-    pairs = [p for _, _, held in terms for p in held]
-    return lang, names, [t[0] for t in terms], [t[1] for t in terms], [len(t[2]) for t in terms], [p[0] for p in pairs], [p[1] for p in pairs]
-
-
-def _rows(batches: Iterable[pa.RecordBatch], start: int = 0) -> Iterator[tuple]:
+            counts = [self.counts[lang, s] for s in names]
+            terms = sorted(docs)
+            n = len(terms)
+            shard = np.fromiter((xxhash.xxh64_intdigest(t) % shards for t in terms), np.int32, n)
+            order = np.argsort(shard, kind="stable")
+            terms, shard = [terms[i] for i in order.tolist()], shard[order]
+            place = dict(zip(terms, range(n)))
+            at = np.concatenate([np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in counts])
+            source = np.repeat(np.arange(len(names), dtype=np.int32), [len(c) for c in counts])
+            count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in counts])
+            by_term = np.argsort(at, kind="stable")
+            sizes = np.bincount(at, minlength=n)
+            new = np.flatnonzero(np.diff(shard, prepend=-1))
+            start = np.flatnonzero((np.arange(n) - np.repeat(new, np.diff(new, append=n))) % CHUNK == 0)
+            cuts = np.append(start, n)
+            entry = np.append(0, np.cumsum(sizes))[cuts]
+            lists = lambda values, where: pa.ListArray.from_arrays(pa.array(where, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[start]), pa.array([terms[i] for i in start.tolist()], pa.binary()), pa.array([lang] * len(start)), pa.array([names] * len(start)),
+                 lists(pa.array(terms, pa.binary()), cuts), lists(pa.array(np.fromiter(map(docs.__getitem__, terms), np.int64, n)), cuts),
+                 lists(pa.array(sizes.astype(np.int32)), cuts), lists(pa.array(source[by_term]), entry), lists(pa.array(count[by_term]), entry)],
+                names=["shard", "first", "lang", "names", "terms", "docs", "sizes", "source", "count"])
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
-        yield from zip(*(b.column(i).to_pylist() for i in range(start, b.num_columns)))
+        yield from zip(*(c.to_pylist() for c in b.columns))
 
 
 def runs(docs: DataFrame, shards: int, text_col: str, lang_col: str, source_col: str, block: int) -> DataFrame:
     importable(docs.sparkSession)
-    names = ["shard", "first", "lang", "names", "terms", "docs", "sizes", "source", "count"]
-    kinds = [pa.int32(), pa.binary(), pa.string(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()),
-             pa.list_(pa.int32()), pa.list_(pa.int64())]
-
-    def spill(held: Block) -> Iterator[pa.RecordBatch]:
-        out = []
-        for shard, c in held.run(shards):
-            out.append((shard, c[2][0], *c))
-            if len(out) == 64:
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], names=names)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Block()
         for text, lang, source in _rows(batches):
             held.add(lang, source, text)
             if held.entries >= block:
-                yield from spill(held)
+                yield from held.run(shards)
                 held = Block()
-        yield from spill(held)
+        yield from held.run(shards)
 
     of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return docs.select(of(text_col).cast("binary"), of(lang_col), of(source_col)).mapInArrow(run, f"shard int, first binary, {_CHUNK}")
 
 
-def merged(chunks: Iterable[tuple]) -> Iterator[tuple[bytes, int, dict[str, int]]]:
-    """(term, documents, count by source) of chunks that ascend by first term."""
+def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, str, tuple]]:
+    """(shard, lang, chunk) with a chunk as (names, terms, documents, where each
+    term's entries start, sources, counts)."""
+    for b in batches:
+        shard, lang, names = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
+        for i in range(b.num_rows):
+            terms, docs, sizes, source, count = (b.column(c)[i].values for c in range(4, 9))
+            starts = np.append(0, np.cumsum(sizes.to_numpy())).tolist()
+            yield shard[i], lang[i], (names[i], terms.to_pylist(), docs.to_numpy().tolist(), starts, source.to_numpy(), count.to_numpy())
+
+
+def merged(chunks: Iterable[tuple], least_docs: int) -> Iterator[tuple[bytes, int, dict[str, int]]]:
+    """(term, documents, count by source) of the terms in enough documents (and
+    of the empty one), from chunks that ascend by first term."""
     heap: list = []
     for seq, c in enumerate(chain(chunks, [None])):
-        while heap and (c is None or heap[0][0] < c[2][0]):
-            term, docs, counts = heap[0][0], 0, {}
+        while heap and (c is None or heap[0][0] < c[1][0]):
+            term, docs, parts = heap[0][0], 0, []
             while heap and heap[0][0] == term:
-                _, k, i, at, x = heap[0]
-                docs += x[3][i]
-                stop = at + x[4][i]
-                for s, n in zip(x[5][at:stop], x[6][at:stop]):
-                    name = x[1][s]
-                    counts[name] = counts.get(name, 0) + n
-                if i + 1 < len(x[2]):
-                    heapq.heapreplace(heap, (x[2][i + 1], k, i + 1, stop, x))
+                _, k, i, x = heap[0]
+                docs += x[2][i]
+                parts.append((x, i))
+                i += 1
+                if i < len(x[1]):
+                    heapq.heapreplace(heap, (x[1][i], k, i, x))
                 else:
                     heapq.heappop(heap)
-            yield term, docs, counts
+            if docs >= least_docs or not term:
+                counts: dict[str, int] = {}
+                for (names, _, _, starts, source, count), i in parts:
+                    for s, n in zip(source[starts[i]:starts[i + 1]].tolist(), count[starts[i]:starts[i + 1]].tolist()):
+                        counts[names[s]] = counts.get(names[s], 0) + n
+                yield term, docs, counts
         if c is not None:
-            heapq.heappush(heap, (c[2][0], seq, 0, 0, c))
+            heapq.heappush(heap, (c[1][0], seq, 0, c))
 
 
 def frequencies(spilled: DataFrame, shards: int, least_docs: int) -> DataFrame:
@@ -168,22 +177,23 @@ def frequencies(spilled: DataFrame, shards: int, least_docs: int) -> DataFrame:
         for _, _, counts in terms:
             for s, n in counts.items():
                 totals[place[s]] += n
-        c = _chunk(lang, found, [(t, d, sorted((place[s], n) for s, n in counts.items())) for t, d, counts in terms])
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*c, totals), kinds)], names=names)
+        pairs = [sorted((place[s], n) for s, n in counts.items()) for _, _, counts in terms]
+        values = (lang, found, [t[0] for t in terms], [t[1] for t in terms], [len(p) for p in pairs], [x[0] for p in pairs for x in p],
+                  [x[1] for p in pairs for x in p], totals)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, lang), rows in groupby(_rows(batches), lambda r: (r[0], r[2])):
+        for (_, lang), rows in groupby(_opened(batches), lambda r: r[:2]):
             out = []
-            for t in merged(r[2:] for r in rows):
-                if t[1] >= least_docs or t[0] == b"":
-                    out.append(t)
+            for t in merged((r[2] for r in rows), least_docs):
+                out.append(t)
                 if len(out) == CHUNK:
                     yield whole(lang, out)
                     out = []
             if out:
                 yield whole(lang, out)
 
-    dealt = spilled.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "first")
+    dealt = spilled.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "lang", "first")
     return dealt.mapInArrow(run, f"{_CHUNK}, totals array<long>")
 
 
