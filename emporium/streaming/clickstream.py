@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from emporium.functions.numeric import pct
 
@@ -118,6 +119,32 @@ def sessions(events: DataFrame, gap: str = "10 minutes") -> DataFrame:
         .withColumnRenamed("window_end", "session_end")
 
 
+def session_slots(events: DataFrame, gap: str = "10 minutes") -> DataFrame:
+    """Activity per user and time slot as long as the gap: first and last
+    event and counts. Two events of a slot are nearer than the gap, so a slot
+    never spans two sessions. A partial aggregate: a hot user's events are
+    reduced by every task before the shuffle."""
+    g = events.groupBy("user_id", F.window("event_ts", gap).alias("slot")).agg(
+        F.min("event_ts").alias("first"), F.max("event_ts").alias("last"), F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("event_type") == "purchase").alias("purchases"))
+    return g.select("user_id", F.col("slot.start").alias("slot"), "first", "last", "events", "purchases")
+
+
+def sessions_by_slots(events: DataFrame, gap: str = "10 minutes") -> DataFrame:
+    """T9 in batch, in two levels: slots first (:func:`session_slots`), then
+    neighbouring slots of a user no farther apart than the gap are stitched. The window
+    per user runs over its slots, whose number the calendar bounds (144 a day
+    for ten minutes), not over its events."""
+    by_user = W.partitionBy("user_id").orderBy("slot")
+    apart = F.coalesce(F.col("first") > F.lag("last").over(by_user) + F.expr(f"INTERVAL {gap}"), F.lit(True))
+    numbered = (session_slots(events, gap).withColumn("new", apart.cast("int"))
+                .withColumn("n", F.sum("new").over(by_user.rowsBetween(W.unboundedPreceding, W.currentRow))))
+    return numbered.groupBy("user_id", "n").agg(
+        F.min("first").alias("session_start"), (F.max("last") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+        F.sum("events").alias("events"), F.sum("purchases").alias("purchases")).drop("n").select(
+        "session_start", "session_end", "user_id", "events", "purchases")
+
+
 def active_users(events: DataFrame, width: str = "5 minutes", slide: str = "1 minute",
                  exact: bool = True) -> DataFrame:
     """Distinct users active in each trailing ``width`` window."""
