@@ -1,24 +1,25 @@
 """Versioned tables (history / time travel) on plain Parquet.
 
-A versioned table is an append-only change log: every commit appends the
-rows it wrote together with a commit record (version, timestamp, row count,
-operation). A snapshot at version n
+A versioned table is a change log in folders ``_version=<n>``: each load adds
+the rows it inserted or changed as the next folder, by one write job, with the
+operation and the time of the load as columns. A snapshot at version n
 is, per key, the row with the greatest ``_version <= n`` -- computed with a
 partial ``max(struct)`` aggregate, so it partitions like any group-by and a
-hot key is pre-reduced per task. Deletes are recorded as tombstones.
+hot key is pre-reduced per task. Deletes are recorded as tombstones. A load
+that died is repeated under its number, which overwrites its folder. Loads of one table
+follow each other; this is no transaction log.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators.upsert import change_set, clean_source
-from emporium.sources.warehouse import exists
+
+LOAD_COLUMNS = ("_version", "_deleted", "_operation", "_loaded_at")
 
 
 def tag(df: DataFrame, version: int, deleted: bool = False) -> DataFrame:
@@ -27,83 +28,42 @@ def tag(df: DataFrame, version: int, deleted: bool = False) -> DataFrame:
 
 def snapshot(log: DataFrame, keys: list[str], version: int | None = None) -> DataFrame:
     """Table content as of ``version`` (latest when None)."""
-    data = [c for c in log.columns if c not in keys and c not in ("_version", "_deleted")]
+    data = [c for c in log.columns if c not in keys and c not in LOAD_COLUMNS]
     src = log if version is None else log.filter(F.col("_version") <= version)
     best = src.groupBy(*keys).agg(F.max(F.struct("_version", "_deleted", *data)).alias("_r"))
     return (best.filter(~F.col("_r._deleted"))
                 .select(*keys, *[F.col("_r." + c).alias(c) for c in data]))
 
 
-class VersionedTable:
-    """A change-log table at ``path`` (on the shared file system).
-
-    ``data/_attempt=<id>`` holds the rows of one commit attempt, and
-    ``_commits/_version=<n>`` names the attempt that became version n. A
-    commit writes its data first and then its record, which must not exist
-    yet: of two writers of the same version the second fails, and nothing
-    that a record names is ever overwritten. Attempts without a record are
-    never read. A table that can't be read raises; only a missing commit
-    folder means an empty table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path, keys
-        self.data_path = os.path.join(path, "data")
-        self.commits_path = os.path.join(path, "_commits")
-
-    def exists(self) -> bool:
-        return exists(self.spark, self.commits_path)
-
-    def commits(self) -> DataFrame:
-        """One row per version: version, attempt, committed_at, operation, rows."""
-        return (self.spark.read.schema("attempt string, committed_at timestamp_ntz, operation string, rows long, _version int")
-                .parquet(self.commits_path).withColumnRenamed("_version", "version"))
-
-    def latest_version(self) -> int:
-        if not self.exists():
-            return 0
-        return self.commits().agg(F.max("version")).first()[0] or 0
-
-    def commit(self, rows: DataFrame, operation: str, committed_at: _dt.datetime | None = None,
-               deleted: bool = False, partition_by: list[str] | None = None) -> int:
-        """Append ``rows`` as the next version, creating the table if it is
-        missing; returns the version number."""
-        v, attempt = self.latest_version() + 1, uuid.uuid4().hex
-        obs = Observation(f"commit_{attempt}")
-        out = rows.withColumn("_deleted", F.lit(deleted)).observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{self.data_path}/_attempt={attempt}")
-        ts = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rec = self.spark.createDataFrame([(attempt, ts, operation, int(obs.get["rows"]))],
-                                         "attempt string, committed_at timestamp_ntz, operation string, rows long")
-        rec.write.mode("errorifexists").parquet(f"{self.commits_path}/_version={v}")
-        return v
-
-    def upsert(self, source: DataFrame, operation: str = "upsert", committed_at: _dt.datetime | None = None,
-               partition_by: list[str] | None = None) -> int:
-        """Commit the rows of ``source`` that are new or changed; the first
-        call creates the table from all of them."""
-        src = clean_source(source, self.keys)
-        if self.exists():
-            kinds = change_set(self.read_version(), src, self.keys).filter(F.col("change_type").isin("insert", "update"))
-            src = src.join(kinds.select(*self.keys), self.keys, "left_semi")
-        return self.commit(src, operation, committed_at, partition_by=partition_by)
-
-    def log(self, version: int | None = None) -> DataFrame:
-        """Rows of the committed versions up to ``version`` (attempts without a record are ignored)."""
-        named = self.commits().select(F.col("attempt").alias("_attempt"), F.col("version").alias("_version"))
-        if version is not None:
-            named = named.filter(F.col("_version") <= version)
-        data = self.spark.read.option("mergeSchema", "true").parquet(self.data_path)
-        return data.join(named, "_attempt").drop("_attempt")
-
-    def read_version(self, version: int | None = None) -> DataFrame:
-        return snapshot(self.log(version), self.keys)
-
-    def read_as_of(self, ts) -> DataFrame:
-        """Snapshot of the last version committed at or before ``ts``."""
-        row = (self.commits().filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz"))
-               .agg(F.max("version")).first())
-        return self.read_version(row[0] or 0)
-
-    def history(self) -> DataFrame:
-        return self.commits().drop("attempt").orderBy("version")
+def add_version(rows: DataFrame, path: str, version: int, operation: str, loaded_at: _dt.datetime, deleted: bool = False) -> None:
+    """Write ``rows`` as version ``version`` of the table."""
+    (rows.select("*", F.lit(deleted).alias("_deleted"), F.lit(operation).alias("_operation"),
+                 F.lit(loaded_at).cast("timestamp_ntz").alias("_loaded_at"))
+         .write.mode("overwrite").parquet(f"{path}/_version={int(version)}"))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def upsert_version(spark: SparkSession, path: str, source: DataFrame, keys: list[str], version: int, operation: str,
+                   loaded_at: _dt.datetime) -> None:
+    """Add the rows of ``source`` that are new or changed since the version
+    before; the first version takes all."""
+    src = clean_source(source, keys)
+    if version > 1:
+        before = snapshot(read_log(spark, path), keys, version - 1)
+        kinds = change_set(before, src, keys).filter(F.col("change_type").isin("insert", "update"))
+        src = src.join(kinds.select(*keys), keys, "left_semi")
+    add_version(src, path, version, operation, loaded_at)
+
+
+def version_at(log: DataFrame, when: _dt.datetime) -> int:
+    """The last version loaded at or before a time (0: none)."""
+    return log.filter(F.col("_loaded_at") <= F.lit(when).cast("timestamp_ntz")).agg(F.max("_version")).first()[0] or 0
+
+
+def history(log: DataFrame) -> DataFrame:
+    """One row per version with rows: version, operation, time, rows."""
+    return log.groupBy(F.col("_version").cast("long").alias("version"), F.col("_operation").alias("operation"),
+                       F.col("_loaded_at").alias("loaded_at")).agg(F.count(F.lit(1)).alias("rows")).orderBy("version")

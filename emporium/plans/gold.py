@@ -204,11 +204,15 @@ class Gold:
     # scans filtered on it (the date key for facts).
     _SORT = {"fact_orders": ["order_date_key"], "fact_order_items": ["order_date_key"]}
 
+    # The order fact is stored by purchase month: a batch rewrites the months it
+    # touches (operators/partitioned.py) and readers of some months list only those.
+    _PARTITION = {"fact_orders": "order_month"}
+
     def _memo(self, name, fn):
         if name not in self._t:
             df = fn()
             if self.store is not None:
-                df = self.store.persist("gold/" + name, df, self._SORT.get(name))
+                df = self.store.persist("gold/" + name, df, self._SORT.get(name), partition_by=self._PARTITION.get(name))
             self._t[name] = df
         return self._t[name]
 

@@ -14,8 +14,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.functions.dates import month_key
 from emporium.functions.hashing import row_hash
-from emporium.operators import scd, upsert, versioning
+from emporium.operators import partitioned, scd, upsert, versioning
 from emporium.operators.dedup import keep_first
 from emporium.plans.silver import Silver, silver_customers, silver_orders
 from emporium.session import run_folder
@@ -139,31 +140,40 @@ def snapshot_as_of(spark, sf, silver=None) -> DataFrame:
                                      "order_delivered_customer_date", "record_hash")
 
 
-def versioned_orders_table(spark, sf, silver=None) -> versioning.VersionedTable:
+def versioned_orders_table(spark, sf, silver=None) -> DataFrame:
     """M1 / M6: a stored order table, created from batch 1 and upserted with batch 2."""
     t, s = orders_batches(spark, sf, silver)
-    table = versioning.VersionedTable(spark, run_folder(spark, "orders-table"), ["order_id"])
-    table.upsert(t, "create", INITIAL_TS)
-    table.upsert(s, "upsert", BATCH2_TS)
-    return table
+    path = run_folder(spark, "orders-table")
+    versioning.upsert_version(spark, path, t, ["order_id"], 1, "create", INITIAL_TS)
+    versioning.upsert_version(spark, path, s, ["order_id"], 2, "upsert", BATCH2_TS)
+    return versioning.read_log(spark, path)
 
 
 def versioned_orders(spark, sf, silver=None) -> DataFrame:
     """The stored table by version and by time: version 1, as of the second
-    commit, and the newest."""
-    table = versioned_orders_table(spark, sf, silver)
+    load, and the newest."""
+    log = versioned_orders_table(spark, sf, silver)
     cols = ["order_id", "order_status", "order_delivered_customer_date", "record_hash"]
-    reads = {"version 1": table.read_version(1), "as of batch 2": table.read_as_of(BATCH2_TS), "newest": table.read_version()}
+    reads = {"version 1": 1, "as of batch 2": versioning.version_at(log, BATCH2_TS), "newest": None}
     out = None
-    for name, df in reads.items():
-        part = df.select(F.lit(name).alias("read"), *cols)
+    for name, version in reads.items():
+        part = versioning.snapshot(log, ["order_id"], version).select(F.lit(name).alias("read"), *cols)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def version_history(spark, sf, silver=None) -> DataFrame:
-    return versioned_orders_table(spark, sf, silver).history().select(
-        F.col("version").cast("long").alias("version"), "operation", "rows")
+    return versioning.history(versioned_orders_table(spark, sf, silver)).select("version", "operation", "rows")
+
+
+def upsert_by_month(spark, sf, silver=None) -> DataFrame:
+    """The orders stored by purchase month from batch 1, then
+    batch 2 upserted into the months it changes."""
+    t, s = (df.withColumn("order_month", month_key("order_purchase_timestamp")) for df in orders_batches(spark, sf, silver))
+    path = run_folder(spark, "orders-by-month")
+    partitioned.write_partitions(t, path, "order_month", ["order_id"])
+    partitioned.upsert_partitions(spark, path, s, ["order_id"], "order_month", ["order_id"])
+    return partitioned.read_partitions(spark, path, t)
 
 
 def schema_evolution(spark, sf, silver=None) -> DataFrame:

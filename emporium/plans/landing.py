@@ -66,28 +66,12 @@ def clustered_layout(spark: SparkSession, sf: str, fact: DataFrame) -> DataFrame
     return I.cluster(fact, ["order_date_key", "customer_id"], out).select(*fact.columns)
 
 
-def write_fact_by_month(fact: DataFrame, out: str, files: int | None = None) -> DataFrame:
-    """The order fact partitioned by purchase month.
-
-    Range partitioning on (month, order id) before the write gives each task
-    a contiguous stretch of months (a few files per month folder instead of
-    one per task and month) and splits a heavy month across tasks."""
-    n = files or fact.sparkSession.sparkContext.defaultParallelism
-    (fact.repartitionByRange(n, "order_month", "order_id")
-         .sortWithinPartitions("order_month", "order_date_key")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("order_month").parquet(out))
-    return fact.sparkSession.read.parquet(out)
-
-
-def revenue_last_year(spark: SparkSession, sf: str, fact: DataFrame) -> DataFrame:
-    """Monthly revenue of the last twelve months of data, read from the
-    month-partitioned fact: the month bound is a scalar subquery, so only the
-    matching partition folders are scanned."""
-    out = workdir(spark, "fact-by-month") + "/fact_orders"
-    by_month = write_fact_by_month(fact, out)
-    latest = by_month.agg(F.max("order_month")).scalar()
-    recent = by_month.filter(F.col("order_month") > latest - 100)
+def revenue_last_year(fact: DataFrame) -> DataFrame:
+    """Monthly revenue of the last twelve months of data, from the
+    stored order fact, which lies in folders by month: the month bound is a
+    scalar subquery, so only the matching folders are scanned."""
+    latest = fact.agg(F.max("order_month")).scalar()
+    recent = fact.filter(F.col("order_month") > latest - 100)
     return recent.groupBy("order_month").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("total_payment_value").cast("decimal(38,2)").alias("revenue"))

@@ -20,6 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emporium.operators.partitioned import read_partitions, write_partitions
 from emporium.session import checkpoint_dir
 
 _LOCK = threading.Lock()
@@ -57,7 +58,7 @@ class Warehouse:
         return bool(wh) and not wh.endswith("/spark-warehouse")
 
     def persist(self, name: str, df: DataFrame, sort_within: list[str] | None = None,
-                bucket_by: list[str] | None = None) -> DataFrame:
+                bucket_by: list[str] | None = None, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once as table ``name`` and return a scan of it.
 
         ``sort_within`` orders rows inside each file so row-group min/max
@@ -65,6 +66,8 @@ class Warehouse:
         ``bucket_by`` writes the table hash-bucketed (and sorted) on those
         columns, one file per bucket: tables bucketed the same way are
         aggregated and joined on that key without any shuffle.
+        ``partition_by`` writes a folder per value of that column, so readers
+        that filter on it list only the folders they need.
         """
         bucketed = bool(bucket_by) and self._can_bucket()
         with self._table_lock(name):   # different tables may be built concurrently
@@ -78,6 +81,8 @@ class Warehouse:
                     (out.repartition(n, *bucket_by).write.mode("overwrite")
                         .bucketBy(n, *bucket_by).sortBy(*bucket_by)
                         .option("path", self.path(name)).saveAsTable(self._table_name(name)))
+                elif partition_by:
+                    write_partitions(out, self.path(name), partition_by, sort_within or [])
                 else:
                     out = out.sortWithinPartitions(*sort_within) if sort_within else out
                     out.write.mode("overwrite").parquet(self.path(name))
@@ -85,7 +90,7 @@ class Warehouse:
                 self._done.add(name)
         if bucketed:
             return self.spark.table(self._table_name(name)).select(*df.columns)
-        return self.spark.read.parquet(self.path(name)).select(*df.columns)
+        return read_partitions(self.spark, self.path(name), df)
 
     def load_log(self) -> DataFrame:
         """Rows written per table of this run, from its load log; tables built
@@ -120,11 +125,3 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def count_files(spark: SparkSession, pattern: str) -> int:
-    """Number of files matching a glob (any Hadoop-compatible file system)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    return 0 if found is None else len(found)

@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from emporium.operators import scd, upsert, versioning
+from emporium.operators import partitioned, scd, upsert, versioning
+from emporium.plans import registry
 from emporium.plans.history import customer_incoming
 
 T1, T2, T3 = dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1), dt.datetime(2022, 1, 1)
@@ -102,43 +103,62 @@ def test_versioned_snapshots(spark, tmp_path):
         versioning.tag(spark.createDataFrame([("b", None)], schema), 3, deleted=True))
     v = lambda n: {r.k: r.v for r in versioning.snapshot(log, ["k"], n).collect()}
     assert v(1) == {"a": "1", "b": "2"} and v(2) == {"a": "1b", "b": "2"} and v(3) == {"a": "1b"}
-    vt = versioning.VersionedTable(spark, str(tmp_path / "t"), ["k"])
-    assert vt.commit(spark.createDataFrame([("a", "1")], schema), "write", dt.datetime(2024, 1, 1)) == 1
-    assert vt.commit(spark.createDataFrame([("a", "2")], schema), "merge", dt.datetime(2024, 2, 1)) == 2
-    assert {r.v for r in vt.read_version(1).collect()} == {"1"}
-    assert {r.v for r in vt.read_as_of(dt.datetime(2024, 1, 15)).collect()} == {"1"}
-    assert [r.rows for r in vt.history().collect()] == [1, 1]
-    # a failed commit (data written, no record) is invisible
-    spark.createDataFrame([("a", "junk", False)], "k string, v string, _deleted boolean") \
-        .write.parquet(str(tmp_path / "t" / "data" / "_attempt=dead"))
-    assert {r.v for r in vt.read_version().collect()} == {"2"}
-    assert vt.commit(spark.createDataFrame([("a", "3")], schema), "merge") == 3
-    assert {r.v for r in vt.read_version().collect()} == {"3"} and vt.log().count() == 3
-
-
-def test_versioned_table_loses_nothing(spark, tmp_path):
-    import pytest
+
+
+def test_versioned_table(spark, tmp_path):
     rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, record_hash string")
-    vt = versioning.VersionedTable(spark, str(tmp_path / "t"), ["k"])
-    assert not vt.exists() and vt.upsert(rows(("a", "1", "h1"), ("b", "1", "h1"))) == 1   # create if missing
-    assert vt.upsert(rows(("a", "1", "h1"), ("b", "2", "h2"), ("c", "1", "h1"))) == 2
-    assert [r.rows for r in vt.history().collect()] == [2, 2]
-    assert {(r.k, r.v) for r in vt.read_version().collect()} == {("a", "1"), ("b", "2"), ("c", "1")}
-    # a second writer of the same version fails instead of overwriting
-    late = versioning.VersionedTable(spark, str(tmp_path / "t"), ["k"])
-    late.latest_version = lambda: 1
-    with pytest.raises(Exception):
-        late.commit(rows(("z", "9", "h9")), "write")
-    assert {r.k for r in vt.read_version().collect()} == {"a", "b", "c"}
-    # a damaged log raises, and version 1 stays
-    bad = tmp_path / "t" / "_commits" / "_version=3"
-    bad.mkdir()
-    (bad / "part-0.parquet").write_text("not parquet")
-    with pytest.raises(Exception):
-        vt.commit(rows(("x", "1", "h1")), "write")
-    (bad / "part-0.parquet").unlink()
-    bad.rmdir()
-    assert {r.k for r in vt.read_version(1).collect()} == {"a", "b"}
+    path, day = str(tmp_path / "t"), lambda n: dt.datetime(2024, 1, n)
+    load = lambda df, n, when: versioning.upsert_version(spark, path, df, ["k"], n, "upsert", when)
+    load(rows(("a", "1", "h1"), ("b", "1", "h1")), 1, day(1))
+    second = rows(("a", "1", "h1"), ("b", "2", "h2"), ("c", "1", "h1"))
+    load(second, 2, day(5))
+    load(second, 2, day(5))  # a repeated load overwrites its own version
+    versioning.add_version(rows(("a", None, None)), path, 3, "delete", day(9), deleted=True)
+    log = versioning.read_log(spark, path)
+    at = lambda n: {(r.k, r.v) for r in versioning.snapshot(log, ["k"], n).collect()}
+    assert at(1) == {("a", "1"), ("b", "1")} and at(2) == {("a", "1"), ("b", "2"), ("c", "1")} and at(None) == {("b", "2"), ("c", "1")}
+    assert [(r.version, r.rows) for r in versioning.history(log).collect()] == [(1, 2), (2, 2), (3, 1)]
+    assert [versioning.version_at(log, day(n)) for n in (1, 4, 5, 30)] == [1, 1, 2, 3] and versioning.version_at(log, dt.datetime(2023, 1, 1)) == 0
+
+
+def _files(path):
+    import os
+    out = {}
+    for d, _, names in os.walk(path):
+        for n in names:
+            if n.endswith(".parquet"):
+                out.setdefault(os.path.basename(d), set()).add(n)
+    return out
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, record_hash string, month int")
+    path = str(tmp_path / "t")
+    old = [(f"k{i}", "1", "h1", 202401 + i % 4) for i in range(20)] + [("n", "1", "h1", None), ("moves", "1", "h1", 202412)]
+    partitioned.write_partitions(rows(*old), path, "month", ["k"])
+    before = _files(path)
+    batch = rows(("k1", "2", "h2", 202402), ("k0", "1", "h1", 202401),          # changed; unchanged
+                 ("new", "1", "h1", 202405), ("moves", "2", "h2", 202402),      # a new month; away from a month of its own
+                 ("k1", "2", "h2", 202402), (None, "x", "hx", 202403))          # repeated; without a key
+    assert partitioned.upsert_partitions(spark, path, batch, ["k"], "month", ["k"]) == [202402, 202405, 202412]
+    after = _files(path)
+    for month in ("month=202401", "month=202403", "month=202404", "month=__HIVE_DEFAULT_PARTITION__"):
+        assert after[month] == before[month]
+    assert after["month=202402"].isdisjoint(before["month=202402"])
+    want = {r[0]: r for r in old} | {"k1": ("k1", "2", "h2", 202402), "new": ("new", "1", "h1", 202405), "moves": ("moves", "2", "h2", 202402)}
+    read = lambda: sorted(map(tuple, partitioned.read_partitions(spark, path, batch).collect()))
+    assert read() == sorted(want.values())
+    assert partitioned.upsert_partitions(spark, path, batch, ["k"], "month", ["k"]) == [] and _files(path) == after
+    assert partitioned.upsert_partitions(spark, path, rows(("n", "2", "h2", None)), ["k"], "month", ["k"]) == [None]
+    assert ("n", "2", "h2", None) in partitioned.read_partitions(spark, path, batch).collect() and len(read()) == len(want)
+
+
+def test_stored_fact_is_read_by_month(spark):
+    """The year's revenue scans the months it asks for, from the stored fact itself."""
+    fact = registry.lakehouse(spark, "/root/testdata/sf0.001").fact_orders
+    assert fact.inputFiles()[0].split("/")[-2].startswith("order_month=")
+    plan = fact.filter("order_month > 200012")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
 
 
 def test_scd2_batches_at_or_before_the_current_version(spark):
