@@ -13,20 +13,23 @@ Partition values are a small set (months): their list goes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.operators.upsert import change_set, clean_source, upsert
 
 
-def write_partitions(df: DataFrame, path: str, column: str, order: list[str]) -> None:
+def write_partitions(df: DataFrame, path: str, column: str, order: list[str], rows: Observation | None = None) -> None:
     """Write ``df`` as folders of ``column``, replacing those it has rows for.
 
     Range partitioning on (column, order) gives each task a stretch of
-    partitions, so there are few files per folder, and splits a heavy one over several tasks."""
+    partitions, so there are few files per folder, and splits a heavy one over several tasks. ``rows``
+    counts what is written (behind the exchange: its bounds are sampled in a pass of their own)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, column, *order).sortWithinPartitions(column, *order)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    out = df.repartitionByRange(n, column, *order).sortWithinPartitions(column, *order)
+    if rows is not None:
+        out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
 
 
 def read_partitions(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:

@@ -1,11 +1,8 @@
-"""Top-n rows per group, exact and skew-safe.
+"""Top-n rows per group.
 
-A single ``row_number`` window partitioned by the group puts every row of a
-group in one task. Here the group is first split into ``buckets`` salted
-sub-groups (by a hash of the tie-break key), each keeps its own top n, and
-a final window ranks the at most ``buckets * n`` survivors per group. The
-result is exact: the global top n of a group is contained in the union of
-the top n of any partition of that group.
+A rank filter on a window is planned with a group limit before the
+shuffle: every task keeps n rows of a group at most, so however large a group
+is, the task that ranks it gets n rows from each task before it.
 """
 
 from __future__ import annotations
@@ -14,13 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
-                    salt_by: list[str], buckets: int = 64, rank_col: str = "rank") -> DataFrame:
+def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..n within each group under ``order`` (which must be a
     total order, e.g. ending with a unique key)."""
-    salt = F.pmod(F.xxhash64(*salt_by), F.lit(buckets))
-    pre = (df.withColumn("_salt", salt)
-             .withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*order)))
-             .filter(F.col("_r") <= n).drop("_r", "_salt"))
-    final = Window.partitionBy(*group).orderBy(*order)
-    return pre.withColumn(rank_col, F.row_number().over(final)).filter(F.col(rank_col) <= n)
+    ranked = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return ranked.filter(F.col(rank_col) <= n)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.functions import lookups
@@ -18,6 +18,7 @@ from emporium.functions.dates import calendar_columns, date_key, month_key
 from emporium.functions.hashing import surrogate_key
 from emporium.functions.numeric import MONEY, round_div
 from emporium.operators.dedup import keep_first
+from emporium.operators.scd import asof_lookup
 from emporium.plans.silver import ORDER_TS, Silver
 
 REFERENCE_DATE_RANGE = (_dt.date(2016, 1, 1), _dt.date(2026, 12, 31))
@@ -169,19 +170,36 @@ def dim_sellers(raw: DataFrame) -> DataFrame:
                         region_of(F.col("seller_state")).alias("seller_region"))
 
 
-def fact_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Item grain: one row per (order, line) with the order's context."""
+#: What the item fact counts while it is written.
+ITEM_MISSES = ["items", "without_order", "without_product", "without_seller", "without_customer"]
+
+
+def fact_order_items(orders: DataFrame, items: DataFrame, products: DataFrame, sellers: DataFrame, customers: DataFrame,
+                     dim_customers: DataFrame, observed: Observation | None = None) -> DataFrame:
+    """Item grain: one row per (order, line) with the order's context and the
+    keys of the dimensions it belongs to (the customer's version valid at
+    purchase). An item without an order is dropped, one without a product,
+    seller or customer keeps a null key; ``observed`` counts all four in the
+    pass that writes the fact, so nothing disappears unseen."""
     o = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
-                      "delivery_days", "delivery_seconds", "is_late_delivery")
-    j = items.join(o, "order_id", "inner")
-    return j.select(
+                      "delivery_days", "delivery_seconds", "is_late_delivery", F.lit(True).alias("_has_order"))
+    people = customers.select("customer_id", "customer_unique_id")
+    versions = dim_customers.select("customer_unique_id", "customer_sk", "valid_from", "valid_to")
+    j = items.join(o, "order_id", "left").join(people, "customer_id", "left")
+    j = asof_lookup(j, versions, "customer_unique_id", "order_purchase_timestamp")
+    j = j.join(products.select("product_id", "product_sk"), "product_id", "left").join(sellers.select("seller_id", "seller_sk"), "seller_id", "left")
+    if observed is not None:
+        found = F.col("_has_order").isNotNull()
+        j = j.observe(observed, F.count(F.lit(1)).alias("items"), F.count_if(~found).alias("without_order"),
+                      *[F.count_if(found & F.col(f"{d}_sk").isNull()).alias(f"without_{d}") for d in ("product", "seller", "customer")])
+    return j.filter("_has_order").select(
         surrogate_key("order_id", F.col("order_item_id").cast("string")).alias("order_item_sk"),
         "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
         date_key("order_purchase_timestamp").alias("order_date_key"),
         F.lit(1).alias("quantity"),
         "price", "freight_value", "line_total_value",
         "order_status", "delivery_days", "delivery_seconds", "is_late_delivery",
-        "shipping_limit_date", "order_purchase_timestamp",
+        "shipping_limit_date", "order_purchase_timestamp", "product_sk", "seller_sk", "customer_sk",
     )
 
 
@@ -280,5 +298,15 @@ class Gold:
 
     @property
     def fact_order_items(self):
-        return self._memo("fact_order_items",
-                          lambda: fact_order_items(self.silver.orders, self.silver.order_items))
+        def build():
+            s = self.silver
+            self.prefetch(["orders", "order_items", "customers", "products"])
+            self.item_misses = Observation("item_misses") if self.store is not None else None
+            return fact_order_items(s.orders, s.order_items, self.dim_products, self.dim_sellers, s.customers, self.dim_customers, self.item_misses)
+        return self._memo("fact_order_items", build)
+
+    def item_key_misses(self) -> DataFrame:
+        """What the item fact's joins missed, counted by its load."""
+        self.fact_order_items
+        seen = self.item_misses.get
+        return self.spark.createDataFrame([tuple(int(seen[c]) for c in ITEM_MISSES)], ", ".join(f"{c} long" for c in ITEM_MISSES))

@@ -66,6 +66,12 @@ def clustered_layout(spark: SparkSession, sf: str, fact: DataFrame) -> DataFrame
     return I.cluster(fact, ["order_date_key", "customer_id"], out).select(*fact.columns)
 
 
+def zordered_layout(spark: SparkSession, fact: DataFrame) -> DataFrame:
+    """M8: the stored order fact along the Z-curve of (date key, customer), its
+    monthly files compacted."""
+    return I.zorder(fact, ["order_date_key", "customer_id"], workdir(spark, "zordered") + "/fact_orders")
+
+
 def revenue_last_year(fact: DataFrame) -> DataFrame:
     """Monthly revenue of the last twelve months of data, from the
     stored order fact, which lies in folders by month: the month bound is a

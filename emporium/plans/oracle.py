@@ -111,7 +111,7 @@ def cte(name: str, sql: str) -> None:
 
 
 for _e in ["orders", "orders_batch1", "orders_batch2", "customers_batch1", "order_items", "payments", "customers", "customers_batch2",
-           "products", "sellers", "geolocation", "clickstream"]:
+           "products", "sellers", "geolocation", "clickstream", "payments_dirty", "customers_dirty", "products_dirty"]:
     cte(f"bronze_{_e}", bronze_sql(_e))
 
 # ---------------------------------------------------------------- silver orders
@@ -276,8 +276,12 @@ cte("fact_order_items", f"""SELECT {skey("i.order_id", "CAST(i.order_item_id AS
   CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS order_date_key,
   1 AS quantity, i.price, i.freight_value, i.line_total_value,
   o.order_status, o.delivery_days, o.delivery_seconds, o.is_late_delivery,
-  i.shipping_limit_date, o.order_purchase_timestamp
-FROM silver_order_items i JOIN silver_orders o ON i.order_id = o.order_id""")
+  i.shipping_limit_date, o.order_purchase_timestamp, p.product_sk, s.seller_sk, d.customer_sk
+FROM silver_order_items i JOIN silver_orders o ON i.order_id = o.order_id
+LEFT JOIN dim_products p ON p.product_id = i.product_id LEFT JOIN dim_sellers s ON s.seller_id = i.seller_id
+LEFT JOIN silver_customers c ON c.customer_id = o.customer_id
+LEFT JOIN dim_customers d ON d.customer_unique_id = c.customer_unique_id AND o.order_purchase_timestamp >= d.valid_from
+  AND (d.valid_to IS NULL OR o.order_purchase_timestamp < d.valid_to)""")
 
 
 def with_ctes(select: str) -> str:
@@ -380,6 +384,16 @@ def checks_sql(label: str, src: str, checks: dict[str, str]) -> str:
         for name in checks)
 
 
+# ---------------------------------------------------------------- routing
+cte("routed", f"""SELECT 'orders' AS entity, order_id AS record_key, reject_reason FROM order_rejects_t
+UNION ALL SELECT 'order_items', concat_ws('/', order_id, CAST(order_item_id AS VARCHAR)), reject_reason FROM item_rejects_t
+UNION ALL SELECT 'payments', concat_ws('/', trim(order_id), CAST(TRY_CAST(trim(payment_sequential) AS INTEGER) AS VARCHAR)),
+  CASE WHEN trim(order_id) IS NULL THEN 'null_order_id'
+    WHEN coalesce(TRY_CAST(trim(payment_value) AS DECIMAL(18,2)) < 0, true) THEN 'negative_or_invalid_value'
+    WHEN trim(upper(payment_type)) NOT IN ({_q(lookups.PAYMENT_TYPES)}) THEN 'invalid_payment_type' END FROM bronze_payments_dirty
+UNION ALL SELECT 'customers', coalesce(trim(customer_id), ''), CASE WHEN trim(customer_id) IS NULL THEN 'null_customer_id' END FROM bronze_customers_dirty
+UNION ALL SELECT 'products', coalesce(trim(product_id), ''), CASE WHEN trim(product_id) IS NULL THEN 'null_product_id' END FROM bronze_products_dirty""")
+
 # ---------------------------------------------------------------- clickstream
 cte("clicks", "SELECT *, TRY_CAST(event_timestamp AS TIMESTAMP) AS event_ts FROM bronze_clickstream")
 cte("click_minutes", """SELECT time_bucket(INTERVAL '1 minute', event_ts) AS window_start,

@@ -90,14 +90,22 @@ def order_rejects(raw: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- customers
-def silver_customers(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS, fold_accents: bool = False) -> DataFrame:
-    typed = raw.select(
+def typed_customers(raw: DataFrame, fold_accents: bool = False) -> DataFrame:
+    return raw.select(
         F.trim("customer_id").alias("customer_id"),
         F.trim("customer_unique_id").alias("customer_unique_id"),
         F.trim("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
         clean_city(F.col("customer_city"), fold_accents).alias("customer_city"),
         clean_state(F.col("customer_state")).alias("customer_state"),
-    ).filter(F.col("customer_id").isNotNull())
+    )
+
+
+def customer_rules(df: DataFrame):
+    return reject_reason((F.col("customer_id").isNotNull(), "null_customer_id"))
+
+
+def silver_customers(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS, fold_accents: bool = False) -> DataFrame:
+    typed = typed_customers(raw, fold_accents).filter(F.col("customer_id").isNotNull())
     dedup = keep_first(typed, ["customer_id"], ["customer_unique_id"])
     return add_audit_columns(dedup, "customers", batch_ts)
 
@@ -114,11 +122,10 @@ def translate_category(c, translations: dict[str, str] | None = None):
     return translated.otherwise(c)
 
 
-def silver_products(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS,
-                    translations: dict[str, str] | None = None) -> DataFrame:
+def typed_products(raw: DataFrame, translations: dict[str, str] | None = None) -> DataFrame:
     cat = F.trim(F.lower("product_category_name"))
     dims = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
-    typed = raw.select(
+    return raw.select(
         F.trim("product_id").alias("product_id"),
         cat.alias("product_category_name"),
         translate_category(cat, translations).alias("product_category_name_english"),
@@ -128,7 +135,16 @@ def silver_products(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS,
         # Missing dimensions default to 0.0 (source rule); the flag keeps the fact visible.
         *[F.coalesce(F.trim(c).try_cast("double"), F.lit(0.0)).alias(c) for c in dims],
         F.trim("product_weight_g").try_cast("double").isNull().alias("weight_missing"),
-    ).filter(F.col("product_id").isNotNull())
+    )
+
+
+def product_rules(df: DataFrame):
+    return reject_reason((F.col("product_id").isNotNull(), "null_product_id"))
+
+
+def silver_products(raw: DataFrame, batch_ts=DEFAULT_BATCH_TS,
+                    translations: dict[str, str] | None = None) -> DataFrame:
+    typed = typed_products(raw, translations).filter(F.col("product_id").isNotNull())
     dedup = keep_first(typed, ["product_id"])
     return add_audit_columns(dedup, "products", batch_ts)
 
@@ -242,15 +258,10 @@ class Silver:
         if name not in self._t:
             df = fn()
             if self.store is not None and not name.startswith("raw_"):
-                df = self.store.persist("silver/" + name, df, bucket_by=self._BUCKETS.get(name))
+                df = self.store.persist("silver/" + name, df)
             self._t.setdefault(name, df)
         return self._t[name]
 
-    # Order-keyed tables are bucketed alike, so the per-order aggregates and
-    # the joins that assemble the facts need no shuffle of these tables.
-    _BUCKETS = {"orders": ["order_id"], "order_items": ["order_id"],
-                "payment_details": ["order_id"], "payment_summary": ["order_id"]}
-
     def raw(self, entity: str) -> DataFrame:
         return self._memo("raw_" + entity, lambda: self.raw_reader(entity))
 

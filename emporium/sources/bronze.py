@@ -24,6 +24,11 @@ def _money_text(expr: str) -> str:
     return f"CAST(CAST(round({expr}, 2) AS DECIMAL(18,2)) AS STRING)"
 
 
+#: States of all five listed regions, and the region's initials (unlisted) for the other nations.
+_STATE = ("CASE n_nationkey % 7 WHEN 0 THEN 'SP' WHEN 1 THEN 'RS' WHEN 2 THEN 'BA' WHEN 3 THEN 'AM' WHEN 4 THEN 'GO' "
+          "ELSE substr(r_name, 1, 2) END")
+
+
 def _spec(dialect: str) -> dict[str, dict]:
     idiv = "div" if dialect == "spark" else "//"
     if dialect == "spark":
@@ -83,7 +88,7 @@ def _spec(dialect: str) -> dict[str, dict]:
                 ("customer_unique_id", f"CAST(c_custkey {idiv} 2 AS STRING)"),
                 ("customer_zip_code_prefix", "lpad(CAST(c_nationkey AS STRING), 5, '0')"),
                 ("customer_city", "concat(c_mktsegment, ' ', c_name)"),
-                ("customer_state", "substr(r_name, 1, 2)"),
+                ("customer_state", _STATE),
             ],
         },
         # Second customer batch: all customers (those with a negative balance
@@ -98,14 +103,16 @@ def _spec(dialect: str) -> dict[str, dict]:
                 ("customer_city",
                  "CASE WHEN c_custkey % 10 = 0 THEN concat('RELOCATED ', c_name) "
                  "ELSE concat(c_mktsegment, ' ', c_name) END"),
-                ("customer_state", "substr(r_name, 1, 2)"),
+                ("customer_state", _STATE),
             ],
         },
         "products": {
             "from": "part",
             "cols": [
                 ("product_id", "CAST(p_partkey AS STRING)"),
-                ("product_category_name", "p_type"),
+                # every sixth part has a category of the translation list, one of them padded and in mixed case
+                ("product_category_name",
+                 "CASE p_partkey % 12 WHEN 0 THEN 'beleza_saude' WHEN 6 THEN ' Perfumaria ' ELSE p_type END"),
                 ("product_name_lenght", "CAST(length(p_name) AS STRING)"),
                 ("product_description_lenght", "CAST(length(p_name) * 10 + p_size AS STRING)"),
                 ("product_photos_qty", "CAST(p_size % 5 AS STRING)"),
@@ -123,7 +130,7 @@ def _spec(dialect: str) -> dict[str, dict]:
                 ("seller_id", "CAST(s_suppkey AS STRING)"),
                 ("seller_zip_code_prefix", "lpad(CAST(s_nationkey AS STRING), 5, '0')"),
                 ("seller_city", "n_name"),
-                ("seller_state", "substr(r_name, 1, 2)"),
+                ("seller_state", _STATE),
             ],
         },
         "geolocation": {
@@ -136,7 +143,7 @@ def _spec(dialect: str) -> dict[str, dict]:
                 ("geolocation_lng",
                  "CAST(CAST(s_acctbal AS DECIMAL(12,2)) * CAST(-0.002 AS DECIMAL(4,3)) AS STRING)"),
                 ("geolocation_city", "n_name"),
-                ("geolocation_state", "substr(r_name, 1, 2)"),
+                ("geolocation_state", _STATE),
             ],
         },
         "clickstream": {
@@ -183,12 +190,22 @@ def _with_batches(spec: dict[str, dict]) -> dict[str, dict]:
         b2.append((name, expr))
     spec["orders_batch1"] = {**o, "where": "o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"}
     spec["orders_batch2"] = {**o, "cols": b2, "where": "o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'"}
+    # A landing with rows that break the rules of each entity (routing scenario).
+    def dirty(entity: str, column: str, broken: str) -> dict:
+        return {**spec[entity], "cols": [(n, broken.format(e) if n == column else e) for n, e in spec[entity]["cols"]]}
+
+    spec["payments_dirty"] = dirty("payments", "payment_type", "CASE WHEN l_orderkey % 53 = 0 THEN 'barter' ELSE {} END")
+    value = next(e for n, e in spec["payments"]["cols"] if n == "payment_value")
+    spec["payments_dirty"]["cols"] = [(n, f"CASE WHEN l_orderkey % 59 = 0 THEN concat('-', {value}) WHEN l_orderkey % 61 = 0 THEN 'n/a' ELSE {e} END" if n == "payment_value" else e)
+                                      for n, e in spec["payments_dirty"]["cols"]]
+    spec["customers_dirty"] = dirty("customers", "customer_id", "CASE WHEN c_custkey % 101 = 0 THEN NULL ELSE {} END")
+    spec["products_dirty"] = dirty("products", "product_id", "CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE {} END")
     spec["customers_batch1"] = {**spec["customers"], "where": "c_acctbal >= 0"}
     return spec
 
 
 ENTITIES = ["orders", "orders_batch1", "orders_batch2", "customers_batch1", "order_items", "payments", "customers", "customers_batch2",
-            "products", "sellers", "geolocation", "clickstream"]
+            "products", "sellers", "geolocation", "clickstream", "payments_dirty", "customers_dirty", "products_dirty"]
 
 
 def _geo_join(t: Tables, df: DataFrame, key: str) -> DataFrame:
@@ -245,3 +262,14 @@ def as_json_messages(df: DataFrame) -> DataFrame:
 def clickstream_json(spark: SparkSession, base: str) -> DataFrame:
     """Clickstream as the broker delivers it: one JSON text body per event."""
     return as_json_messages(bronze(spark, base, "clickstream"))
+
+
+#: How a producer's faults change a body: cut off, without an id, with a time nobody can read.
+FAULTY_BODY = ("CASE WHEN CAST(key AS BIGINT) % 31 = 0 THEN substring(body, 1, 25) "
+               "WHEN CAST(key AS BIGINT) % 37 = 0 THEN replace(body, 'event_id', 'event_no') "
+               "WHEN CAST(key AS BIGINT) % 41 = 0 THEN replace(body, 'event_timestamp\":\"', 'event_timestamp\":\"on ') ELSE body END")
+
+
+def faulty(messages: DataFrame) -> DataFrame:
+    """Messages as they come from producers of which some are broken."""
+    return messages.select("key", F.expr(FAULTY_BODY).alias("body"))

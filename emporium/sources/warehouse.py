@@ -18,7 +18,8 @@ import os
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from emporium.operators.partitioned import read_partitions, write_partitions
 from emporium.session import checkpoint_dir
@@ -43,53 +44,25 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _table_name(self, name: str) -> str:
-        return "wh_" + self.root.rsplit("-", 1)[-1] + "_" + name.replace("/", "_")
-
-    def _can_bucket(self) -> bool:
-        """Bucketed tables need a catalog entry. They are used only with the
-        in-memory catalog and a deliberately configured
-        ``spark.sql.warehouse.dir`` -- never the default ``./spark-warehouse``
-        that Spark would create in the process's working directory."""
-        conf = self.spark.conf
-        if conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
-            return False
-        wh = (conf.get("spark.sql.warehouse.dir", "") or "").rstrip("/")
-        return bool(wh) and not wh.endswith("/spark-warehouse")
-
-    def persist(self, name: str, df: DataFrame, sort_within: list[str] | None = None,
-                bucket_by: list[str] | None = None, partition_by: str | None = None) -> DataFrame:
+    def persist(self, name: str, df: DataFrame, sort_within: list[str] | None = None, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once as table ``name`` and return a scan of it.
 
         ``sort_within`` orders rows inside each file so row-group min/max
         statistics on that column let later filters skip data.
-        ``bucket_by`` writes the table hash-bucketed (and sorted) on those
-        columns, one file per bucket: tables bucketed the same way are
-        aggregated and joined on that key without any shuffle.
         ``partition_by`` writes a folder per value of that column, so readers
         that filter on it list only the folders they need.
         """
-        bucketed = bool(bucket_by) and self._can_bucket()
         with self._table_lock(name):   # different tables may be built concurrently
             if name not in self._done:
-                from pyspark.sql import Observation
-                from pyspark.sql import functions as F
                 obs = Observation(f"load:{name}")
-                out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-                if bucketed:
-                    n = self.buckets()
-                    (out.repartition(n, *bucket_by).write.mode("overwrite")
-                        .bucketBy(n, *bucket_by).sortBy(*bucket_by)
-                        .option("path", self.path(name)).saveAsTable(self._table_name(name)))
-                elif partition_by:
-                    write_partitions(out, self.path(name), partition_by, sort_within or [])
+                if partition_by:
+                    write_partitions(df, self.path(name), partition_by, sort_within or [], rows=obs)
                 else:
+                    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
                     out = out.sortWithinPartitions(*sort_within) if sort_within else out
                     out.write.mode("overwrite").parquet(self.path(name))
                 self.metrics[name] = int(obs.get["rows"])
                 self._done.add(name)
-        if bucketed:
-            return self.spark.table(self._table_name(name)).select(*df.columns)
         return read_partitions(self.spark, self.path(name), df)
 
     def load_log(self) -> DataFrame:
@@ -103,10 +76,6 @@ class Warehouse:
                 self._logged = len(rows)
         return self.spark.read.parquet(path)
 
-    def buckets(self) -> int:
-        """One bucket count for every order-keyed table (they must agree to co-locate)."""
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
 
 def warehouse_for(spark: SparkSession, source_dir: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, os.path.realpath(source_dir))

@@ -66,6 +66,26 @@ def decode_valid(raw: DataFrame, body: str = "body", ltz: bool = False,
     return parsed.select(F.explode(keep).alias("r")).select("r.*")
 
 
+ROUTE_EVENTS, CORRUPT = "events", "_corrupt_body"
+BODY_SCHEMA = T.StructType(CLICK_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def routed(raw: DataFrame, body: str = "body", ltz: bool = False) -> DataFrame:
+    """F-json: every message decoded once, with the route it takes: ``events``,
+    or the reason for its quarantine. The parser itself reports a body that is
+    no JSON of the schema in its corrupt-record column; a body that parses may still lack
+    its id or a readable time. Quarantined messages keep their body."""
+    text = F.col(body).cast("string")
+    e = F.from_json(text, BODY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = raw.select(text.alias("body"), e.alias("e"))
+    stamp = F.col("e.event_timestamp")
+    ts = stamp.try_cast("timestamp") if ltz else stamp.try_cast("timestamp_ntz")
+    route = (F.when(F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull(), "malformed_json")
+              .when(F.col("e.event_id").isNull(), "no_event_id").when(ts.isNull(), "no_event_time").otherwise(ROUTE_EVENTS))
+    return parsed.select(route.alias("route"), *[F.col("e." + f.name).alias(f.name) for f in CLICK_SCHEMA.fields], ts.alias("event_ts"),
+                         F.when(route != ROUTE_EVENTS, F.col("body")).alias("body"))
+
+
 def _flat(df: DataFrame, w: str = "window") -> DataFrame:
     cols = [c for c in df.columns if c != w]
     return df.select(F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end"), *cols)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-from emporium.sources.bronze import as_json_messages, shape
+from emporium.sources.bronze import as_json_messages, faulty, shape
 from emporium.streaming import clickstream as CS
 from emporium.streaming.streams import EVENTS_SCHEMA, _event_files, _ntz, _state_partitions, event_source, workdir
 
@@ -197,3 +197,25 @@ def monitor_totals(spark: SparkSession, folder: str) -> DataFrame:
     return monitored(spark, folder).agg(
         F.coalesce(F.sum("input_rows"), F.lit(0)).alias("input_rows"), F.max_by("state_rows", "batch_id").alias("windows_held"),
         F.max("max_event_ts").alias("newest_event"))
+
+
+def quarantined(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """F-json on a stream: events and quarantined messages leave one pass over
+    the messages, as folders by route below the batch's id."""
+
+    def write(batch: DataFrame, batch_id: int):
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route").parquet(f"{out}/data/batch={int(batch_id)}"))
+
+    messages = as_json_messages(shape(event_source(spark, folder), "clickstream"))
+    stream = CS.routed(faulty(messages), ltz=True)
+    drain(stream, out + "/_checkpoint", write)
+    return spark.read.schema(T.StructType(stream.schema.fields + [T.StructField("batch", T.LongType())])).parquet(out + "/data").drop("batch")
+
+
+def route_counts(routes: DataFrame) -> DataFrame:
+    return routes.groupBy("route").agg(F.count(F.lit(1)).alias("messages"), F.count("body").alias("bodies_kept"),
+                                       F.min("event_ts").cast("timestamp_ntz").alias("first_event"))
+
+
+def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return route_counts(quarantined(spark, folder, workdir(spark, "quarantine")))

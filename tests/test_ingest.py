@@ -83,3 +83,23 @@ def test_marts_from_ingested_landings(spark, tmp_path):
     assert again.dim_customers.count() == people
     assert set(g.register_views()) == set(g.DIMENSIONS + g.FACTS)
     g.build_all()
+
+
+def test_zorder_narrows_both_columns_and_merges_files(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id", "CASE WHEN id % 50 = 0 THEN NULL ELSE cast(pmod(xxhash64(id, 1), 5000) as int) END AS a",
+                                          "concat('c', lpad(pmod(xxhash64(id, 2), 7000), 4, '0')) AS b")
+    rows.repartition(37).write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    size = I.stored_bytes(stored)
+    z = I.zorder(stored, ["a", "b"], str(tmp_path / "z"), target_bytes=size // 16)
+    assert 12 <= len(z.inputFiles()) <= 18 < len(stored.inputFiles())
+    assert sorted(map(str, z.collect())) == sorted(map(str, rows.collect()))
+    one = I.zorder(stored, ["a", "b"], str(tmp_path / "one"))
+    assert len(one.inputFiles()) == 1 and one.count() == 20_000
+
+    def share(df, c):  # mean part of the values' range that a file covers
+        r = [(int(str(x.min_key).lstrip("c")), int(str(x.max_key).lstrip("c"))) for x in I.file_ranges(df, c).collect()]
+        return sum(hi - lo for lo, hi in r) / len(r) / (max(hi for _, hi in r) - min(lo for lo, _ in r))
+
+    linear = I.cluster(stored, ["a", "b"], str(tmp_path / "linear"), files=16)
+    assert share(z, "a") < 0.55 and share(z, "b") < 0.55 and share(linear, "b") > 0.95

@@ -108,3 +108,18 @@ def test_no_task_holds_a_hot_users_events(spark):
     plan = CS.sessions_by_slots(ev)._jdf.queryExecution().executedPlan().toString()
     before_shuffle = plan[plan.rindex("Exchange hashpartitioning"):]
     assert "HashAggregate" in before_shuffle and "partial_min" in before_shuffle
+
+
+def test_quarantine_keeps_bodies_beside_the_events(spark, tmp_path):
+    bodies = ['{"event_id":"1","event_timestamp":"2024-01-01 10:00:00"}', '{"event_id":"2","event_ti', '{"user_id":"x","event_timestamp":"2024-01-01 10:00:00"}',
+              '{"event_id":"3","event_timestamp":"soon"}', '', None, '[1, 2]', '{"event_id":"4","event_timestamp":"2024-01-01 10:00:00","more":1}']
+    for ltz in (False, True):
+        got = CS.routed(spark.createDataFrame([(b,) for b in bodies], "body string"), ltz=ltz).collect()
+        assert [r.route for r in got] == ["events", "malformed_json", "no_event_id", "no_event_time", "malformed_json", "malformed_json", "malformed_json", "events"]
+        assert all((r.body is None) == (r.route == "events") or b is None for r, b in zip(got, bodies))
+    stream = RC.quarantined(spark, SF_SMALL, str(tmp_path / "q"))
+    counts = {r.route: r.messages for r in RC.route_counts(stream).collect()}
+    assert counts == {r.route: r.messages for r in registry.QUERIES["click_quarantine"](spark, SF_SMALL).collect()}
+    assert set(counts) == {"events", "malformed_json", "no_event_id", "no_event_time"}
+    cut = stream.where("route = 'malformed_json'").first().body
+    assert cut.startswith("{") and len(cut) == 25
