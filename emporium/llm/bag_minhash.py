@@ -41,8 +41,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import (WordHashes, chunked, cut, fresh, importable, mix64, multiset, multiset_jaccard, shingles,
-                                 word_hashes)
+from emporium.llm.common import (IdBitmap, WordHashes, chunked, cut, fresh, importable, mix64, multiset, multiset_jaccard,
+                                 shingles, spent, word_hashes)
 from emporium.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -275,6 +275,7 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     of_text = sketches.groupBy("digest").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
     texts = cut(spark, of_text.withColumn("rep", F.monotonically_increasing_id()), "texts")
     member = cut(spark, sketches.select("id", "digest").distinct().join(texts.select("digest", "rep", "least"), "digest"), "members")
+    spent(sketches)
     several = member.groupBy("id").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1").select(F.col("id").alias("k"), "first")
 
     # 2: within each bucket, all against the smallest
@@ -287,12 +288,15 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     near = held.select(F.col("rep").alias("kr")).distinct()
     wanted = cut(spark, texts.select("rep", "digest", "least").join(near, F.col("rep") == F.col("kr"), "left_semi"), "wanted")
     sole = wanted.join(several, F.col("least") == F.col("k"), "left_anti").select(F.col("least").alias("kl"), "rep")
-    by_id = (named.join(sole, F.col("id") == F.col("kl")).groupBy("id").agg(F.min("text").alias("text"), F.first("rep").alias("rep"))
+    # most documents are no candidates: they are left out before any exchange
+    thin = IdBitmap(spark, wanted.select("least")).rows(named, "id", among=True)
+    by_id = (thin.join(sole, F.col("id") == F.col("kl")).groupBy("id").agg(F.min("text").alias("text"), F.first("rep").alias("rep"))
              .select(F.col("rep").alias("id"), "text"))
     rest = wanted.join(several, F.col("least") == F.col("k"), "left_semi").select(F.col("digest").alias("kd"), "rep")
     by_digest = (digested(named.join(several, F.col("id") == F.col("k"), "left_semi")).join(rest, F.col("digest") == F.col("kd"))
                  .groupBy("rep").agg(F.min("text").alias("text")).select(F.col("rep").alias("id"), "text"))
     chosen = cut(spark, by_id.union(by_digest), "candidates")
+    spent(wanted)
     # rows that share an id share a class
     same_id = member.join(several, F.col("id") == F.col("k")).where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
 
@@ -315,10 +319,14 @@ def drop_copies(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text
     classes = near_duplicates(spark, df, id_col, text_col, **how)
     flags = cut(spark, classes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(key))
                 .agg(F.max("kept").alias(stays), F.count("*").alias(times)), "flags")
-    # one exchange of the documents serves both kinds of ids
-    marked = df.join(flags, df[id_col].cast("long") == F.col(key))
-    once = marked.where(F.col(stays) & (F.col(times) == 1)).select(df.columns)
-    nameless = df.where(df[id_col].cast("long").isNull())
+    # most rows stay and repeat no id: only the others meet their flags in an exchange
+    changed = flags.where(~F.col(stays) | (F.col(times) > 1))
+    ids = IdBitmap(spark, changed.select(key))
+    (own,) = fresh(df, "own")
+    rows = df.withColumn(own, df[id_col].cast("long"))
+    untouched = ids.rows(rows, own, among=False).drop(own)
+    marked = ids.rows(rows, own, among=True).join(changed, F.col(own) == F.col(key), "left")
+    once = marked.where(F.col(key).isNull()).select(df.columns)
     first = F.min_by(F.struct(*df.columns), F.struct(F.coalesce(text_col, F.lit("")), F.xxhash64(*df.columns)))
     again = marked.where(F.col(stays) & (F.col(times) > 1)).groupBy(key).agg(first.alias(stays)).select(f"{stays}.*")
-    return once.union(again).union(nameless)
+    return untouched.union(once).union(again)

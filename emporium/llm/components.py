@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import cut
+from emporium.llm.common import cut, spent
 
 
 def _smallest(links: DataFrame) -> DataFrame:
@@ -31,11 +31,13 @@ def components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> D
     state = print_of(now)
     for _ in range(max_rounds):
         large = _smallest(now).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        now = cut(spark, tidy(large), "large")
+        before, now = now, cut(spark, tidy(large), "large")
+        spent(before)
         # links now point from a node to smaller ones: a < b after tidy, so b's smaller neighbours are its a's
         least = now.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "k")
         small = now.join(least, F.col("b") == F.col("k"))
-        now = cut(spark, tidy(small.select("a", F.col("m").alias("b")).union(small.select(F.col("k"), "m"))), "small")
+        before, now = now, cut(spark, tidy(small.select("a", F.col("m").alias("b")).union(small.select(F.col("k"), "m"))), "small")
+        spent(before)
         seen = print_of(now)
         if seen == state:
             break

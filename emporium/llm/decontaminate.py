@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import chunked, fresh, importable, shingles, word_hashes, WordHashes
+from emporium.llm.common import chunked, importable, shingles, word_hashes, WordHashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 23
@@ -57,19 +57,27 @@ def _pack(sums: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """Multi-index of the items: built on the driver from one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], shingle: int = SHINGLE, radius: int = RADIUS):
+    def __init__(self, items: list[tuple[int, str]], shingle: int = SHINGLE, radius: int = RADIUS,
+                 shared: dict[int, int] | None = None, n_items: int | None = None):
+        """``items`` is a block of all items; ``shared`` has the shingles that
+        several of all items have, with their number, and ``n_items`` is the
+        number of all. So weights are the same in every block (a shingle of one
+        item weighs what one of none does). Without them the block is all."""
         self.shingle, self.radius = shingle, radius
         cache = WordHashes()
         words = [(i, w) for i, w in ((i, word_hashes(t, cache)) for i, t in items) if len(w)]
         self.ids = [i for i, _ in words]
         self.grams = [shingles(w, shingle) for _, w in words]
-        seen_in: dict[int, int] = defaultdict(int)
-        for g in self.grams:
-            for h in set(g.tolist()):
-                seen_in[h] += 1
-        self.known = np.array(sorted(seen_in), np.uint64)
-        rarity = np.log(1 + len(words) / np.array([seen_in[int(h)] for h in self.known], float)) if len(words) else np.zeros(0)
-        self.rarity, self.unseen = rarity, float(np.log(1 + max(len(words), 1)))
+        if shared is None:
+            shared, n_items = defaultdict(int), len(words)
+            for g in self.grams:
+                for h in set(g.tolist()):
+                    shared[h] += 1
+        self.own = np.unique(np.concatenate(self.grams)) if words else np.zeros(0, np.uint64)
+        known = sorted(h for h, n in shared.items() if n > 1)
+        self.known = np.array(known, np.uint64)
+        self.rarity = np.log(1 + n_items / np.array([shared[h] for h in known], float))
+        self.unseen = float(np.log(1 + max(n_items, 1)))
         prints = [int(_pack((_signs(g) * self.weights(g)[:, None]).sum(0)[None])[0]) for g in self.grams]
         self.prints = np.array(prints, np.uint64)
         self.bags = [self.bag(g) for g in self.grams]
@@ -89,7 +97,7 @@ class ItemIndex:
             self.sizes[size] = np.unique(np.concatenate([self.grams[k] for k in ks])), tables
         self.widths = sorted({min(shingle, s) for s in by_size})
         self.filter = np.zeros(1 << 22, bool)
-        self.filter[(self.known >> _U(42)).astype(np.int64)] = True
+        self.filter[(self.own >> _U(42)).astype(np.int64)] = True
 
     def weights(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -111,13 +119,15 @@ class ItemIndex:
     def hits(self, grams: np.ndarray) -> np.ndarray:
         """Places of shingles that some item has."""
         at = np.flatnonzero(self.filter[(grams >> _U(42)).astype(np.int64)])
-        own = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
-        return at[self.known[own] == grams[at]]
+        if not len(at):
+            return at
+        own = np.minimum(np.searchsorted(self.own, grams[at]), len(self.own) - 1)
+        return at[self.own[own] == grams[at]]
 
     def touched(self, texts: list[np.ndarray]) -> list[int]:
         """Texts with a shingle of an item, and some at whose border one lies."""
         out: set[int] = set()
-        if not texts or not len(self.known):
+        if not texts or not len(self.own):
             return []
         lengths = np.array([len(t) for t in texts])
         ends = np.cumsum(lengths)
@@ -162,21 +172,44 @@ class ItemIndex:
         return best
 
 
-def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE,
-            block_bytes: int = 16 << 20) -> DataFrame:
-    """(id, item_id, similarity, first_word, last_word); see the module."""
+def shared_shingles(own: DataFrame, shingle: int) -> tuple[dict[int, int], int]:
+    """Shingles that several items have, with their number, and the number of
+    items with words: what the weights depend on, whatever the blocks."""
+    importable(own.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                words = word_hashes(text, _cache)
+                if len(words):
+                    found = np.unique(shingles(words, shingle)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *found.tolist()], pa.int64())], names=["shingle"])  # null: the item itself
+
+    counts = own.select("text").mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    found = counts.where("n > 1 or shingle is null").collect()
+    return ({r.shingle % (1 << 64): r.n for r in found if r.shingle is not None}, sum(r.n for r in found if r.shingle is None))
+
+
+def indexes(spark: SparkSession, items: DataFrame, item_col: str, item_text_col: str, shingle: int, block_bytes: int):
+    """The broadcast indexes of the blocks of items, one after the other."""
     own = (items.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")).distinct()
            .withColumn("size", F.octet_length("text")))
     total = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     n_blocks = max(1, -(-2 * total // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = None
+    shared, n_items = shared_shingles(own, shingle) if n_blocks > 1 else (None, None)
     for k in range(n_blocks):
-        index = spark.sparkContext.broadcast(
-            ItemIndex([(r.item_id, r.text) for r in own.where(block == k).orderBy("item_id", "text").collect()], shingle))
+        part = [(r.item_id, r.text) for r in own.where(block == k).orderBy("item_id", "text").collect()]
+        yield spark.sparkContext.broadcast(ItemIndex(part, shingle, shared=shared, n_items=n_items))
+
 
+def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE,
+            block_bytes: int = 16 << 20) -> DataFrame:
+    """(id, item_id, similarity, first_word, last_word); see the module."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    out = None
+    for index in indexes(spark, items, item_col, item_text_col, shingle, block_bytes):
         importable(docs.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -200,11 +233,24 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str
     return best
 
 
-def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
     """The rows of documents in which no item is found, all columns as they
-    were. Rows without an id are kept if their own text is clean."""
-    row, text, bad = fresh(docs, "row", "text", "bad")
-    of_row = F.xxhash64(id_col, text_col)  # a copy of a bad row is bad, so rows need no key of their own
-    found = matches(spark, docs.select(of_row.alias(row), F.col(text_col).alias(text)), items, row, text, threshold=threshold)
-    return docs.join(found.select(F.col(row).alias(bad)).distinct(), of_row == F.col(bad), "left_anti")
+    were: a row's own text decides, in one pass per block of items without any
+    exchange. Null and empty texts stay."""
+    importable(spark)
+    at, out = docs.columns.index(text_col), docs
+    for index in indexes(spark, items, "item_id", "text", SHINGLE, 16 << 20):
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            ix = index.value
+            for b in batches:
+                texts, stays = b.column(at).to_pylist(), np.ones(b.num_rows, bool)
+                for i, j in chunked([len(t or "") // 6 for t in texts], 400_000):
+                    words = [word_hashes(t, _cache) for t in texts[i:j]]
+                    for k in ix.touched(words):
+                        stays[i + k] = not ix.search(words[k], threshold)
+                yield b.filter(pa.array(stays))
+
+        out = out.mapInArrow(run, out.schema)
+    return out

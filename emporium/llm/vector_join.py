@@ -156,8 +156,9 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "vec_id",
                      F.col(vec_col).cast("array<double>").alias("vec"))
     found = cut(spark, identified(rows), "vectors")
     usable = found.where("key is not null")
-    distinct = cut(spark, usable.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("label").alias("label"),
-                                                    F.first("dim").alias("dim"), F.first("vec").alias("vec")), "distinct")
+    distinct = cut(spark, usable.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"),
+                                                    F.first("dim").alias("dim"), F.first("vec").alias("vec"))
+                   .withColumn("id", F.monotonically_increasing_id()), "distinct")  # from here on vectors go by a number of their own
     sent = spark.sparkContext.broadcast(pivots(spark, distinct, eps, max_pivots, cell))  # max_pivots vectors
 
     def deal(batches):
@@ -194,9 +195,11 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "vec_id",
 
     counts = joined.groupBy("id").agg(F.sum("n").alias("n"))
     part = components(spark, joined.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    of_vector = (distinct.select("key", "id").join(counts.withColumnRenamed("id", "k1"), F.col("id") == F.col("k1"))
-                 .join(part.withColumnRenamed("node", "k2"), F.col("id") == F.col("k2"), "left")
-                 .select(F.col("key").alias("k"), "n", F.coalesce("component", "id").alias("component")))
+    placed = (distinct.select("key", "id", "least").join(part.withColumnRenamed("node", "k2"), F.col("id") == F.col("k2"), "left")
+              .select("key", "id", "least", F.coalesce("component", "id").alias("part")))
+    named = placed.groupBy("part").agg(F.min("least").alias("component")).withColumnRenamed("part", "k3")
+    of_vector = (placed.join(counts.withColumnRenamed("id", "k1"), F.col("id") == F.col("k1"))
+                 .join(named, F.col("part") == F.col("k3")).select(F.col("key").alias("k"), "n", "component"))
     by_row = found.select("id", "key").join(of_vector, F.col("key") == F.col("k")).select("id", "n", "component")
     alone = found.where("key is null").select("id", F.lit(1).cast("long").alias("n"), F.col("id").alias("component"))
     return (by_row.union(alone)

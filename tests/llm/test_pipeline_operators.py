@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from emporium.llm.common import IdBitmap
 from emporium.llm import bag_minhash, components, decontaminate, quality_fm, queries, secret_scan
 from emporium.llm.common import WordHashes, multiset, multiset_jaccard, shingles, word_hashes
 
@@ -189,6 +190,34 @@ def test_decontamination_odd_rows(spark, odd):
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(spark, odd, items, block_bytes=16).collect()} == got
 
 
+def test_decontamination_does_not_depend_on_blocks(spark):
+    """Fifty items that share shingles: weights come from all of them in every block."""
+    rng = random.Random(4)
+    common = [f"c{n}" for n in range(60)]
+    items = [(k, " ".join(common[k % 5 * 8:k % 5 * 8 + 20] + [f"i{k}x{n}" for n in range(14)])) for k in range(50)]
+    docs = []
+    for k, text in items:
+        words = text.split()
+        docs.append((k, " ".join(["before"] * 3 + words + ["after"] * 3)))
+        for n in (1, 2):
+            words[rng.randrange(len(words))] = f"new{n}"
+            docs.append((100 * n + k, " ".join(words)))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.matches(spark, d, i).collect())
+    assert {(k, k) for k in range(50)} <= {(a, b) for a, b, _ in whole}
+    assert sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.matches(spark, d, i, block_bytes=1500).collect()) == whole
+
+
+def test_bitmap_never_loses_an_id(spark):
+    wanted = spark.range(0, 60_000, 7)
+    rows = spark.createDataFrame([(None, "x")], "id long, t string").union(spark.range(60_000).selectExpr("id", "cast(id as string)"))
+    ids = IdBitmap(spark, wanted)
+    among = ids.rows(rows, "id", among=True).collect()
+    assert {r.id for r in among} >= set(range(0, 60_000, 7)) and len(among) < 1.1 * 60_000 / 7
+    assert ids.rows(rows, "id", among=False).count() == 60_001 - len(among)
+    assert IdBitmap(spark, wanted.limit(0)).rows(rows, "id", among=True).count() == 0
+
+
 # secrets
 
 def base_by_contract(text):

@@ -77,3 +77,11 @@ def test_repeated_id_keeps_rows_without_a_usable_vector(spark):
                                "vec_id long, embedding array<double>, label long")
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in vector_join.near_duplicates(spark, df).collect()), key=str)
     assert got == sorted([(1, 1, 1, True), (2, 1, 1, False), (2, 0, 2, True), (2, 0, 2, True), (3, 0, 3, True), (None, 0, None, True), (None, 0, None, True)], key=str)
+
+
+def test_repeated_ids_do_not_link_other_vectors(spark):
+    """Rows of one id are vectors of their own: neither links nor components pass from one to the other."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.001], 0), (3, [0.001, 1.0], 0), (4, [3.0, 4.0], 0), (4, [3.0, 4.0], 1), (5, [3.0, 4.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert answer(vector_join.near_duplicates(spark, df)) == sorted(
+        [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True), (4, 0, 4, True), (5, 1, 4, False)], key=str)
