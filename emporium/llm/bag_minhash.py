@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,9 +114,9 @@ _cache = WordHashes()
 def _texts(batches: Iterator[pa.RecordBatch], limit: int = 60_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of (id, text) batches of ``limit`` words or so, with the words' hashes."""
     for b in batches:
-        texts = b.column(1).to_pylist()
-        for i, j in chunked([len(t) // 6 for t in texts], limit):
-            yield b.slice(i, j - i), [word_hashes(t, _cache) for t in texts[i:j]]
+        for i, j in chunked((pc.binary_length(b.column(1)).to_numpy() // 6).tolist(), limit):
+            part = b.slice(i, j - i)
+            yield part, [word_hashes(t, _cache) for t in part.column(1).to_pylist()]
 
 
 def sketch(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:

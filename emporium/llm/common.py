@@ -8,9 +8,8 @@ import weakref
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.session import run_folder
@@ -141,51 +140,29 @@ def chunked(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-BITMAP_BITS = 1 << 24  # 2 MB at most
-
-
-def _bits_of(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places in a bitmap for each id."""
-    h = mix64(ids.astype(np.uint64))
-    return (h % np.uint64(bits)).astype(np.int64), (mix64(h) % np.uint64(bits)).astype(np.int64)
+BITMAP_BITS = 1 << 25  # in 524,288 words: what is broadcast at most
 
 
 class IdBitmap:
-    """A Bloom filter of a column of ids, 16 bits an id and 2 MB at most:
-    tells most rows whose id is not among them apart without any exchange. Of
-    more than some millions of ids it separates fewer, and none falsely."""
+    """A bitmap of hashed ids, 64 bits an id and ``BITMAP_BITS`` at most: tells
+    most rows whose id is not among the ids apart without an exchange of the
+    rows. Its words are broadcast, a table of proven size. Of more than some
+    millions of ids it separates fewer rows, and none falsely."""
 
     def __init__(self, spark: SparkSession, ids: DataFrame):
-        """``ids`` has one column of type long without nulls."""
-        importable(spark)
-        n = ids.count()
-        self.bits = bits = int(min(BITMAP_BITS, max(1024, 1 << int(16 * max(n, 1) - 1).bit_length())))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = np.zeros(bits, bool)
-            for b in batches:
-                for at in _bits_of(b.column(0).to_numpy(zero_copy_only=False), bits):
-                    seen[at] = True
-            words = np.packbits(seen, bitorder="little").view("<i8")
-            used = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(words[used])], names=["at", "word"])
-
-        words = ids.mapInArrow(run, "at int, word long").groupBy("at").agg(F.bit_or("word").alias("word")).collect()
-        self.words = np.zeros(bits // 64, np.int64)
-        if words:
-            self.words[[w.at for w in words]] = [w.word for w in words]
+        """``ids`` has one column of type long."""
+        self.bits = min(BITMAP_BITS, 1 << max(10, int(64 * max(ids.count(), 1) - 1).bit_length()))
+        place = self._place(F.col(ids.columns[0]))
+        one = ids.where(F.col(ids.columns[0]).isNotNull()).select(F.shiftright(place, 6).alias("at"), F.expr("1L").alias("one"), place.bitwiseAND(63).cast("int").alias("n"))
+        self.words = cut(spark, one.groupBy("at").agg(F.expr("bit_or(shiftleft(one, n))").alias("word")), "bitmap")
+
+    def _place(self, column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.bits))
 
     def rows(self, df: DataFrame, id_col: str, among: bool) -> DataFrame:
         """The rows whose id may be among the ids (null ids aren't), or the others."""
-        at, sent = df.columns.index(id_col), df.sparkSession.sparkContext.broadcast((self.words, self.bits))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, bits = sent.value
-            has = lambda place: (words[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            for b in batches:
-                ids = b.column(at).cast(pa.int64())
-                first, second = _bits_of(ids.fill_null(0).to_numpy(zero_copy_only=False), bits)
-                maybe = has(first) & has(second) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield b.filter(pa.array(maybe if among else ~maybe))
-
-        return df.mapInArrow(run, df.schema)
+        place, at, word = fresh(df, "place", "at", "word")
+        words = self.words.select(F.col("at").alias(at), F.col("word").alias(word))
+        found = df.withColumn(place, self._place(F.col(id_col))).join(F.broadcast(words), F.shiftright(F.col(place), 6) == F.col(at), "left")
+        hit = (F.col(id_col).isNotNull() & F.coalesce(F.expr(f"getbit(`{word}`, cast(`{place}` & 63 as int)) = 1"), F.lit(False)))
+        return found.where(hit if among else ~hit).select(df.columns)

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -245,9 +246,9 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix = index.value
             for b in batches:
-                texts, stays = b.column(at).to_pylist(), np.ones(b.num_rows, bool)
-                for i, j in chunked([len(t or "") // 6 for t in texts], 400_000):
-                    words = [word_hashes(t, _cache) for t in texts[i:j]]
+                stays = np.ones(b.num_rows, bool)
+                for i, j in chunked((pc.binary_length(b.column(at)).fill_null(0).to_numpy() // 6).tolist(), 400_000):
+                    words = [word_hashes(t, _cache) for t in b.column(at).slice(i, j - i).to_pylist()]
                     for k in ix.touched(words):
                         stays[i + k] = not ix.search(words[k], threshold)
                 yield b.filter(pa.array(stays))
