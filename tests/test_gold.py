@@ -49,23 +49,14 @@ def test_fact_pre_aggregates_items(spark):
     assert r.order_month == 201801
 
 
-def test_fact_assembly_is_colocated_on_bucketed_silver(spark):
-    """The order-keyed Silver tables are bucketed alike: assembling the fact
-    from them shuffles nothing on order_id (only the customer lookup)."""
+def test_a_hot_order_is_combined_before_its_shuffle(spark):
+    """Items and payments of one order reach its task as a row per task before it."""
     from conftest import SF_SMALL
+    from emporium.plans.gold import items_per_order
     from emporium.plans.registry import lakehouse
-    g = lakehouse(spark, SF_SMALL)
-    if not g.store._can_bucket():
-        import pytest
-        pytest.skip("no configured catalog location: unbucketed fallback")
-    s = g.silver
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        f = G.fact_orders(s.orders, s.order_items, s.payment_summary, s.customers)
-        plan = f._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin [order_id" in plan
-    assert "hashpartitioning(order_id" not in plan
-    assert "hashpartitioning(customer_id" in plan
+    from emporium.plans.silver import payment_summary
+    s = lakehouse(spark, SF_SMALL).silver
+    for df in (items_per_order(s.order_items), payment_summary(s.payment_details)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("Exchange hashpartitioning(order_id"):]
+        assert "partial_sum" in below and "Scan parquet" in below
