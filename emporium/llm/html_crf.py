@@ -7,7 +7,8 @@ words of its ancestors, its own tag, and its text (length, links, sentences,
 digits, marks). The chain labels blocks as main text or not; its weights are
 learned by maximal likelihood (forward-backward) from labelled pages, and a
 page is labelled by Viterbi. The features of an ancestor add to the score of
-everything below it, so a block costs its own text only.
+everything below it; each open element is held once, with the sum down to it,
+so a block costs its own text only and a page memory in proportion to its length.
 
 ``training_pages`` makes labelled pages of many layouts; a list of other
 labelled pages can be given to ``train`` instead. The model is fitted on the
@@ -36,10 +37,13 @@ from pyspark.sql import functions as F
 from emporium.llm.common import importable
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
+                   "sub sup time tt u var wbr math svg object canvas audio video".split())
+#: Elements of formulas and drawings, which stand inside a line.
+INLINE |= frozenset("annotation maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+                    "msubsup msup mtable mtd mtext mtr munder munderover semantics circle ellipse g line path polygon polyline rect text tspan".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-RAW = frozenset("script style title noscript template textarea iframe svg math object canvas audio video head".split())
+RAW = frozenset("script style title noscript template textarea iframe annotation head".split())
 #: A start tag that ends an open element of these names.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "body": {"head"}}
@@ -47,13 +51,23 @@ MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
+BODY = re.compile("<body", re.I)
+
+
+@dataclass(slots=True, eq=False)
+class Element:
+    """An open element, tied to the one around it."""
+
+    features: tuple[str, ...]
+    around: Element | None
+    score: tuple[object, float] | None = None   # whose weights, and their sum from the outermost element down to here
 
 
 @dataclass
 class Block:
     text: str
     tag: str
-    above: tuple[str, ...]   # features of all ancestors, with repeats
+    above: Element | None    # the innermost ancestor
     linked: int              # characters inside links
 
 
@@ -73,25 +87,31 @@ def tag_features(tag: str, attributes: str) -> tuple[str, ...]:
 
 def leaf_blocks(page: str) -> Iterator[Block]:
     """The leaf blocks of a page, in order."""
-    stack: list[tuple[str, tuple[str, ...]]] = []  # open elements, with the features down to each
+    stack: list[tuple[str, Element, int]] = []  # open elements, each with the place of the innermost block in it
     parts: list[str] = []
-    linked = in_link = at = 0
+    n_open: dict[str, int] = {}
+    linked = at = 0
 
     def close() -> Iterator[Block]:
         nonlocal linked
         if parts:
             text = " ".join(html_module.unescape("".join(parts)).split())
             if text:
-                tag = next((t for t, _ in reversed(stack) if t not in INLINE), "")
-                yield Block(text, tag, stack[-1][1] if stack else (), linked)
+                inner = stack[-1][2] if stack else -1
+                yield Block(text, stack[inner][0] if inner >= 0 else "", stack[-1][1] if stack else None, linked)
             parts.clear()
         linked = 0
 
+    def leave(k: int) -> None:
+        for tag, _, _ in stack[k:]:
+            n_open[tag] -= 1
+        del stack[k:]
+
     def add(s: str) -> None:
         nonlocal linked
         if s:
             parts.append(s)
-            if in_link:
+            if n_open.get("a"):
                 linked += len(s)
 
     n = len(page)
@@ -105,14 +125,18 @@ def leaf_blocks(page: str) -> Iterator[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if tag in RAW and n_open.get("svg"):   # the title or style of a drawing
+            if not m[1] and not m[3].endswith("/"):
+                at = end.start() if (end := RAW_END[tag].search(page, at)) else n
+            continue
         if not m[1]:
             if tag in RAW:
                 if tag not in INLINE:
                     yield from close()
                 if not m[3].endswith("/"):
                     end = RAW_END[tag].search(page, at)
-                    if tag == "head" and (body := page.lower().find("<body", at)) >= 0 and (end is None or body < end.start()):
-                        at = body
+                    if tag == "head" and (body := BODY.search(page, at)) and (end is None or body.start() < end.start()):
+                        at = body.start()
                         continue
                     at = end.start() if end else n
                 continue
@@ -120,31 +144,34 @@ def leaf_blocks(page: str) -> Iterator[Block]:
                 add(" ")
             if tag not in INLINE:
                 yield from close()
-                ends = ENDS.get(tag, ())
-                for k in range(len(stack) - 1, -1, -1):
-                    t = stack[k][0]
-                    if t == "p" or t in ends:
-                        del stack[k:]
-                        break
-                    if t not in INLINE:
-                        break
-                in_link = sum(t == "a" for t, _ in stack)
+                inner = stack[-1][2] if stack else -1
+                if inner >= 0 and (stack[inner][0] == "p" or stack[inner][0] in ENDS.get(tag, ())):
+                    leave(inner)
             if tag not in VOID and not m[3].endswith("/"):
-                stack.append((tag, (stack[-1][1] if stack else ()) + tag_features(tag, m[3])))
-                in_link += tag == "a"
+                inner = len(stack) if tag not in INLINE else stack[-1][2] if stack else -1
+                stack.append((tag, Element(tag_features(tag, m[3]), stack[-1][1] if stack else None), inner))
+                n_open[tag] = n_open.get(tag, 0) + 1
         else:
             if tag not in INLINE:
                 yield from close()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in INLINE and any(t not in INLINE for t, _ in stack[k + 1:]):
+            if n_open.get(tag):
+                # an inline element ends inside its block only
+                for k in range(len(stack) - 1, stack[-1][2] if tag in INLINE else -1, -1):
+                    if stack[k][0] == tag:
+                        leave(k)
                         break
-                    del stack[k:]
-                    in_link = sum(t == "a" for t, _ in stack)
-                    break
     yield from close()
 
 
+def ancestors(b: Block) -> list[str]:
+    """Features of all ancestors of a block, outermost first, with repeats."""
+    out, e = [], b.above
+    while e is not None:
+        out.append(e.features)
+        e = e.around
+    return [f for features in reversed(out) for f in features]
+
+
 def text_features(b: Block) -> list[str]:
     """Features of a block's own tag and text."""
     t, n = b.text, len(b.text)
@@ -170,19 +197,21 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)   # of main text over other, by feature
     start: float = 0.0                                        # of main text first
     move: tuple[float, float, float, float] = (0, 0, 0, 0)    # other-other, other-main, main-other, main-main
-    _above: dict[tuple[str, ...], float] = field(default_factory=dict)
+
+    def above(self, e: Element | None) -> float:
+        """Sum of the weights of an element and all around it, kept at each."""
+        todo = []
+        while e is not None and (e.score is None or e.score[0] is not self.weights):
+            todo.append(e)
+            e = e.around
+        s = e.score[1] if e is not None else 0.0
+        for e in reversed(todo):
+            s += sum([self.weights.get(f, 0.0) for f in e.features])
+            e.score = self.weights, s
+        return s
 
     def scores(self, blocks: list[Block]) -> list[float]:
-        w, above = self.weights, self._above
-        if len(above) > 50_000:
-            above.clear()
-        out = []
-        for b in blocks:
-            s = above.get(b.above)
-            if s is None:
-                s = above[b.above] = sum(w.get(f, 0.0) for f in b.above)
-            out.append(s + sum([w.get(f, 0.0) for f in text_features(b)]))
-        return out
+        return [self.above(b.above) + sum([self.weights.get(f, 0.0) for f in text_features(b)]) for b in blocks]
 
     def viterbi(self, scores: list[float]) -> list[int]:
         """The best labels of a chain: 1 main text, 0 other."""
@@ -215,7 +244,7 @@ def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 150, rate: f
             continue
         starts.append(n)
         for b, label in zip(blocks, labels):
-            for f in (*b.above, *text_features(b)):
+            for f in (*ancestors(b), *text_features(b)):
                 at.append(n)
                 of.append(names.setdefault(f, len(names)))
             y.append(label)

@@ -2,6 +2,7 @@ import html
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -81,6 +82,37 @@ def test_parts_are_left_out(model):
                                    "Second paragraph, which is a little longer than the first one was.")
 
 
+def test_formulas_and_embedded_text_stay_in_their_line(model):
+    def texts(page):
+        return [b.text for b in html_crf.leaf_blocks(page)]
+
+    assert texts("<p>Energy <math><mi>E</mi><mo>=</mo><mn>5</mn><annotation>E=5</annotation></math> is</p>") == ["Energy E=5 is"]
+    assert texts("<p>a <object data=x>b</object> <video src=y>c</video> <svg><title>t</title><text>d</text></svg> e</p>") == ["a b c d e"]
+    assert texts("<head><title>İİİ</title><link><body><p>x</p>") == ["x"]
+
+
+def test_deep_pages_take_memory_and_time_in_proportion(model):
+    def peak(n):
+        page = "".join(f"<div class='c{i % 50}'>word {i}." for i in range(n)) + "</i></b></section>" * n + "<p>x<b>" * n
+        tracemalloc.start()
+        model.extract(page)
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return used
+
+    peak(100)
+    small, large = peak(2_000), peak(8_000)
+    assert large < 6 * small and large < 40e6
+    assert [b.tag for b in html_crf.leaf_blocks("<div>" * 60_000 + "x")] == ["div"]
+
+
+def test_score_of_ancestors_is_the_sum_of_their_features(model):
+    page = "<main class=content><ul id=nav><li>a</li><li><b>b</b></li></ul><p>c</p></main><footer>d</footer>"
+    for b in html_crf.leaf_blocks(page):
+        assert model.above(b.above) == pytest.approx(sum(model.weights.get(f, 0.0) for f in html_crf.ancestors(b)))
+        assert html_crf.Model({"in:ul": 2.0}).above(b.above) == (2.0 if b.tag == "li" else 0.0)
+
+
 def test_odd_rows(spark):
     long = "<article>" + "<p>word word word, word.</p>" * 30_000 + "</article>"
     df = spark.createDataFrame([(1, "u", None, "x", 1), (2, None, "", "x", 1), (None, "u", "<p", "x", 1), (3, "u", long, "x", 1), (3, "u", long, "x", 1)],
