@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 from emporium.llm import license_scan, queries
 from emporium.llm.common import WordHashes, word_hashes
@@ -31,8 +32,10 @@ def test_alignment_is_a_common_subsequence_and_whole_on_edits():
 
 def naive(words, b, coverage, density, reach):
     """The best coverage over every window of the text."""
-    best = 0
+    best, need, of_b = 0, int(coverage * len(b) - 1e-9), Counter(b)
     for i in range(len(words)):
+        if (Counter(words[i:i + reach]) & of_b).total() < need:  # too few equal words for any alignment
+            continue
         hits = license_scan.align(words[i:i + reach], b)
         if hits and len(hits) >= density * (hits[-1][0] - hits[0][0] + 1):
             best = max(best, len(hits) / len(b))
@@ -84,3 +87,39 @@ def test_repeats_edits_and_odd_rows(spark):
     assert set(got) == {(1, "MIT"), (2, "MIT"), (None, "Apache-2.0-notice"), (5, "Apache-2.0-notice"), (7, "Apache-2.0-notice")}
     assert license_scan.scan(df).count() == 6
     assert license_scan.scan(df.limit(0)).count() == 0 and license_scan.scan(df, {"none": ""}).count() == 0
+
+
+def test_neighbouring_licenses_are_told_apart(spark):
+    t = license_scan.TEMPLATES
+    cases = [("This work is licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0-notice"),
+             ("This work is licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1-notice"),
+             ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0-notice"),
+             ("This work is licensed under the GNU General Public License, version 3", "GPL-3.0-notice"),
+             ("This work is licensed under the GNU Affero General Public License, version 3", "AGPL-3.0-notice"),
+             ("Licensed under the Mozilla Public License, version 2.0.", "MPL-2.0-notice"),
+             ("Released under the BSD License.", "BSD-notice"), ("Released under the Artistic License.", None),
+             ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0-short"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0-short"),
+             ("Licensed under CC BY 4.0.", "CC-BY-4.0-short"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0-notice"),
+             ("# SPDX-License-Identifier: Apache-2.0", "SPDX-Apache-2.0"), ("// SPDX-License-Identifier: MIT", "SPDX-MIT"),
+             (t["MIT-whole"], "MIT-whole"), (t["BSD-2-Clause-whole"], "BSD-2-Clause-whole"), (t["BSD-3-Clause-whole"], "BSD-3-Clause-whole"),
+             (t["BSD-3-Clause"], "BSD-3-Clause"), (t["LGPL-2.1"], "LGPL-2.1"), (t["GPL-2.0"], "GPL-2.0"), (t["AGPL-3.0"], "AGPL-3.0"), (t["MPL-2.0"], "MPL-2.0")]
+    df = spark.createDataFrame([(i, f"first words of it\n{text}\nand some words after it") for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {}
+    for r in license_scan.scan(df).collect():
+        got.setdefault(r.doc_id, []).append(r.template)
+    assert got == {i: [name] for i, (_, name) in enumerate(cases) if name}
+
+
+def test_every_template_names_itself_in_edited_texts():
+    rng, cache = random.Random(5), WordHashes()
+    s = license_scan.Scanner(license_scan.TEMPLATES, telling=license_scan.TELLING)
+    telling = {cache[w] for w in license_scan.TELLING}
+    for name, text in license_scan.TEMPLATES.items():
+        words = text.split()
+        assert [f[0] for f in s.best(word_hashes(text, cache))] == [name]
+        if len(words) > 40:
+            free = [i for i, w in enumerate(words) if cache[w] not in telling]
+            for i in rng.sample(free, len(words) // 20):
+                words[i] = f"other{i}"
+            got = s.best(word_hashes(" ".join(words), cache))
+            assert [f[0] for f in got] == [name] and got[0][1] >= 0.9
