@@ -8,11 +8,14 @@ Matches are leftmost and do not overlap within a kind; those too short are
 dropped after matching.
 
 The method adds kind ``token``: strings of 20+ characters of the base64/URL
-alphabet with letters and digits, outside base spans, whose characters per
-token under a byte-pair vocabulary stay at or under ``max_ratio``. Prose and
-names are made of long tokens, random strings are not. Known digests (hex of
-32, 40, 56, 64, 96 or 128 digits) and identifiers (UUIDs, and names whose
-parts are all words or all numbers) are excluded first.
+alphabet whose characters per token under a byte-pair vocabulary stay at or
+under ``max_ratio``. Prose and names are made of long tokens, random strings
+are not. Known digests (hex of 32, 40, 56, 64, 96 or 128 digits), UUIDs and
+numbers are excluded first. A name (its parts are all words or all numbers, or
+it has no digit) is a secret only if a run of ``PART``+ letters in it stays at or
+under ``NAME_RATIO``: real words are above it, random letters below. Of a string
+that base spans cover in part, what they leave over is tested, in pieces of
+``REST``+ characters.
 
 A per-row pass over whole texts. Null texts count as empty; empty texts give
 zero counts, the digest of the empty string and no spans; null ids are passed
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -44,7 +48,9 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 IDENTIFIER = re.compile(r"([A-Z]?[a-z]+|[A-Z]+|[0-9]+)([_/=+-]+([A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[_/=+-]*|[A-Za-z]+([A-Z][a-z]+)*[0-9]{0,4}")
-MAX_RATIO = 2.3
+LETTERS = re.compile(r"[A-Za-z]+")
+MAX_RATIO, NAME_RATIO = 2.3, 2.1
+PART, REST = 16, 12
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -73,16 +79,27 @@ class Efficiency:
     def ratio(self, s: str) -> float:
         return len(s) / len(self.encoding.encode_ordinary(s))
 
+    def is_random(self, s: str, max_ratio: float) -> bool:
+        if s.isdigit() or DIGEST.fullmatch(s) or UUID.fullmatch(s):
+            return False
+        if IDENTIFIER.fullmatch(s) or not any(map(str.isdigit, s)):
+            return any(len(part) >= PART and self.ratio(part) <= min(max_ratio, NAME_RATIO) for part in LETTERS.findall(s))
+        return any(map(str.isalpha, s)) and self.ratio(s) <= max_ratio
+
     def spans(self, text: str, taken: list[Span], max_ratio: float) -> list[Span]:
         out = []
+        covered = sorted((a, b) for a, _, b in taken)
+        first = 0
         for m in CANDIDATE.finditer(text):
-            s = m[0]
-            if (s.isalpha() or s.isdigit() or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s))
-                    or DIGEST.fullmatch(s) or UUID.fullmatch(s) or IDENTIFIER.fullmatch(s)
-                    or any(a < m.end() and m.start() < b for a, _, b in taken)):
-                continue
-            if self.ratio(s) <= max_ratio:
-                out.append((m.start(), 3, m.end()))
+            while first < len(covered) and covered[first][1] <= m.start():
+                first += 1
+            at, pieces = m.start(), []
+            for a, b in itertools.takewhile(lambda c: c[0] < m.end(), covered[first:]):
+                pieces.append((at, a))
+                at = max(at, b)
+            pieces.append((at, m.end()))
+            least = REST if len(pieces) > 1 else 0
+            out += [(a, 3, b) for a, b in pieces if b - a > 0 and b - a >= least and self.is_random(text[a:b], max_ratio)]
         return out
 
 

@@ -256,6 +256,34 @@ def test_token_efficiency(spark):
     assert secret_scan.find("é password='short'  Token: \"abcdefgh\"", eff)[0] == [(20, 0, 36)]
 
 
+def test_random_strings_of_letters_and_beside_base_spans():
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        eff = secret_scan.Efficiency(f.read(), public_tokenizers.PATTERN)
+    rng = random.Random(7)
+
+    def tokens(text):
+        base, spans = secret_scan.find(text, eff)
+        assert [s for s in spans if s[1] < 3] == base
+        return [text[s:e] for s, k, e in spans if k == 3]
+
+    found = 0
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        for tail in ("", "7", "2024"):
+            for _ in range(50):
+                key = "".join(rng.choices(letters, k=40)) + tail
+                found += tokens(f"use {key} now") == [key]
+    assert found >= 0.97 * 300
+    for name in ("Rechtsschutzversicherungsgesellschaften", "anticonstitutionnellement", "getUserAccountInformation", "INTERNATIONALIZATION",
+                 "getUser_accountInformationOf", "MAX_CONNECTION_POOL_SIZE_PER_HOST", "-" * 40, "a_b_c_d_e_f_g_h_i_j_k_l"):
+        assert tokens(f"see {name} here") == [], name
+    left, right = ("".join(rng.choices("bcdfghjkmnpqrstvwxzBCDFGHJKMNPQRSTVWXZ23456789", k=24)) for _ in range(2))
+    for inside in ("AKIA" + "Q7" * 8, "0123456789abcdef" * 2):
+        text = f"{left}_{inside}_{right}"
+        assert "".join(tokens(text)).replace("_", "") == left + right
+        assert secret_scan.masked(text, secret_scan.find(text, eff)[1]).replace("[SECRET]", "").strip("_") == ""
+    assert tokens("build-2024-" + "0123456789abcdef" * 2) == []
+
+
 def test_secret_odd_rows(spark, odd):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     rows = secret_scan.scan(odd, path, pattern).collect()
