@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions.dates import month_key
 from emporium.functions.hashing import row_hash
-from emporium.operators import partitioned, scd, upsert, versioning
+from emporium.operators import partitioned, scd, schema_registry, upsert, versioning
 from emporium.operators.dedup import keep_first
 from emporium.plans.silver import Silver, silver_customers, silver_orders
 from emporium.session import run_folder
@@ -185,6 +185,26 @@ def schema_evolution(spark, sf, silver=None) -> DataFrame:
         "is_late_delivery")
 
 
+def schema_loads(spark, sf, silver=None) -> DataFrame:
+    """M7: five loads of orders against the schema registry: a narrow batch,
+    a wider one, one without a column, one with a changed type, and the wider
+    one again under its number. One row per batch: what became of it, and its
+    rows in the table as read at the end."""
+    t, s = orders_batches(spark, sf, silver)
+    narrow = t.drop("delivery_seconds", "delivery_days", "is_late_delivery")
+    loads = [(1, narrow), (2, s), (3, t.drop("order_status")), (4, s.withColumn("delivery_days", F.col("delivery_days").cast("string"))), (2, s)]
+    folder = run_folder(spark, "orders-by-schema")
+    registry, table = f"{folder}/registry", f"{folder}/table"
+    done = [schema_registry.load(spark, registry, table, batch, n) for n, batch in loads]
+    outcomes = spark.createDataFrame([(i + 1, *vars(o).values()) for i, o in enumerate(done)],
+                                     "load int, batch int, accepted boolean, schema_version int, added string, offending string")
+    held = (schema_registry.read(spark, registry, table).groupBy(F.col("_batch").alias("batch"))
+            .agg(F.count(F.lit(1)).alias("rows_held"), F.count("is_late_delivery").alias("rows_with_new_columns")))
+    return (outcomes.join(held, "batch", "left")
+            .select("load", "batch", "accepted", "schema_version", "added", "offending",
+                    F.coalesce("rows_held", F.lit(0)).alias("rows_held"), F.coalesce("rows_with_new_columns", F.lit(0)).alias("rows_with_new_columns")))
+
+
 def enforce(df: DataFrame, schema) -> DataFrame:
     """Schema enforcement: exact column set and types, else raise."""
     want = {f.name: f.dataType for f in schema.fields}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from emporium.session import run_folder
 from emporium.functions.numeric import pct
 
 # The event payload: 11 text fields; declared non-null fields are not
@@ -172,6 +173,43 @@ def active_users(events: DataFrame, width: str = "5 minutes", slide: str = "1 mi
     return _flat(events.groupBy(F.window("event_ts", width, slide)).agg(d.alias("active_users")))
 
 
+#: Sketches are exact up to 2^14 distinct values; beyond, the standard error is 1 / sqrt(2^14), 0.8 %.
+SKETCH_BITS = 14
+
+
+def minute_sketches(events: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """Per minute, mergeable sketches of its distinct users and
+    sessions. A minute's row is bounded (eight bytes a value, 2^bits at most), so
+    longer windows are united from stored minutes without the events."""
+    return _flat(events.groupBy(F.window("event_ts", "1 minute")).agg(
+        F.theta_sketch_agg("user_id", bits).alias("users"), F.theta_sketch_agg("session_id", bits).alias("sessions"),
+        F.count(F.lit(1)).alias("events")))
+
+
+def distinct_of_minutes(minutes: DataFrame, bits: int = SKETCH_BITS, trailing: int = 5) -> DataFrame:
+    """Distinct users and sessions of every ``trailing``-minute window (slid by
+    a minute) and of every day, from :func:`minute_sketches`."""
+    start = F.col("window_start")
+    slid = minutes.withColumn("w", F.explode(F.expr(f"transform(sequence(0, {int(trailing) - 1}), i -> window_start - make_dt_interval(0, 0, i))")))
+    grains = [(f"{trailing} minutes", slid, F.expr(f"INTERVAL {int(trailing)} MINUTES")),
+              ("day", minutes.withColumn("w", F.date_trunc("day", start).cast("timestamp_ntz")), F.expr("INTERVAL 1 DAY"))]
+    out = None
+    for grain, rows, width in grains:
+        part = rows.groupBy("w").agg(F.theta_union_agg("users", bits).alias("u"), F.theta_union_agg("sessions", bits).alias("s"), F.sum("events").alias("events"))
+        part = part.select(F.lit(grain).alias("grain"), F.col("w").alias("window_start"), (F.col("w") + width).alias("window_end"),
+                           F.theta_sketch_estimate("u").alias("active_users"), F.theta_sketch_estimate("s").alias("distinct_sessions"), "events")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def stored_minutes(spark, events: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """:func:`minute_sketches` as a stored table."""
+    minutes = minute_sketches(events, bits)
+    path = run_folder(spark, "click-minute-sketches")
+    minutes.write.parquet(path)
+    return spark.read.schema(minutes.schema).parquet(path)
+
+
 def funnel(events: DataFrame) -> DataFrame:
     """Sessions reaching view -> cart -> purchase, in that order.
 
