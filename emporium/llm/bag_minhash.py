@@ -42,8 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import (IdBitmap, WordHashes, chunked, cut, fresh, importable, mix64, multiset, multiset_jaccard,
-                                 shingles, spent, word_hashes)
+from emporium.llm.common import (IdBitmap, WordHashes, chunked, cut, fresh, importable, keep_only, mix64, multiset, multiset_jaccard,
+                                 shingles, spent, word_hashes, worker_cache)
 from emporium.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -108,11 +108,12 @@ def bands(signature: np.ndarray, n: int, rows: int) -> np.ndarray:
     return h
 
 
-_cache = WordHashes()
+_cache = worker_cache(WordHashes())
 
 
 def _texts(batches: Iterator[pa.RecordBatch], limit: int = 60_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of (id, text) batches of ``limit`` words or so, with the words' hashes."""
+    keep_only(_cache)
     for b in batches:
         for i, j in chunked((pc.binary_length(b.column(1)).to_numpy() // 6).tolist(), limit):
             part = b.slice(i, j - i)
@@ -168,6 +169,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, share:
     importable(pairs.sparkSession)
 
     def run(batches):
+        keep_only(_cache)
         known: dict[str, tuple] = {}
         for batch in batches:
             out = []
@@ -187,6 +189,7 @@ def _links_of_blocks(t: pa.Table, shingle: int, threshold: float) -> pa.Table:
     """Links between different components of a block (or two) of a bucket's
     texts: exact similarities where the triangle inequality leaves one
     possible, and of the links only those that join components anew."""
+    keep_only(_cache)
     own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
     rep, comp, owner, far = (t.column(c).to_numpy() for c in ("rep", "comp", "owner", "far"))
     left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)

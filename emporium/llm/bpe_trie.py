@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import importable
+from emporium.llm.common import importable, keep_only, worker_cache
 
 #: Fixed value: the pre-tokenization pattern of byte-level vocabularies.
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -191,11 +191,12 @@ class TrieEncoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, TrieEncoder] = {}
+_LOADED: dict[str, TrieEncoder] = worker_cache({})
 
 
 def _encoder(spec) -> TrieEncoder:
     key = hashlib.sha256(spec.value.encode()).hexdigest()
+    keep_only(_LOADED)
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = TrieEncoder(spec.value)

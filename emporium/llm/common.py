@@ -75,6 +75,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_CACHES: list = []
+
+
+def worker_cache(cache):
+    """Marks a module's cache (anything with ``clear``) as one of a Python worker."""
+    _CACHES.append(cache)
+    return cache
+
+
+def keep_only(*caches) -> None:
+    """Called where a task of an operator begins: a worker serves the tasks of
+    many operators, and holds the caches of one at a time."""
+    for c in _CACHES:
+        if not any(c is k for k in caches):
+            c.clear()
+
+
 class WordHashes(dict):
     """Raw token -> 64-bit hash of the word in lower case without outer
     punctuation; 0 for tokens that are punctuation only. Bounded: emptied

@@ -37,12 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm.common import chunked, importable, shingles, word_hashes, WordHashes
+from emporium.llm.common import chunked, importable, keep_only, shingles, worker_cache, word_hashes, WordHashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 23
 _U = np.uint64
-_cache = WordHashes()
+_cache = worker_cache(WordHashes())
 
 
 def _signs(hashes: np.ndarray) -> np.ndarray:
@@ -214,6 +214,7 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str
         importable(docs.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            keep_only(_cache)
             ix = index.value
             for b in batches:
                 texts, found = b.column(1).to_pylist(), []
@@ -244,6 +245,7 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str
     for index in indexes(spark, items, "item_id", "text", SHINGLE, 16 << 20):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            keep_only(_cache)
             ix = index.value
             for b in batches:
                 stays = np.ones(b.num_rows, bool)

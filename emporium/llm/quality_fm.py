@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import importable
+from emporium.llm.common import importable, keep_only, worker_cache
 
 HASHED = 1 << 15
 RANK = 6
@@ -71,7 +71,7 @@ class Words(dict):
         return code
 
 
-_words = Words()
+_words = worker_cache(Words())
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray, list[float]]:
@@ -176,6 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(_words)
         for b in batches:
             found = [features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -184,8 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  pa.array([w.astype("<f4").tobytes() for _, w, _ in found], pa.binary()),
                  pa.array([s for _, _, s in found], pa.list_(pa.float64()))], names=["id", "y", "slots", "weights", "stats"])
 
-    got = {r.id: r for r in rows.select("id", "y", "text")
-           .mapInArrow(run, "id long, y int, slots binary, weights binary, stats array<double>").toLocalIterator()}
+    got = {}
+    for r in rows.select("id", "y", "text").mapInArrow(run, "id long, y int, slots binary, weights binary, stats array<double>").toLocalIterator():
+        # of rows that repeat an id the one of the smallest features, whatever the order of tasks
+        if r.id not in got or (r.slots, r.weights, r.stats) < (got[r.id].slots, got[r.id].weights, got[r.id].stats):
+            got[r.id] = r
     rows = [got[k] for k in sorted(got)]
     data = [(np.frombuffer(r.slots, "<i4"), np.frombuffer(r.weights, "<f4").astype(float), list(r.stats)) for r in rows]
     return train(data, np.array([r.y for r in rows], float))
@@ -198,6 +202,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     importable(docs.sparkSession)
 
     def run(batches):
+        keep_only(_words)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(sent.value, b.column(1).to_pylist()))],
                                              names=["id", "score"])
@@ -217,6 +222,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
     importable(docs.sparkSession)
 
     def run(batches):
+        keep_only(_words)
         for b in batches:
             texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             yield b.filter(pa.array(scores(sent.value, texts) >= threshold, pa.bool_()))

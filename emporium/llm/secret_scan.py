@@ -35,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import importable
+from emporium.llm.common import importable, keep_only, worker_cache
 
 #: The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -114,10 +114,11 @@ def show(spans: list[Span]) -> str:
     return ",".join([f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans])
 
 
-_LOADED: dict[int, Efficiency] = {}
+_LOADED: dict[int, Efficiency] = worker_cache({})
 
 
 def _efficiency(sent) -> Efficiency:
+    keep_only(_LOADED)
     if sent.id not in _LOADED:
         _LOADED.clear()
         _LOADED[sent.id] = Efficiency(*sent.value)

@@ -256,6 +256,19 @@ def test_token_efficiency(spark):
     assert secret_scan.find("é password='short'  Token: \"abcdefgh\"", eff)[0] == [(20, 0, 36)]
 
 
+def test_a_worker_holds_the_caches_of_one_operator():
+    from emporium.llm import common
+    caches = common._CACHES
+    assert any(c is quality_fm._words for c in caches) and any(c is secret_scan._LOADED for c in caches)
+    quality_fm.features("some words of a text")
+    bag_minhash._cache["word"]
+    common.keep_only(bag_minhash._cache)
+    assert not quality_fm._words and bag_minhash._cache
+    assert quality_fm.features("some words of a text")[2] == quality_fm.features("some words of a text")[2]
+    common.keep_only()
+    assert not bag_minhash._cache
+
+
 def test_random_strings_of_letters_and_beside_base_spans():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         eff = secret_scan.Efficiency(f.read(), public_tokenizers.PATTERN)
