@@ -1,37 +1,38 @@
-"""Repeated passages: paragraphs banded by MinHash, verified, and clustered.
-
-A paragraph is a run of whole sentences, as short as it can be with
-``MIN_WORDS`` words. (A sentence starts at a line's first word, after . ! or ?
-and at a capital, so a passage keeps its paragraphs wherever it is put into a
-text.) One may start at every sentence; of two neighbours the one with the
-smaller hash of its first words is taken, which depends on nothing around a
-passage. Each paragraph has ``BANDS`` bands of ``ROWS`` minhashes of its runs
-of five words: at similarity 0.8 a pair of paragraphs meets in at least one
-band with probability 0.994, at 0.9 with 0.9998, at 0.3 with 0.38. (Single
-minhashes would find as much, but a shared half sentence would be a candidate.)
-
-A document is named once in a bucket. Buckets of two documents or more are
-kept, and all paragraphs of these documents that are in them are taken, each
-occurrence with its place. Equal paragraphs are one; the others of a bucket are verified by exact Jaccard
-similarity as ``bag_minhash.linked`` does, without all pairs. Components of
-links are clusters; a cluster in one document only is no repeat. A cluster's
-passage stays in the document of the smallest id and goes from the others.
-
-Sentence starts can be few, and paragraphs end outside a passage, so windows of
-``WINDOW`` words are taken beside them (winnowing: see ``windows``): any
-``WINDOW + REACH - 1`` = 50 equal words in two documents hold an equal window,
-whatever is around them. Around linked paragraphs and windows every run of
-``WINDOW`` words is looked up in the others, so that a match of 50 words or
-more is covered to its last word on both sides. (An edit ends a match; past
-one, less than ``WINDOW`` equal words are not covered unless a linked
-paragraph holds them. Windows are linked if equal, paragraphs if similar.)
+"""Repeated passages: paragraphs banded by MinHash, verified by word edit distance, and clustered.
+
+A paragraph is ``WORDS`` words from a content-defined border on. Borders are
+winnowed: places whose run of five words has the smallest hash of any
+``REACH`` places in a row. They depend on the words beside them alone, so any
+``WORDS + REACH - 1`` = 49 equal words in two documents hold an equal
+paragraph, whatever is around them; one lies some 13 words after the other.
+
+  1. Equal paragraphs are one (a digest, combined before the shuffle). Each
+     has ``BANDS`` bands of ``ROWS`` minhashes of its runs of five words: with
+     one word of 25 changed (similarity 0.62) two meet in a band with
+     probability 0.80, and a passage has several paragraphs.
+  2. In every bucket each paragraph is compared with the smallest one. Links
+     are word edit distances of ``(1 - threshold) * WORDS`` = 5 at most. Where
+     a bucket then holds several components, those are compared in pairs of
+     blocks, which return links that join components, not pairs.
+  3. Components of links are clusters; one in a single document is no repeat.
+     A cluster's paragraphs stay in the document of the smallest id and go
+     from the others.
+  4. The outer paragraphs of a stretch, and those that aren't equal word for
+     word, are compared with the paragraph of the cluster's first document (in
+     that document: of its last one) and the words around it. They reach from
+     the first to the last word that both have, past changed words where four
+     of five words agree and three equal ones end the match. A match can go
+     ``REACH`` words beyond its outer paragraph, no farther.
+  5. Clusters whose paragraphs overlap in a document are one passage; a
+     passage is named by its smallest cluster.
 
 Result: stretches of repeated text, one row each: (id, first_word, last_word,
-n_words covered by repeated paragraphs, windows and runs, cluster_id, kept).
-Those of one document at most ``GAP`` words apart are one stretch; a stretch
-counts if ``REPORT`` words of it repeat. Words are runs without white space, counted
-from 0, punctuation alone not counted. Null and short texts and null ids have
-no rows; rows that repeat an id are one document; other columns are ignored.
+n_words covered, cluster_id of the passage, kept). Those of one document at
+most ``GAP`` words apart are one stretch. Words are runs without white space,
+counted from 0, punctuation alone not counted. Null, empty and texts under
+``WORDS`` words and ids that are null or no numbers have no rows; very long
+texts are read whole, alone in their batch; rows that repeat an id are one
+document; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,80 +41,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from emporium.llm.bag_minhash import linked
-from emporium.llm.common import cut, importable, mix64, shingles, word_hashes, WordHashes
+from emporium.llm.common import IdBitmap, WordHashes, chunked, cut, importable, keep_only, mix64, shingles, spent, word_hashes, worker_cache
 from emporium.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
-MIN_WORDS, REPORT, GAP = 25, 30, 15
-BANDS, ROWS = 5, 2
-WINDOW, REACH = 25, 26
+WORDS, REACH, GAP = 25, 25, 15
+BANDS, ROWS = 6, 3
+SPAN = WORDS + 2 * REACH  # words of a paragraph and around it
 _U = np.uint64
-
-
-class _Marks(dict):
-    """Token -> 1 if it starts with a capital, 2 if it ends a sentence, or both."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[token] = m = token[0].isupper() + 2 * (token[-1] in ".!?")
-        return m
-
-
-_hashes, _marks = WordHashes(), _Marks()
-
-
-def parsed(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Tokens that are words, their hashes, and where sentences start."""
-    tokens: list[str] = []
-    lines = [0]
-    for line in text.split("\n"):
-        tokens += line.split()
-        lines.append(len(tokens))
-    n = len(tokens)
-    hashes = np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, n)
-    marks = np.fromiter(map(_marks.__getitem__, tokens), np.uint8, n)
-    start = np.zeros(n + 1, bool)
-    start[lines] = True
-    start[:-1] |= (marks & 1) > 0
-    start[1:] |= marks > 1
-    word = hashes != 0
-    if word.all():
-        return tokens, hashes, np.flatnonzero(start[:-1])
-    # a start on a token that is no word moves to the next word
-    place = np.cumsum(word) - word
-    at = np.unique(place[np.flatnonzero(start[:-1])])
-    return [t for t, w in zip(tokens, word) if w], hashes[word], at[at < word.sum()]
-
-
-def paragraphs(hashes: np.ndarray, starts: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """First words and ends (exclusive) of the paragraphs of a text."""
-    n = len(hashes)
-    starts = starts[starts + min_words <= n]
-    if not len(starts):
-        return starts, starts
-    borders = np.append(starts, n)
-    # ends may be any sentence's start, also of those too late to start a paragraph
-    head = shingles(hashes)[starts]
-    if len(starts) > 1:
-        i = np.arange(len(starts) - 1)
-        starts = starts[np.unique(i + (head[1:] < head[:-1]))]
-    return starts, borders
-
-
-def units(text: str, min_words: int = MIN_WORDS) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Words, their hashes, and first words and ends of the paragraphs."""
-    words, hashes, sentences = parsed(text)
-    starts, _ = paragraphs(hashes, sentences, min_words)
-    borders = np.append(sentences, len(hashes))
-    ends = borders[np.searchsorted(borders, starts + min_words)] if len(starts) else starts
-    return words, hashes, starts, ends
+_cache = worker_cache(WordHashes())
 
 
 def permuted(grams: np.ndarray, n: int) -> np.ndarray:
@@ -123,20 +64,6 @@ def permuted(grams: np.ndarray, n: int) -> np.ndarray:
         return (grams ^ offset) * (factor | _U(1))
 
 
-def windows(grams: np.ndarray, n: int) -> np.ndarray:
-    """First words of the windows of a text of n words: places whose run of
-    words has the smallest hash of any ``REACH`` places in a row, so every
-    ``WINDOW + REACH - 1`` words hold a window that depends on them alone."""
-    m = n - WINDOW + 1
-    if m < 1:
-        return np.zeros(0, np.int64)
-    reach = min(REACH, m)
-    least = _sliding(grams[:m], reach, np.minimum)
-    # the largest of the minima of all stretches that hold a place
-    pad = np.zeros(reach - 1, np.uint64)
-    return np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), reach, np.maximum) == grams[:m])
-
-
 def _sliding(x: np.ndarray, w: int, of: np.ufunc) -> np.ndarray:
     """``of`` over every w neighbours."""
     n, have = len(x) - w + 1, 1
@@ -147,187 +74,305 @@ def _sliding(x: np.ndarray, w: int, of: np.ufunc) -> np.ndarray:
     return x[:n]
 
 
-def window_hashes(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashes of the ``WINDOW`` words from each place on."""
-    h = np.full(len(at), 0x77, np.uint64)
-    for k in range(0, WINDOW, SHINGLE):
-        h = mix64(h ^ grams[at + k])
-    return h.view(np.int64)
-
-
-def of_batches(batches: Iterator[pa.RecordBatch], rows_of, names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-    """Batches of the arrays that ``rows_of`` gives for each row, the row's id before them."""
-    for b in batches:
-        out, held = [], 0
-        for i, *row in zip(*(c.to_pylist() for c in b.columns)):
-            got = rows_of(*row)
-            if len(got[0]):
-                out.append((np.full(len(got[0]), i), *got))
-                held += len(got[0])
-            if held > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out), types)], names=names)
-                out, held = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out), types)], names=names)
-
-
-def placed_windows(docs: DataFrame) -> DataFrame:
-    """(id, start, hash) of the windows of (id, text)."""
-    importable(docs.sparkSession)
-
-    def of(text):
-        hashes = word_hashes(text, _hashes)
-        grams = shingles(hashes, SHINGLE)
-        at = windows(grams, len(hashes))
-        return at, window_hashes(grams, at)
-
-    return docs.mapInArrow(lambda b: of_batches(b, of, ["id", "start", "hash"], [pa.int64(), pa.int32(), pa.int64()]), "id long, start int, hash long")
-
-
-def runs(chosen: DataFrame) -> DataFrame:
-    """(id, start, hash) of every run of ``WINDOW`` words that begins within
-    ``REACH`` words of the stretches of (id, text, firsts, ends)."""
-    importable(chosen.sparkSession)
-
-    def of(text, firsts, ends):
-        hashes = word_hashes(text, _hashes)
-        m = len(hashes) - WINDOW + 1
-        if m < 1:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        edge = np.zeros(m + 1, np.int64)
-        np.add.at(edge, np.clip(np.array(firsts) - REACH, 0, m), 1)
-        np.add.at(edge, np.clip(np.array(ends) + 1, 0, m), -1)
-        at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-        return at, window_hashes(shingles(hashes, SHINGLE), at)
-
-    return chosen.mapInArrow(lambda b: of_batches(b, of, ["id", "start", "hash"], [pa.int64(), pa.int32(), pa.int64()]), "id long, start int, hash long")
-
-
-def band_keys(grams: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Bucket of each band (a row) and paragraph of a text of these runs of words."""
-    cuts = np.stack([starts, ends - SHINGLE + 1], 1).ravel()
-    grams = np.append(grams, grams[:1])  # the one added is in no paragraph
-    out = np.empty((n_bands, len(starts)), np.uint64)
-    for band in range(n_bands):
-        key = _U(band)
-        for row in range(rows):
-            key = mix64(np.minimum.reduceat(permuted(grams, band * rows + row), cuts)[::2] ^ key)
-        out[band] = key
-    return out.view(np.int64)
-
-
-def buckets(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, id) for the paragraphs and bands of (id, text), once a row of it."""
+class Paragraphs:
+    """Paragraphs of some documents: ``doc`` (which one), ``start`` (in it) and
+    ``at`` (in ``words``, the words of all documents one after another)."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        base = np.cumsum(sizes) - sizes
+        self.base, self.sizes = base, sizes
+        self.words = np.concatenate([*texts, np.zeros(0, np.uint64)])
+        self.doc = self.start = self.at = np.zeros(0, np.int64)
+        self.grams = shingles(self.words, SHINGLE)
+        m = np.maximum(sizes - WORDS + 1, 0)
+        total = int(m.sum())
+        if not total:
+            return
+        doc = np.repeat(np.arange(len(sizes)), m)
+        start = np.arange(total) - np.repeat(np.cumsum(m) - m, m)
+        g = self.grams[base[doc] + start]
+        best = np.zeros(total, np.uint64)
+        if total >= REACH:
+            least = _sliding(g, REACH, np.minimum)
+            least[doc[:total - REACH + 1] != doc[REACH - 1:]] = 0  # of two documents
+            pad = np.zeros(REACH - 1, np.uint64)
+            # the largest of the minima of all stretches that hold a place
+            best = _sliding(np.concatenate([pad, least, pad]), REACH, np.maximum)
+        few = (m > 0) & (m < REACH)
+        if few.any():
+            filled = np.flatnonzero(m)
+            lows = np.zeros(len(m), np.uint64)
+            lows[filled] = np.minimum.reduceat(g, (np.cumsum(m) - m)[filled])
+            best = np.where(few[doc], lows[doc], best)
+        chosen = np.flatnonzero(best == g)
+        self.doc, self.start = doc[chosen], start[chosen]
+        self.at = base[self.doc] + self.start
+
+    def digests(self) -> np.ndarray:
+        h = np.full(len(self.at), 0x77, np.uint64)
+        for k in range(0, WORDS, SHINGLE):
+            h = mix64(h ^ self.grams[self.at + k])
+        return h.view(np.int64)
+
+    def band_keys(self) -> list[np.ndarray]:
+        """The bucket of each paragraph, band by band."""
+        cuts = np.stack([self.at, self.at + WORDS - SHINGLE + 1], 1).ravel()
+        grams = np.append(self.grams, self.grams[:1])  # the one added is in no paragraph
+        out = []
+        for band in range(BANDS):
+            key = _U(band)
+            for row in range(ROWS):
+                key = mix64(np.minimum.reduceat(permuted(grams, band * ROWS + row), cuts)[::2] ^ key)
+            out.append(key.view(np.int64))
+        return out
+
+    def bodies(self) -> pa.Array:
+        return _binary(self.words[self.at[:, None] + np.arange(WORDS)])
+
+    def contexts(self) -> pa.Array:
+        """Shorter hashes of the paragraph and ``REACH`` words on each side, 0 beyond the text."""
+        near = self.start[:, None] + np.arange(-REACH, WORDS + REACH)
+        inside = (near >= 0) & (near < self.sizes[self.doc][:, None])
+        words = (self.words[np.where(inside, self.base[self.doc][:, None] + near, 0)] & _U(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1)
+        return _binary(np.where(inside, words, np.uint32(0)))
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a matrix as bytes."""
+    width = rows.shape[1] * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
+
+
+def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
+
+
+def of_documents(docs: DataFrame, columns, schema: str) -> DataFrame:
+    """Rows (id, ...) of the paragraphs of (id, text); ``columns`` gives all but the id."""
     importable(docs.sparkSession)
+    names = ["id", *(c.split()[0] for c in schema.split(","))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(_cache)
         for b in batches:
-            keys, ids = [], []
-
-            def flush():
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids), pa.int64())], names=["bucket", "id"])
-
-            held = 0
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                _, hashes, starts, ends = units(text)
-                if not len(starts):
-                    continue
-                keys.append(np.unique(band_keys(shingles(hashes, SHINGLE), starts, ends, n_bands, rows)))
-                ids.append(np.full(len(keys[-1]), i))
-                held += len(keys[-1])
-                if held > 200_000:
-                    yield flush()
-                    keys, ids, held = [], [], 0
-            if held:
-                yield flush()
-
-    return docs.mapInArrow(run, "bucket long, id long")
-
-
-def contents(chosen: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, start, words, digest, buckets, body) of all paragraphs in wanted
-    buckets, from (id, text, wanted). Of equal paragraphs of a text the first
-    has the buckets and the body."""
-    importable(chosen.sparkSession)
+            for i, j in chunked((pc.binary_length(b.column(1)).to_numpy() // 6).tolist(), 100_000):
+                found = Paragraphs([word_hashes(t, _cache) for t in b.column(1).slice(i, j - i).to_pylist()])
+                if len(found.at):
+                    ids = b.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)[found.doc]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c) for c in columns(found))], names=names)
+
+    return docs.mapInArrow(run, f"id long, {schema}")
+
+
+def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Edit distances of the rows of two matrices of words, ``most + 1`` if larger."""
+    n, length = a.shape
+    far = np.int8(most + 1)
+    before = [np.full(n, k - most if k >= most else far, np.int8) for k in range(2 * most + 1)]
+    for i in range(1, length + 1):
+        now: list[np.ndarray] = []
+        for k in range(2 * most + 1):
+            j = i + k - most
+            if j < 0 or j > length:
+                now.append(np.full(n, far, np.int8))
+                continue
+            d = before[k] + (a[:, i - 1] != b[:, j - 1]) if j else np.full(n, far, np.int8)
+            if k < 2 * most:
+                d = np.minimum(d, before[k + 1] + np.int8(1))
+            if k:
+                d = np.minimum(d, now[k - 1] + np.int8(1))
+            now.append(np.minimum(d, far))
+        before = now
+    return before[most].astype(np.int64)
+
+
+def compared(pairs: DataFrame, bodies: DataFrame, most: int, share: int = 5000) -> DataFrame:
+    """The pairs (a, b) of at most ``most`` edits. A paragraph that many pairs
+    name as ``b`` is sent once per ``share`` of them."""
+    load = pairs.groupBy("b").agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).withColumnRenamed("b", "kb")
+    dealt = (pairs.join(load, F.col("b") == F.col("kb")).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).drop("kb", "parts"))
+    right = (bodies.join(load, F.col("digest") == F.col("kb"))
+             .select("kb", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("kp"), F.col("body").alias("body_b")))
+    left = bodies.select(F.col("digest").alias("ka"), F.col("body").alias("body_a"))
+    both = (dealt.join(left, F.col("a") == F.col("ka")).join(right, (F.col("b") == F.col("kb")) & (F.col("part") == F.col("kp")))
+            .select("a", "b", "body_a", "body_b"))
 
     def run(batches):
-        for b in batches:
-            out = []
-            for i, text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                words, hashes, starts, ends = units(text)
-                if not len(starts):
-                    continue
-                keys = band_keys(shingles(hashes, SHINGLE), starts, ends, n_bands, rows)
-                inside = np.isin(keys, np.array(wanted, np.int64))
-                seen = set()
-                for k in np.flatnonzero(inside.any(0)).tolist():
-                    s, e = int(starts[k]), int(ends[k])
-                    digest = xxhash.xxh64_intdigest(hashes[s:e].tobytes()) - (1 << 63)
-                    new = digest not in seen
-                    seen.add(digest)
-                    out.append((i, s, e - s, digest, keys[inside[:, k], k].tolist() if new else [], " ".join(words[s:e]) if new else None))
-            if out:
-                cols = list(zip(*out))
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "start", "words", "digest", "buckets", "body"])
-
-    return chosen.mapInArrow(run, "id long, start int, words int, digest long, buckets array<long>, body string")
-
-
-def across(located: DataFrame) -> DataFrame:
-    """(id, start, end, cluster_id, kept) of (id, start, words, cluster_id) in clusters of two documents or more."""
-    shared = (located.groupBy("cluster_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-              .select(F.col("cluster_id").alias("k"), "lo"))
-    return (located.join(shared, F.col("cluster_id") == F.col("k"))
-            .select("id", "start", (F.col("start") + F.col("words")).alias("end"), "cluster_id", (F.col("id") == F.col("lo")).alias("kept")))
-
-
-def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-             report: int = REPORT, gap: int = GAP) -> DataFrame:
+        for t in batches:
+            if t.num_rows:
+                x, y = (_matrix(t.column(k), np.uint64, WORDS) for k in (2, 3))
+                yield t.select(["a", "b"]).filter(pa.array(word_edits(x, y, most) <= most))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def _joining_links(t: pa.Table, most: int) -> pa.Table:
+    """Links between components of a block (or two) of a bucket's paragraphs,
+    those only that join components anew."""
+    own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    digest, comp = t.column("digest").to_numpy(), t.column("comp").to_numpy()
+    words = np.unique(_matrix(t.column("body"), np.uint64, WORDS), return_inverse=True)[1].reshape(-1, WORDS)
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    # so few edits leave most words of one in the other
+    held = np.zeros((int(words.max()) + 1, len(right)), np.uint8)
+    held[words[right].ravel(), np.repeat(np.arange(len(right)), WORDS)] = 1
+    shared = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(WORDS):
+        shared += held[words[left, k]]
+    x, y = np.nonzero((shared >= WORDS - most) & (comp[left][:, None] != comp[right][None, :]) & ((i != j) | (left[:, None] < right[None, :])))
+    x, y = left[x], right[y]
+    out, root = [], {c: c for c in comp.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for k in range(0, len(x), 50_000):
+        a, b = x[k:k + 50_000], y[k:k + 50_000]
+        near = word_edits(words[a], words[b], most) <= most
+        for p, q in zip(a[near].tolist(), b[near].tolist()):
+            u, v = find(comp[p]), find(comp[q])
+            if u != v:
+                root[u] = v
+                out.append((int(digest[p]), int(digest[q])))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def links(spark: SparkSession, held: DataFrame, bodies: DataFrame, most: int, block: int = 400) -> DataFrame:
+    """Links (a, b) that join all similar paragraphs of each bucket of ``held(bucket, digest, head)``."""
+    pairs = held.where("digest <> head").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()
+    part = components(spark, cut(spark, compared(pairs, bodies, most), "alike"))
+    placed = (held.where("digest <> head").join(part.withColumnRenamed("node", "kn"), F.col("digest") == F.col("kn"), "left")
+              .select("bucket", "digest", F.coalesce("component", "digest").alias("comp")))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("c1 < c2")
+    open_ = placed.join(mixed.select(F.col("bucket").alias("k"), "blocks"), F.col("bucket") == F.col("k"))
+    dealt = (open_.join(bodies.withColumnRenamed("digest", "kd"), F.col("digest") == F.col("kd"))
+             .withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "comp", "body"))
+    more = dealt.groupBy("bucket", "i", "j").applyInArrow(lambda t: _joining_links(t, most), "a long, b long").distinct()
+    return part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+
+
+def extension(same: np.ndarray) -> np.ndarray:
+    """How far rows of words agree from their beginning on: to the farthest
+    word that ends three equal ones (or equals from the first on) while four of
+    five words are equal. 0 is no word."""
+    reach = np.arange(1, same.shape[1] + 1)
+    total = same.cumsum(1)
+    three = same.copy()
+    three[:, 1:] &= same[:, :-1]
+    three[:, 2:] &= same[:, :-2]
+    ends = (total == reach) | (three & (total * 5 >= reach * 4) & (reach > 2))
+    return (ends * reach).max(1)
+
+
+def first_equal(x: np.ndarray, y: np.ndarray, most: int = 5) -> np.ndarray:
+    """Where in contexts ``x`` the words begin that ``y`` has too: from the first
+    three equal words of the paragraph (words put in or left out may have moved
+    them by ``most``) as far before it as they extend."""
+    n = len(x)
+    best = np.full(n, SPAN)
+    back = np.arange(1, REACH + WORDS + 1)
+    for shift in range(-most, most + 1):
+        moved = np.zeros_like(y)
+        moved[:, max(0, -shift):SPAN - max(0, shift)] = y[:, max(0, shift):SPAN - max(0, -shift)]
+        same = (x == moved) & (x != 0)
+        three = (same[:, :-2] & same[:, 1:-1] & same[:, 2:])[:, REACH:REACH + WORDS - 2]
+        at = REACH + three.argmax(1)
+        before = at[:, None] - back
+        begin = at - extension((before >= 0) & np.take_along_axis(same, np.maximum(before, 0), 1))
+        best = np.where(three.any(1), np.minimum(best, begin), best)
+    return np.where(best < SPAN, best, REACH)
+
+
+def extended(edges: DataFrame, most: int) -> DataFrame:
+    """(id, start, end, cluster, kept) of the equal words in and around paragraphs with contexts."""
+    importable(edges.sparkSession)
+
+    def run(batches):
+        for t in batches:
+            if t.num_rows:
+                x, y = (_matrix(t.column(c), np.uint32, SPAN) for c in ("context", "other"))
+                origin = t.column("start").to_numpy().astype(np.int64) - REACH
+                first, last = first_equal(x, y, most), SPAN - first_equal(x[:, ::-1], y[:, ::-1], most)
+                yield pa.RecordBatch.from_arrays([t.column("id"), pa.array(origin + first), pa.array(origin + last), t.column("cluster"), t.column("kept")],
+                                                 names=["id", "start", "end", "cluster", "kept"])
+
+    return edges.select("id", "start", "cluster", "kept", "context", "other").mapInArrow(run, "id long, start long, end long, cluster long, kept boolean")
+
+
+def _place() -> Column:
+    return F.xxhash64("id", "start", "digest")
+
+
+def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, gap: int = GAP) -> DataFrame:
     """(id, first_word, last_word, n_words, cluster_id, kept); see the module."""
-    docs = (df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null"))
-    placed = cut(spark, buckets(docs), "paragraphs")
-    shared = (placed.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select(F.col("bucket").alias("k")))
-    held = cut(spark, placed.join(shared, F.col("bucket") == F.col("k"), "left_semi"), "buckets")
-
-    # all paragraphs in these buckets; a document's list is bounded by its length
-    wanted = held.groupBy("id").agg(F.collect_set("bucket").alias("wanted")).withColumnRenamed("id", "k")
-    found = cut(spark, contents(docs.join(wanted, F.col("id") == F.col("k")).select("id", "text", "wanted")), "contents")
-
-    # equal paragraphs are one; the rest of a bucket is verified
-    entry = found.select(F.explode("buckets").alias("bucket"), "digest").distinct()
-    # paragraphs that start in the same document stay in the same one: links between them change nothing
-    owner = found.groupBy(F.col("digest").alias("kd")).agg(F.min("id").alias("owner"))
-    entry = cut(spark, entry.join(owner, F.col("digest") == F.col("kd")).select("bucket", F.col("digest").alias("rep"), "owner"), "entries")
-    heads = (entry.groupBy("bucket").agg(F.min("rep").alias("head"), F.min("owner").alias("o1"), F.max("owner").alias("o2"))
-             .where("o1 < o2").select(F.col("bucket").alias("k"), "head"))
-    mixed = cut(spark, entry.join(heads, F.col("bucket") == F.col("k")).select("bucket", "rep", "head", "owner"), "mixed")
-    near = mixed.select(F.col("rep").alias("k")).distinct()
-    texts = cut(spark, found.join(near, F.col("digest") == F.col("k"), "left_semi").groupBy(F.col("digest").alias("id")).agg(F.min("body").alias("text")), "texts")
-    part = components(spark, linked(spark, mixed, texts, SHINGLE, threshold))
-
-    # clusters of two documents or more
-    located = (found.select("id", "start", "words", "digest").distinct()
-               .join(part.withColumnRenamed("node", "k"), F.col("digest") == F.col("k"), "left")
-               .select("id", "start", "words", F.coalesce("component", "digest").alias("cluster_id")))
-    alike = across(cut(spark, located, "located"))
-    # equal windows
-    same = across(cut(spark, placed_windows(docs), "windows").distinct().select("id", "start", F.lit(WINDOW).alias("words"), F.col("hash").alias("cluster_id")))
-    units_ = cut(spark, alike.union(same), "units")
-    # to the real ends of a match: the runs of words around, of which each is in another document
-    near_ = (units_.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("s"))
-             .select(F.col("id").alias("k"), F.col("s.start").alias("firsts"), F.col("s.end").alias("ends")))
-    around = cut(spark, runs(docs.join(near_, F.col("id") == F.col("k")).select("id", "text", "firsts", "ends")), "runs")
-    more = across(around.distinct().select("id", "start", F.lit(WINDOW).alias("words"), F.col("hash").alias("cluster_id")))
-    rows = units_.withColumn("of_unit", F.col("cluster_id")).union(more.withColumn("of_unit", F.lit(None).cast("long")))
-
-    # their stretches
+    most = int((1 - threshold) * WORDS + 1e-9)
+    docs = (df.select(F.col(id_col).try_cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null"))
+
+    # 1: distinct paragraphs and their buckets
+    keys = [f"k{b}" for b in range(BANDS)]
+    rows = of_documents(docs, lambda p: [p.digests(), *p.band_keys()], ", ".join(f"{c} long" for c in ["digest", *keys]))
+    distinct = cut(spark, rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *(F.min(k).alias(k) for k in keys)), "paragraphs")
+    entry = distinct.select("digest", "lo", F.explode(F.array(*keys)).alias("bucket"))
+    # paragraphs that all begin in one document need no link
+    heads = cut(spark, entry.groupBy("bucket").agg(F.min("digest").alias("head"), F.max("digest").alias("top"), F.min("lo").alias("l1"), F.max("lo").alias("l2"))
+                .where("head < top and l1 < l2").select(F.col("bucket").alias("k"), "head"), "heads")
+    held = cut(spark, IdBitmap(spark, heads.select("k")).rows(entry, "bucket", among=True).join(heads, F.col("bucket") == F.col("k"))
+               .select("bucket", "digest", "lo", "head"), "buckets")
+
+    # 2: their words, from the first document that has them
+    wanted = cut(spark, held.select(F.col("digest").alias("k"), "lo").distinct(), "wanted")
+    holders = IdBitmap(spark, wanted.select("lo")).rows(docs, "id", among=True)
+    written = of_documents(holders, lambda p: [p.digests(), p.bodies()], "digest long, body binary")
+    bodies = cut(spark, IdBitmap(spark, wanted.select("k")).rows(written, "digest", among=True)
+                 .join(wanted, (F.col("digest") == F.col("k")) & (F.col("id") == F.col("lo"))).groupBy("digest").agg(F.first("body").alias("body")), "bodies")
+    part = cut(spark, components(spark, links(spark, held.drop("lo"), bodies, most)), "clusters")
+    spent(heads, held, wanted, bodies)
+
+    # 3: clusters of two documents or more, and where they are
+    of_cluster = distinct.join(part.withColumnRenamed("node", "kn"), F.col("digest") == F.col("kn"), "left").select("digest", "lo", "hi", F.coalesce("component", "digest").alias("cluster"))
+    shared = of_cluster.groupBy("cluster").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").select(F.col("cluster").alias("kc"), "least")
+    chosen = cut(spark, of_cluster.join(shared, F.col("cluster") == F.col("kc")).select(F.col("digest").alias("k"), "cluster", "least"), "chosen")
+    spent(distinct, part)
+    places = of_documents(docs, lambda p: [p.start.astype(np.int32), p.digests()], "start int, digest long")
+    located = cut(spark, IdBitmap(spark, chosen.select("k")).rows(places, "digest", among=True).join(chosen, F.col("digest") == F.col("k"))
+                  .select("id", "start", "digest", "cluster", (F.col("id") == F.col("least")).alias("kept")), "located")
+
+    # 4: outer paragraphs and what they are compared with
+    order = W.partitionBy("id").orderBy("start")
+    beside = cut(spark, located.distinct().select("*", F.lag("start").over(order).alias("before"), F.lead("start").over(order).alias("after"),
+                                                  F.lag("cluster").over(order).alias("previous")), "beside")
+    spent(located)
+    outer = F.expr(f"before is null or start - before > {WORDS} or after is null or after - start > {WORDS}")
+    ends = beside.groupBy(F.col("cluster").alias("kc")).agg(*(f(F.struct("id", "start", "digest")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))))
+    faced = cut(spark, beside.join(ends, F.col("cluster") == F.col("kc")).withColumn("o", F.when(F.col("kept"), F.col("last")).otherwise(F.col("first")))
+                .where(outer | (F.col("digest") != F.col("o.digest")))
+                .select("id", "start", "digest", "cluster", "kept", *(F.col(f"o.{c}").alias(f"o_{c}") for c in ("id", "start", "digest"))), "edges")
+    whole = cut(spark, beside.join(faced.select("id", "start", "digest"), ["id", "start", "digest"], "left_anti"), "whole")
+    needed = cut(spark, faced.select("id", "start", "digest").union(faced.select("o_id", "o_start", "o_digest")).select("id", _place().alias("place")).distinct(), "needed")
+    around = of_documents(IdBitmap(spark, needed.select("id").distinct()).rows(docs, "id", among=True),
+                          lambda p: [p.start.astype(np.int32), p.digests(), p.contexts()], "start int, digest long, context binary")
+    contexts = cut(spark, IdBitmap(spark, needed.select("place")).rows(around.withColumn("place", _place()), "place", among=True)
+                   .groupBy("place").agg(F.first("context").alias("context")), "contexts")
+    mine = faced.withColumn("p", _place()).withColumn("q", F.xxhash64("o_id", "o_start", "o_digest"))
+    paired = (mine.join(contexts.withColumnRenamed("place", "kp"), F.col("p") == F.col("kp"))
+              .join(contexts.select(F.col("place").alias("kq"), F.col("context").alias("other")), F.col("q") == F.col("kq")))
+    longer = cut(spark, extended(paired, most), "longer")
+    spent(faced, needed, contexts)
+
+    # 5: passages
+    passage = cut(spark, components(spark, beside.where(f"start - before < {WORDS}").select(F.col("previous").alias("a"), F.col("cluster").alias("b")).distinct()), "passages")
+    spans = longer.union(whole.select("id", F.col("start").cast("long"), (F.col("start") + WORDS).cast("long").alias("end"), "cluster", "kept"))
+
     order = W.partitionBy("id", "kept").orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
-    marked = (rows.withColumn("before", before)
+    marked = (spans.withColumn("before", F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)))
               .withColumn("fresh", F.greatest(F.col("end") - F.greatest("start", F.coalesce("before", F.lit(0))), F.lit(0)))
               .withColumn("n", F.sum(F.when(F.col("before").isNull() | (F.col("start") > F.col("before") + gap), 1).otherwise(0)).over(order)))
-    return (marked.groupBy("id", "kept", "n").agg(F.min("start").cast("long").alias("first_word"), (F.max("end") - 1).cast("long").alias("last_word"),
-                                                  F.sum("fresh").cast("long").alias("n_words"), F.coalesce(F.min("of_unit"), F.min("cluster_id")).alias("cluster_id"))
-            .where(F.col("n_words") >= report)
-            .select(F.col("id").alias(id_col), "first_word", "last_word", "n_words", "cluster_id", "kept"))
+    stretches = marked.groupBy("id", "kept", "n").agg(F.min("start").alias("first_word"), (F.max("end") - 1).alias("last_word"), F.sum("fresh").cast("long").alias("n_words"),
+                                                      F.min("cluster").alias("cluster"))
+    return (stretches.join(passage.withColumnRenamed("node", "kn"), F.col("cluster") == F.col("kn"), "left")
+            .select(F.col("id").alias(id_col), "first_word", "last_word", "n_words", F.coalesce("component", "cluster").alias("cluster_id"), "kept"))

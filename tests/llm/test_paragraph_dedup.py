@@ -1,151 +1,193 @@
 import random
+from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from emporium.llm import paragraph_dedup as P
 
+WORDS = [f"u{i}" for i in range(9000)]
 
-def maker(seed):
-    rng = random.Random(seed)
-    words = [f"v{i}" for i in range(5000)]
 
-    def prose(n):
-        out = []
-        while sum(len(s.split()) for s in out) < n:
-            out.append(" ".join(rng.choice(words) for _ in range(rng.randint(2, 14))).capitalize() + ".")
-        return " ".join(out)
-    return rng, prose
+def flat(rng, n):
+    return [rng.choice(WORDS) for _ in range(n)]
 
 
-def rows_with_passages(n=240):
-    rng, prose = maker(0)
-    passages = [prose(rng.randint(51, 120)) for _ in range(20)]
-    rows, where = [], {}
+def frame(spark, rows):
+    return spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+
+
+def rows_with_passages(rng, n=240, edits=0):
+    """Documents, of which every second holds one of 20 passages; where each lies."""
+    passages = [flat(rng, rng.randint(51, 120)) for _ in range(20)]
+    rows, where = [], defaultdict(list)
     for i in range(n):
-        t = prose(rng.randint(60, 300)).split()
+        left, right = flat(rng, rng.randint(0, 150)), flat(rng, rng.randint(0, 150))
+        p = []
         if i % 2 == 0:
             k = rng.randrange(20)
-            p = passages[k].split()
-            if i % 4 == 0 and len(p) > 70:
-                p[35] = "changed"
-            at = rng.randrange(len(t))
-            t[at:at] = p
-            where.setdefault(k, []).append((i, at, at + len(p)))
+            p = list(passages[k])
+            where[k].append((i, len(left), len(left) + len(p) - 1))
         elif i % 10 == 1:
-            t += "The same short line of boilerplate that is in many documents.".split()
-        rows.append((i, " ".join(t)))
+            right += "the same short line of boilerplate that is in many documents".split()
+        rows.append((i, [*left, *p, *right]))
     return rows, {k: v for k, v in where.items() if len(v) > 1}
 
 
-def test_planted_passages_are_found_and_clean_documents_left(spark):
-    rows, where = rows_with_passages()
-    got = P.repeated(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    by = {}
-    for r in got:
-        by.setdefault(r.doc_id, []).append(r)
-    assert set(by) == {d for v in where.values() for d, _, _ in v}
+def brute_force(rows, least):
+    """(id, first, last) of the runs of ``least`` words and more that another document has."""
+    owners = defaultdict(set)
+    for i, t in rows:
+        for k in range(len(t) - least + 1):
+            owners[tuple(t[k:k + least])].add(i)
+    out = set()
+    for i, t in rows:
+        covered = [False] * (len(t) + 1)
+        for k in range(len(t) - least + 1):
+            if len(owners[tuple(t[k:k + least])]) > 1:
+                covered[k:k + least] = [True] * least
+        start = None
+        for k, c in enumerate(covered):
+            if c and start is None:
+                start = k
+            if not c and start is not None:
+                out.add((i, start, k - 1))
+                start = None
+    return out
+
+
+def test_equal_passages_match_a_brute_force_search(spark):
+    rows, where = rows_with_passages(random.Random(0))
+    got = P.repeated(spark, frame(spark, rows)).collect()
+    want = brute_force(rows, P.WORDS + P.REACH - 1)
+    assert want == {x for v in where.values() for x in v}
+    assert {(r.doc_id, r.first_word, r.last_word) for r in got} == want and all(r.n_words == r.last_word - r.first_word + 1 for r in got)
+    by = {(r.doc_id, r.first_word): r for r in got}
+    names = []
     for v in where.values():
-        for d, a, z in v:
-            covered = sum(max(0, min(r.last_word + 1, z) - max(r.first_word, a)) for r in by[d])
-            assert covered >= 0.6 * (z - a)
-            assert all(r.first_word >= a - 15 and r.last_word < z + 15 for r in by[d])
-        assert any(r.kept for r in by[min(v)[0]]) and all(any(not r.kept for r in by[d]) for d, _, _ in sorted(v)[1:])
-
-
-def test_paragraphs_do_not_depend_on_what_is_around():
-    rng, prose = maker(3)
-    p = prose(70)
-
-    def bodies(t):
-        words, _, starts, ends = P.units(t)
-        return {" ".join(words[a:b]) for a, b in zip(starts, ends)}
-
-    inside = bodies(p)
-    assert inside
-    for _ in range(20):
-        left, right = prose(50).split(), prose(50)
-        del left[rng.randrange(len(left)):]
-        assert len(inside & bodies(" ".join([*left, p, right]))) >= len(inside) - 2
-
-
-def test_band_recall():
-    """Paragraphs of 60 words with one word changed (similarity 0.83) meet in a band."""
-    rng, prose = maker(5)
-    met = []
-    for _ in range(150):
-        w = prose(60).split()
-        x = list(w)
-        x[rng.randrange(5, 55)] = "other"
-        a, b = (P.shingles(P.parsed(" ".join(t))[1]) for t in (w, x))
-        same = [P.permuted(a, k).min() == P.permuted(b, k).min() for k in range(P.BANDS * P.ROWS)]
-        met.append(any(all(same[k:k + P.ROWS]) for k in range(0, len(same), P.ROWS)))
-    assert np.mean(met) > 0.96
+        found = [by[i, a] for i, a, _ in v]
+        assert len({r.cluster_id for r in found}) == 1 and [r.kept for r in found] == [i == min(v)[0] for i, _, _ in v]
+        names.append(found[0].cluster_id)
+    assert len(set(names)) == len(names)
+
+
+def test_recall_by_edits(spark):
+    """Copies of a passage with so many words changed, 60 pairs of documents each."""
+    rng = random.Random(7)
+    cases = [(55, 0, 1.0), (55, 1, 0.9), (100, 2, 0.9), (100, 4, 0.9), (55, 2, 0.75)]
+    rows = []
+    for c, (length, edits, _) in enumerate(cases):
+        for k in range(60):
+            p = flat(rng, length)
+            q = list(p)
+            for at in rng.sample(range(length), edits):
+                q[at] = rng.choice(WORDS)
+            for n, x in enumerate((p, q)):
+                rows.append((1000 * c + 2 * k + n, [*flat(rng, rng.randint(5, 90)), *x, *flat(rng, rng.randint(5, 90))]))
+    got = {r.doc_id for r in P.repeated(spark, frame(spark, rows)).collect()}
+    found = [sum({1000 * c + 2 * k, 1000 * c + 2 * k + 1} <= got for k in range(60)) / 60 for c in range(len(cases))]
+    assert all(f >= least for f, (_, _, least) in zip(found, cases)), found
+
+
+def test_a_passage_and_part_of_it_are_one_cluster(spark):
+    rng = random.Random(3)
+    p = flat(rng, 130)
+    rows = [(1, [*flat(rng, 40), *p, *flat(rng, 30)]), (2, [*p, *flat(rng, 60)]), (3, [*flat(rng, 80), *p[-70:], *flat(rng, 9)])]
+    got = {r.doc_id: r for r in P.repeated(spark, frame(spark, rows)).collect()}
+    assert len({r.cluster_id for r in got.values()}) == 1
+    assert {i: (r.first_word, r.last_word, r.kept) for i, r in got.items()} == {1: (40, 169, True), 2: (0, 129, False), 3: (80, 149, False)}
+
+
+def test_a_changed_word_between_two_equal_parts_is_covered(spark):
+    rng = random.Random(5)
+    p = flat(rng, 80)
+    q = [*p[:40], "other", *p[41:]]
+    rows = [(1, [*flat(rng, 30), *p, *flat(rng, 30)]), (2, [*flat(rng, 50), *q, *flat(rng, 30)])]
+    got = {r.doc_id: (r.first_word, r.last_word) for r in P.repeated(spark, frame(spark, rows)).collect()}
+    assert got == {1: (30, 109), 2: (50, 129)}
 
 
 def test_odd_rows(spark):
-    _, prose = maker(9)
-    p, long = prose(80), prose(20_000)
-    df = spark.createDataFrame([(1, p, "x"), (2, p, "x"), (2, p, "x"), (None, p, "x"), (3, None, "x"), (4, "", "x"), (5, "short", "x"), (6, long + " " + p, "x"),
-                                (7, "!! ?? " * 40, "x"), (8, "word " * 500, "x"), (9, "word " * 500, "x")], "doc_id long, text string, start string")
+    rng = random.Random(9)
+    p, long = " ".join(flat(rng, 80)), " ".join(flat(rng, 20_000))
+    rows = [(1, p), (2, p), (2, p), (None, p), (3, None), (4, ""), (5, "short"), (6, f"{long} {p}"), (7, "!! ?? " * 40), (8, "word " * 500), (9, "word " * 500)]
+    df = spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id long, text string, start string, digest double")
     got = {r.doc_id: r for r in P.repeated(spark, df).collect()}
     assert set(got) == {1, 2, 6, 8, 9} and got[1].kept and not got[2].kept and not got[6].kept
-    assert got[1].cluster_id == got[2].cluster_id == got[6].cluster_id and 0 < len(long.split()) + len(p.split()) - got[6].last_word <= 25
+    assert got[1].cluster_id == got[2].cluster_id == got[6].cluster_id and (got[6].first_word, got[6].last_word) == (20_000, 20_079)
+    assert got[8].n_words == 500
     assert P.repeated(spark, df.limit(0)).count() == 0
+    named = spark.createDataFrame([("a", p), ("b", p), ("5", p), ("6", p)], "doc_id string, text string")
+    assert {r.doc_id for r in P.repeated(spark, named).collect()} == {5, 6}
 
 
 def test_every_occurrence_in_a_document_is_reported(spark):
-    """A passage that stands twice in a document has a stretch for both."""
-    _, prose = maker(11)
-    p, a, b, c = prose(90), prose(80), prose(80), prose(60)
-    first = len(a.split())
-    second = first + len(p.split()) + len(b.split())
-    df = spark.createDataFrame([(1, f"{c} {p}"), (2, f"{a} {p} {b} {p}")], "doc_id long, text string")
-    got = [r for r in P.repeated(spark, df).collect() if r.doc_id == 2]
-    for at in (first, second):
-        assert any(at - 15 <= r.first_word and r.last_word < at + len(p.split()) + 15 and r.n_words >= 50 for r in got)
-
-
-def test_paragraphs_that_share_a_bucket_all_take_part(spark):
-    """A document's paragraph is found beside an earlier one with the same keys."""
-    _, prose = maker(12)
-    p = prose(40)
-    _, hashes, starts, ends = P.units(p)
-    df = spark.createDataFrame([(1, p, P.band_keys(P.shingles(hashes), starts, ends)[0].tolist())], "id long, text string, wanted array<long>")
-    assert {r.start for r in P.contents(df).collect()} == set(starts.tolist())
-    twice = spark.createDataFrame([(1, f"{p} {p}", df.first().wanted)], "id long, text string, wanted array<long>")
-    digests = [r.digest for r in P.contents(twice).collect()]
-    assert len(digests) > len(set(digests))
-
-
-def test_windows_depend_on_the_words_inside():
+    """A passage that stands twice in a document has a stretch for both; one in a single document has none."""
+    rng = random.Random(11)
+    p, q = flat(rng, 90), flat(rng, 60)
+    a, b = flat(rng, 80), flat(rng, 70)
+    rows = [(1, [*flat(rng, 60), *p]), (2, [*a, *p, *b, *p]), (3, [*q, *flat(rng, 30), *q])]
+    got = {(r.doc_id, r.first_word, r.last_word) for r in P.repeated(spark, frame(spark, rows)).collect()}
+    assert got == {(1, 60, 149), (2, 80, 169), (2, 240, 329)}
+
+
+def test_borders_are_winnowed_and_depend_on_the_words_beside_them():
     rng = np.random.default_rng(4)
-    for n in (24, 25, 30, 49, 50, 300):
-        grams = P.shingles(rng.integers(1, 1 << 60, n).astype(np.uint64))
-        at = P.windows(grams, n)
-        want = sorted({j + int(np.argmin(grams[j:j + min(P.REACH, n - 24)])) for j in range(max(0, n - 24 - min(P.REACH, n - 24) + 1))}) if n >= 25 else []
-        assert at.tolist() == want
-    assert len(P.windows(P.shingles(np.full(500, 7, np.uint64)), 500)) == 476
-
-
-def test_long_and_unmarked_sentences_are_covered_to_their_ends(spark):
-    """Passages with few sentence starts or none, beside foreign words on both sides."""
-    rng = random.Random(21)
-    words = [f"u{i}" for i in range(9000)]
-
-    def flat(n):
-        return [rng.choice(words) for _ in range(n)]
-
-    def starts_at(n, *starts):
-        return [w.capitalize() if k in starts else w for k, w in enumerate(flat(n))]
-
-    passages = [starts_at(55, 0, 30), starts_at(60, 0, 24, 49), flat(55), flat(120), flat(50), starts_at(51, 30)]
-    rows, where = [], {}
-    for k, p in enumerate(passages):
-        for copy in range(3):
-            left, right = flat(rng.randint(1, 90)), flat(rng.randint(1, 90))
-            i = 10 * k + copy
-            rows.append((i, " ".join([*left, *p, *right])))
-            where[i] = len(left), len(left) + len(p) - 1
-    got = {r.doc_id: r for r in P.repeated(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {i: (r.first_word, r.last_word, r.n_words) for i, r in got.items()} == {i: (a, z, z - a + 1) for i, (a, z) in where.items()}
-    assert all(r.kept == (i % 10 == 0) for i, r in got.items())
+    texts = [rng.integers(1, 1 << 60, n).astype(np.uint64) for n in (0, 24, 25, 30, 49, 50, 300, 3)]
+    found = P.Paragraphs(texts)
+    for d, t in enumerate(texts):
+        grams, m = P.shingles(t), max(len(t) - P.WORDS + 1, 0)
+        reach = min(P.REACH, m)
+        want = sorted({j + int(np.argmin(grams[j:j + reach])) for j in range(m - reach + 1)}) if m else []
+        assert found.start[found.doc == d].tolist() == want
+    alone = P.Paragraphs([texts[6]])
+    assert alone.digests().tolist() == found.digests()[found.doc == 6].tolist()
+    assert [k.tolist() for k in alone.band_keys()] == [k[found.doc == 6].tolist() for k in found.band_keys()]
+
+
+def test_edit_distances_match_the_plain_recurrence():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 6, (200, P.WORDS))
+    b = a.copy()
+    for i in range(200):
+        for _ in range(i % 8):
+            b[i, rng.integers(P.WORDS)] = rng.integers(6)
+        if i % 3 == 0:
+            b[i] = np.roll(b[i], 1)
+
+    def plain(x, y):
+        above = list(range(len(y) + 1))
+        for i, u in enumerate(x, 1):
+            row = [i]
+            for j, v in enumerate(y, 1):
+                row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (u != v)))
+            above = row
+        return above[-1]
+
+    assert P.word_edits(a, b, 5).tolist() == [min(plain(x, y), 6) for x, y in zip(a.tolist(), b.tolist())]
+
+
+def test_blocks_give_the_links_that_join_components():
+    """Against all pairs: the same components, and no link that joins nothing anew."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(1, 1 << 60, (6, P.WORDS)).astype(np.uint64)
+    words = np.repeat(base, 8, 0)
+    for row in words[1:]:
+        row[rng.integers(P.WORDS, size=2)] = rng.integers(1, 1 << 60, 2)
+    n = len(words)
+    table = pa.table({"i": [0] * n, "j": [0] * n, "own": pa.array([0] * n, pa.int32()), "digest": pa.array(range(n), pa.int64()), "comp": pa.array(range(n), pa.int64()),
+                      "body": P._binary(words)})
+    got = P._joining_links(table, 5).to_pydict()
+    assert len(got["a"]) == n - 6 and all(a // 8 == b // 8 for a, b in zip(got["a"], got["b"]))
+
+
+def test_extension_ends_where_the_words_do():
+    a = np.arange(1, 26, dtype=np.uint32)[None, :].repeat(5, 0)
+    b = a.copy()
+    b[0, 7:] = 99
+    b[1, 4] = 99
+    b[2] = 99
+    b[3, 3:] = 99
+    b[3, 9:10] = a[3, 9:10]  # a chance word beyond the end
+    b[4, ::2] = 99
+    assert P.extension(a == b).tolist() == [7, 25, 0, 3, 0]
