@@ -54,7 +54,7 @@ WORDS, REACH, GAP = 25, 25, 15
 BANDS, ROWS = 6, 3
 SPAN = WORDS + 2 * REACH  # words of a paragraph and around it
 _U = np.uint64
-_cache = worker_cache(WordHashes())
+_cache = worker_cache(WordHashes(500_000))
 
 
 def permuted(grams: np.ndarray, n: int) -> np.ndarray:
@@ -208,20 +208,11 @@ def compared(pairs: DataFrame, bodies: DataFrame, most: int, share: int = 5000)
 
 
 def _joining_links(t: pa.Table, most: int) -> pa.Table:
-    """Links between components of a block (or two) of a bucket's paragraphs,
-    those only that join components anew."""
-    own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    """Links between components of some buckets' paragraphs (or of two blocks
+    of one bucket), those only that join components anew."""
+    bucket, own, i, j = t.column("bucket").to_numpy(), t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
     digest, comp = t.column("digest").to_numpy(), t.column("comp").to_numpy()
-    words = np.unique(_matrix(t.column("body"), np.uint64, WORDS), return_inverse=True)[1].reshape(-1, WORDS)
-    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    # so few edits leave most words of one in the other
-    held = np.zeros((int(words.max()) + 1, len(right)), np.uint8)
-    held[words[right].ravel(), np.repeat(np.arange(len(right)), WORDS)] = 1
-    shared = np.zeros((len(left), len(right)), np.uint8)
-    for k in range(WORDS):
-        shared += held[words[left, k]]
-    x, y = np.nonzero((shared >= WORDS - most) & (comp[left][:, None] != comp[right][None, :]) & ((i != j) | (left[:, None] < right[None, :])))
-    x, y = left[x], right[y]
+    words = _matrix(t.column("body"), np.uint64, WORDS)
     out, root = [], {c: c for c in comp.tolist()}
 
     def find(c):
@@ -229,14 +220,34 @@ def _joining_links(t: pa.Table, most: int) -> pa.Table:
             root[c] = c = root[root[c]]
         return c
 
-    for k in range(0, len(x), 50_000):
-        a, b = x[k:k + 50_000], y[k:k + 50_000]
-        near = word_edits(words[a], words[b], most) <= most
-        for p, q in zip(a[near].tolist(), b[near].tolist()):
-            u, v = find(comp[p]), find(comp[q])
-            if u != v:
-                root[u] = v
-                out.append((int(digest[p]), int(digest[q])))
+    def join(x, y):
+        other = comp[x] != comp[y]
+        x, y = x[other], y[other]
+        for k in range(0, len(x), 50_000):
+            a, b = x[k:k + 50_000], y[k:k + 50_000]
+            near = word_edits(words[a], words[b], most) <= most
+            for p, q in zip(a[near].tolist(), b[near].tolist()):
+                u, v = find(comp[p]), find(comp[q])
+                if u != v:
+                    root[u] = v
+                    out.append((int(digest[p]), int(digest[q])))
+
+    if i != j:
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        join(np.repeat(left, len(right)), np.tile(right, len(left)))
+    else:
+        order = np.argsort(bucket, kind="stable")
+        some: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+        for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            x, y = np.triu_indices(len(rows), 1)
+            some.append((rows[x], rows[y]))
+            held += len(x)
+            if held > 50_000:
+                join(*(np.concatenate(c) for c in zip(*some)))
+                some, held = [], 0
+        if some:
+            join(*(np.concatenate(c) for c in zip(*some)))
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
@@ -247,12 +258,14 @@ def links(spark: SparkSession, held: DataFrame, bodies: DataFrame, most: int, bl
     placed = (held.where("digest <> head").join(part.withColumnRenamed("node", "kn"), F.col("digest") == F.col("kn"), "left")
               .select("bucket", "digest", F.coalesce("component", "digest").alias("comp")))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("c1 < c2")
-    open_ = placed.join(mixed.select(F.col("bucket").alias("k"), "blocks"), F.col("bucket") == F.col("k"))
+    open_ = cut(spark, placed.join(mixed.select(F.col("bucket").alias("k"), "blocks"), F.col("bucket") == F.col("k")), "open")
+    # buckets of one block share tasks, some 2,000 rows each; a larger one has its own
+    shard = F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(F.pmod(F.xxhash64("bucket"), F.lit(open_.count() // 2000 + 1)))
     dealt = (open_.join(bodies.withColumnRenamed("digest", "kd"), F.col("digest") == F.col("kd"))
              .withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "comp", "body"))
-    more = dealt.groupBy("bucket", "i", "j").applyInArrow(lambda t: _joining_links(t, most), "a long, b long").distinct()
+             .select("bucket", shard.alias("shard"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "comp", "body"))
+    more = dealt.groupBy("shard", "i", "j").applyInArrow(lambda t: _joining_links(t, most), "a long, b long").distinct()
     return part.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
 
 
@@ -342,10 +355,10 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     located = cut(spark, IdBitmap(spark, chosen.select("k")).rows(places, "digest", among=True).join(chosen, F.col("digest") == F.col("k"))
                   .select("id", "start", "digest", "cluster", (F.col("id") == F.col("least")).alias("kept")), "located")
 
-    # 4: outer paragraphs and what they are compared with
-    order = W.partitionBy("id").orderBy("start")
-    beside = cut(spark, located.distinct().select("*", F.lag("start").over(order).alias("before"), F.lead("start").over(order).alias("after"),
-                                                  F.lag("cluster").over(order).alias("previous")), "beside")
+    # 4: outer paragraphs of what stays and of what goes, and what they are compared with
+    order, own = W.partitionBy("id").orderBy("start"), W.partitionBy("id", "kept").orderBy("start")
+    beside = cut(spark, located.distinct().select("*", F.lag("start").over(order).alias("near"), F.lag("cluster").over(order).alias("previous"),
+                                                  F.lag("start").over(own).alias("before"), F.lead("start").over(own).alias("after")), "beside")
     spent(located)
     outer = F.expr(f"before is null or start - before > {WORDS} or after is null or after - start > {WORDS}")
     ends = beside.groupBy(F.col("cluster").alias("kc")).agg(*(f(F.struct("id", "start", "digest")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))))
@@ -365,7 +378,7 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     spent(faced, needed, contexts)
 
     # 5: passages
-    passage = cut(spark, components(spark, beside.where(f"start - before < {WORDS}").select(F.col("previous").alias("a"), F.col("cluster").alias("b")).distinct()), "passages")
+    passage = cut(spark, components(spark, beside.where(f"start - near < {WORDS}").select(F.col("previous").alias("a"), F.col("cluster").alias("b")).distinct()), "passages")
     spans = longer.union(whole.select("id", F.col("start").cast("long"), (F.col("start") + WORDS).cast("long").alias("end"), "cluster", "kept"))
 
     order = W.partitionBy("id", "kept").orderBy("start", "end")
@@ -374,5 +387,8 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
               .withColumn("n", F.sum(F.when(F.col("before").isNull() | (F.col("start") > F.col("before") + gap), 1).otherwise(0)).over(order)))
     stretches = marked.groupBy("id", "kept", "n").agg(F.min("start").alias("first_word"), (F.max("end") - 1).alias("last_word"), F.sum("fresh").cast("long").alias("n_words"),
                                                       F.min("cluster").alias("cluster"))
-    return (stretches.join(passage.withColumnRenamed("node", "kn"), F.col("cluster") == F.col("kn"), "left")
+    # what goes anyway isn't reported as staying too
+    gone = F.max(F.when(~F.col("kept"), F.col("last_word"))).over(W.partitionBy("id").orderBy("first_word").rangeBetween(W.unboundedPreceding, W.currentRow))
+    left = stretches.withColumn("gone", gone).where(~F.col("kept") | F.col("gone").isNull() | (F.col("gone") < F.col("last_word")))
+    return (left.join(passage.withColumnRenamed("node", "kn"), F.col("cluster") == F.col("kn"), "left")
             .select(F.col("id").alias(id_col), "first_word", "last_word", "n_words", F.coalesce("component", "cluster").alias("cluster_id"), "kept"))

@@ -175,7 +175,7 @@ def test_blocks_give_the_links_that_join_components():
     for row in words[1:]:
         row[rng.integers(P.WORDS, size=2)] = rng.integers(1, 1 << 60, 2)
     n = len(words)
-    table = pa.table({"i": [0] * n, "j": [0] * n, "own": pa.array([0] * n, pa.int32()), "digest": pa.array(range(n), pa.int64()), "comp": pa.array(range(n), pa.int64()),
+    table = pa.table({"i": [0] * n, "j": [0] * n, "bucket": pa.array([5] * n, pa.int64()), "own": pa.array([0] * n, pa.int32()), "digest": pa.array(range(n), pa.int64()), "comp": pa.array(range(n), pa.int64()),
                       "body": P._binary(words)})
     got = P._joining_links(table, 5).to_pydict()
     assert len(got["a"]) == n - 6 and all(a // 8 == b // 8 for a, b in zip(got["a"], got["b"]))
