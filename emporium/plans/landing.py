@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.plans.gold import derived_columns
 from emporium.plans.silver import silver_orders
 from emporium.sources import ingest as I
 from emporium.sources.bronze import bronze, entity_columns
@@ -63,13 +64,14 @@ def window_slice(spark: SparkSession, sf: str, orders: DataFrame) -> DataFrame:
 def clustered_layout(spark: SparkSession, sf: str, fact: DataFrame) -> DataFrame:
     """M8: the order fact clustered on (date key, customer) and read back."""
     out = workdir(spark, "clustered") + "/fact_orders"
-    return I.cluster(fact, ["order_date_key", "customer_id"], out).select(*fact.columns)
+    return I.cluster(fact, ["order_date_key", "customer_id"], out, derived=derived_columns("fact_orders")).select(*fact.columns)
 
 
 def zordered_layout(spark: SparkSession, fact: DataFrame) -> DataFrame:
     """M8: the stored order fact along the Z-curve of (date key, customer), its
     monthly files compacted."""
-    return I.zorder(fact, ["order_date_key", "customer_id"], workdir(spark, "zordered") + "/fact_orders")
+    return I.zorder(fact, ["order_date_key", "customer_id"], workdir(spark, "zordered") + "/fact_orders",
+                    derived=derived_columns("fact_orders"))
 
 
 def revenue_last_year(fact: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.sources.warehouse import Derived, from_stored, to_stored
+
 # CSV dialect of the landing zone: comma, header row, '"' quote, '\' escape.
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": "\\"}
 
@@ -111,13 +113,16 @@ def backfill(df: DataFrame, ts_col: str, unit: str, out: str, key: str,
            .partitionBy(window_col).parquet(out))
 
 
-def cluster(df: DataFrame, keys: list[str], out: str, files: int | None = None) -> DataFrame:
+def cluster(df: DataFrame, keys: list[str], out: str, files: int | None = None, derived: Derived | None = None) -> DataFrame:
     """Z-order-like layout: range partitioning on the keys (sampled bounds,
     so a heavy key range is split by the following keys) and a sort inside
-    each file; returns a scan of the written table."""
+    each file; returns a scan of the written table. ``derived`` columns are
+    neither exchanged nor written but computed by that scan."""
     n = files or df.sparkSession.sparkContext.defaultParallelism
-    df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(out)
-    return df.sparkSession.read.parquet(out)
+    kept = to_stored(df, derived)
+    (kept.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+         .write.mode("overwrite").option("compression", "zstd").parquet(out))
+    return from_stored(df.sparkSession.read.parquet(out), df.columns, derived)
 
 
 Z_BITS = 6           # of each column: 64 ranges by rank
@@ -161,17 +166,20 @@ def z_key(ranks: list[Column], bits: int = Z_BITS) -> Column:
     return key
 
 
-def zorder(df: DataFrame, columns: list[str], out: str, target_bytes: int = 128 << 20) -> DataFrame:
+def zorder(df: DataFrame, columns: list[str], out: str, target_bytes: int = 128 << 20,
+           derived: Derived | None = None) -> DataFrame:
     """M8: a stored table rewritten along the Z-curve of some columns, its
     files merged (or split) to about ``target_bytes``; returns a scan of the
     new table. Every file covers a small box of all columns, where a plain
-    sort narrows the first one only."""
+    sort narrows the first one only. ``derived`` columns are neither exchanged
+    nor written but computed by that scan."""
     files = max(1, -(-stored_bytes(df) // target_bytes))
     tie = F.xxhash64(*columns)  # rows of one cell can be split over files
-    keyed = df.withColumn("_z", z_key(_ranks(df, columns))).withColumn("_t", tie)
+    kept = to_stored(df, derived)
+    keyed = kept.withColumn("_z", z_key(_ranks(df, columns))).withColumn("_t", tie)
     (keyed.repartitionByRange(files, "_z", "_t").sortWithinPartitions("_z", *columns).drop("_z", "_t")
-          .write.mode("overwrite").parquet(out))
-    return df.sparkSession.read.schema(df.schema).parquet(out).select(*df.columns)
+          .write.mode("overwrite").option("compression", "zstd").parquet(out))
+    return from_stored(df.sparkSession.read.schema(kept.schema).parquet(out), df.columns, derived)
 
 
 def file_ranges(df: DataFrame, key: str) -> DataFrame:
