@@ -280,7 +280,7 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     texts = cut(spark, of_text.withColumn("rep", F.monotonically_increasing_id()), "texts")
     member = cut(spark, sketches.select("id", "digest").distinct().join(texts.select("digest", "rep", "least"), "digest"), "members")
     spent(sketches)
-    several = member.groupBy("id").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1").select(F.col("id").alias("k"), "first")
+    several = cut(spark, member.groupBy("id").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1").select(F.col("id").alias("k"), "first"), "several")
 
     # 2: within each bucket, all against the smallest
     entry = texts.select("rep", F.explode("bands").alias("bucket")).distinct()
@@ -297,7 +297,9 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     by_id = (thin.join(sole, F.col("id") == F.col("kl")).groupBy("id").agg(F.min("text").alias("text"), F.first("rep").alias("rep"))
              .select(F.col("rep").alias("id"), "text"))
     rest = wanted.join(several, F.col("least") == F.col("k"), "left_semi").select(F.col("digest").alias("kd"), "rep")
-    by_digest = (digested(named.join(several, F.col("id") == F.col("k"), "left_semi")).join(rest, F.col("digest") == F.col("kd"))
+    # ids of several texts are few: no other document meets them in an exchange
+    repeated = IdBitmap(spark, several.select("k")).rows(named, "id", among=True).join(several, F.col("id") == F.col("k"), "left_semi")
+    by_digest = (digested(repeated).join(rest, F.col("digest") == F.col("kd"))
                  .groupBy("rep").agg(F.min("text").alias("text")).select(F.col("rep").alias("id"), "text"))
     chosen = cut(spark, by_id.union(by_digest), "candidates")
     spent(wanted)

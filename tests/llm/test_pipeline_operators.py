@@ -111,6 +111,22 @@ def test_near_duplicates_equal_brute_force(spark):
     assert any(i != c for i, c in want.items())
 
 
+def test_no_text_is_exchanged_for_ids_of_one_text(spark, monkeypatch):
+    """Both scans of the texts pass a bitmap of the ids they are looked for by, whatever may be broadcast."""
+    plans = {}
+    real = bag_minhash.cut
+
+    def cut(spark, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(spark, df, name)
+    monkeypatch.setattr(bag_minhash, "cut", cut)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, "other words " * 9), (3, " ".join(words[1:]))]
+    got = {tuple(r) for r in bag_minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False)}
+    assert plans["candidates"].count("getbit") >= 2
+
+
 def test_signature_is_unbiased():
     rng = np.random.default_rng(0)
     for scale in (1, 40):
