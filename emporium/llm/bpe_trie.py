@@ -37,8 +37,8 @@ PLAIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 PLAIN_TEXT = re.compile(rf"[{PLAIN_LETTERS}0-9\t\n\r !-/:-@\[-`{{-~¡¿«»©·–—‘’“”]*")
 PLAIN_PATTERN = re.compile(rf" ?[{PLAIN_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+"
                            rf"| ?[^\s{PLAIN_LETTERS}0-9]+|\s+(?!\S)|\s+")
-WORD_CACHE = 500_000
-PAIR_CACHE = 1_000_000
+WORD_CACHE = 250_000
+PAIR_CACHE = 400_000
 
 
 def byte_characters() -> dict[str, int]:
