@@ -23,11 +23,12 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import importable, keep_only, worker_cache
+from emporium.llm.common import chunked, importable, keep_only, worker_cache
 
 #: Fixed value: the pre-tokenization pattern of byte-level vocabularies.
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -37,7 +38,7 @@ PLAIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 PLAIN_TEXT = re.compile(rf"[{PLAIN_LETTERS}0-9\t\n\r !-/:-@\[-`{{-~¡¿«»©·–—‘’“”]*")
 PLAIN_PATTERN = re.compile(rf" ?[{PLAIN_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+"
                            rf"| ?[^\s{PLAIN_LETTERS}0-9]+|\s+(?!\S)|\s+")
-WORD_CACHE = 250_000
+WORD_CACHE = 150_000
 PAIR_CACHE = 400_000
 
 
@@ -210,7 +211,7 @@ def _spec(df: DataFrame, tokenizer_path: str):
 
 
 def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-           batch_chars: int = 2_000_000) -> DataFrame:
+           batch_chars: int = 500_000) -> DataFrame:
     """(id, ids array<int>) for every row."""
     spec = _spec(df, tokenizer_path)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -246,7 +247,7 @@ def decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col:
 
 
 def encode_digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   batch_chars: int = 2_000_000) -> DataFrame:
+                   batch_chars: int = 500_000) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): encodes, digests the ids,
     decodes these ids and digests the decoded text, in one pass."""
     spec = _spec(df, tokenizer_path)
@@ -271,9 +272,7 @@ def encode_digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 
 def _groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Slices of the batches of ``limit`` characters or so."""
-    from emporium.llm.common import chunked
+    """Slices of the batches of ``limit`` bytes or so: only theirs are Python strings."""
     for b in batches:
-        texts = b.column(1).to_pylist()
-        for i, j in chunked(list(map(len, texts)), limit):
-            yield b.column(0).slice(i, j - i), texts[i:j]
+        for i, j in chunked(pc.binary_length(b.column(1)).to_pylist(), limit):
+            yield b.column(0).slice(i, j - i), b.column(1).slice(i, j - i).to_pylist()

@@ -2,6 +2,7 @@ import hashlib
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,3 +61,12 @@ def test_nulls_ties_empty_tables_and_other_columns(spark):
     assert bpe_trie.encode_digests(df.limit(0), PATH).count() == 0
     back = bpe_trie.decode(bpe_trie.encode(df, PATH), PATH)
     assert sorted(r.text for r in back.collect()) == ["", "", "", "a b"]
+
+
+def test_a_batch_is_read_in_small_slices():
+    """A task holds the strings of one slice, and bounded caches, not a whole batch (the pipeline's executor memory)."""
+    texts = ["ü" * 300, "", "x" * 2000, "y" * 10, "z" * 10]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["id", "text"])
+    got = [(ids.to_pylist(), t) for ids, t in bpe_trie._groups(iter([batch]), 700)]
+    assert got == [([0, 1], texts[:2]), ([2], texts[2:3]), ([3, 4], texts[3:])]
+    assert bpe_trie.WORD_CACHE <= 150_000 and bpe_trie.PAIR_CACHE <= 400_000
