@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -362,3 +363,21 @@ def test_each_text_of_a_repeated_id_is_compared(spark):
     got = sorted((r.doc_id, r.class_id, r.kept) for r in bag_minhash.near_duplicates(spark, df).collect())
     assert got == [(3, 3, True), (5, 5, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False)]
     assert sorted(r.doc_id for r in bag_minhash.drop_copies(spark, df).collect()) == [3, 5]
+
+
+def test_a_batch_holds_few_megabytes_of_text(spark):
+    from emporium.llm import common as C
+
+    was = spark.conf.get(C._BATCH_KEY, None)
+    sizes = lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in it)
+    texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('abcd', 1000) as text")
+    try:
+        spark.conf.set(C._BATCH_KEY, C._BATCH_DEFAULT)
+        C.importable(spark)
+        got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) > 16_000_000 and max(got) < 1.2 * C.BATCH_BYTES
+        spark.conf.set(C._BATCH_KEY, "1000000")  # a session's own setting stays
+        C.importable(spark)
+        assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) < 1_200_000
+    finally:
+        spark.conf.set(C._BATCH_KEY, was) if was else spark.conf.unset(C._BATCH_KEY)
