@@ -38,6 +38,7 @@ document; an empty table gives none; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,7 @@ from emporium.llm.components import components
 SHINGLE, THRESHOLD = 5, 0.8
 WORDS, REACH, GAP = 25, 25, 15
 BANDS, ROWS = 6, 3
+SLICE = 2  # bands whose entries are exchanged at once
 SPAN = WORDS + 2 * REACH  # words of a paragraph and around it
 _U = np.uint64
 _cache = worker_cache(WordHashes(500_000))
@@ -321,6 +323,19 @@ def _place() -> Column:
     return F.xxhash64("id", "start", "digest")
 
 
+def in_buckets(spark: SparkSession, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """(bucket, digest, lo, head) of the paragraphs in the buckets of some bands
+    that hold several, not all begun in one document; head is the smallest."""
+    entry = keyed.select("digest", "lo", F.explode(F.array(*keys)).alias("bucket"))
+    # paragraphs that all begin in one document need no link
+    heads = cut(spark, entry.groupBy("bucket").agg(F.min("digest").alias("head"), F.max("digest").alias("top"), F.min("lo").alias("l1"), F.max("lo").alias("l2"))
+                .where("head < top and l1 < l2").select(F.col("bucket").alias("k"), "head"), "heads")
+    out = cut(spark, IdBitmap(spark, heads.select("k")).rows(entry, "bucket", among=True).join(heads, F.col("bucket") == F.col("k"))
+              .select("bucket", "digest", "lo", "head"), "held")
+    spent(heads)
+    return out
+
+
 def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, gap: int = GAP) -> DataFrame:
     """(id, first_word, last_word, n_words, cluster_id, kept); see the module."""
     most = int((1 - threshold) * WORDS + 1e-9)
@@ -329,13 +344,12 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     # 1: distinct paragraphs and their buckets
     keys = [f"k{b}" for b in range(BANDS)]
     rows = of_documents(docs, lambda p: [p.digests(), *p.band_keys()], ", ".join(f"{c} long" for c in ["digest", *keys]))
-    distinct = cut(spark, rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *(F.min(k).alias(k) for k in keys)), "paragraphs")
-    entry = distinct.select("digest", "lo", F.explode(F.array(*keys)).alias("bucket"))
-    # paragraphs that all begin in one document need no link
-    heads = cut(spark, entry.groupBy("bucket").agg(F.min("digest").alias("head"), F.max("digest").alias("top"), F.min("lo").alias("l1"), F.max("lo").alias("l2"))
-                .where("head < top and l1 < l2").select(F.col("bucket").alias("k"), "head"), "heads")
-    held = cut(spark, IdBitmap(spark, heads.select("k")).rows(entry, "bucket", among=True).join(heads, F.col("bucket") == F.col("k"))
-               .select("bucket", "digest", "lo", "head"), "buckets")
+    keyed = cut(spark, rows.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *(F.min(k).alias(k) for k in keys)), "keyed")
+    # a bucket is one band's: some bands at a time are exchanged
+    slices = [in_buckets(spark, keyed, keys[i:i + SLICE]) for i in range(0, BANDS, SLICE)]
+    held = reduce(DataFrame.union, slices)
+    distinct = cut(spark, keyed.select("digest", "lo", "hi"), "paragraphs")
+    spent(keyed)
 
     # 2: their words, from the first document that has them
     wanted = cut(spark, held.select(F.col("digest").alias("k"), "lo").distinct(), "wanted")
@@ -344,7 +358,7 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     bodies = cut(spark, IdBitmap(spark, wanted.select("k")).rows(written, "digest", among=True)
                  .join(wanted, (F.col("digest") == F.col("k")) & (F.col("id") == F.col("lo"))).groupBy("digest").agg(F.first("body").alias("body")), "bodies")
     part = cut(spark, components(spark, links(spark, held.drop("lo"), bodies, most)), "clusters")
-    spent(heads, held, wanted, bodies)
+    spent(*slices, wanted, bodies)
 
     # 3: clusters of two documents or more, and where they are
     of_cluster = distinct.join(part.withColumnRenamed("node", "kn"), F.col("digest") == F.col("kn"), "left").select("digest", "lo", "hi", F.coalesce("component", "digest").alias("cluster"))
