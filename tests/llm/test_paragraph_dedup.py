@@ -1,10 +1,12 @@
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 
 from emporium.llm import paragraph_dedup as P
+from emporium.llm.common import cut
 
 WORDS = [f"u{i}" for i in range(9000)]
 
@@ -191,3 +193,35 @@ def test_extension_ends_where_the_words_do():
     b[3, 9:10] = a[3, 9:10]  # a chance word beyond the end
     b[4, ::2] = 99
     assert P.extension(a == b).tolist() == [7, 25, 0, 3, 0]
+
+
+def test_buckets_of_band_slices_are_those_of_all_bands(spark):
+    rng = random.Random(3)
+    rows = [(d, rng.randrange(12), *(100 * b + rng.randrange(40) for b in range(P.BANDS))) for d in range(60)]
+    keys = [f"k{b}" for b in range(P.BANDS)]
+    keyed = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["digest", "lo", *keys]))
+    got = [tuple(r) for i in range(0, P.BANDS, P.SLICE) for r in P.in_buckets(spark, keyed, keys[i:i + P.SLICE]).collect()]
+    members = defaultdict(list)
+    for d, lo, *ks in rows:
+        for k in ks:
+            members[k].append((d, lo))
+    want = [(k, d, lo, min(m)[0]) for k, m in members.items() if len({x for _, x in m}) > 1 for d, lo in m]
+    assert sorted(got) == sorted(want)
+
+
+def test_what_was_exchanged_for_a_table_goes_from_disk(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanged():
+        files = manager.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = exchanged(), spark.conf.get(key)
+    out = cut(spark, spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "some")
+    until = time.time() + 20
+    while exchanged() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not exchanged() - before
+    assert sum(r["count"] for r in out.collect()) == 1000
+    assert spark.conf.get(key) == was
