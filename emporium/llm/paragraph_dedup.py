@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from emporium.llm.common import IdBitmap, WordHashes, chunked, cut, importable, keep_only, mix64, shingles, spent, word_hashes, worker_cache
+from emporium.llm.common import IdBitmap, WordHashes, chunked, cut, importable, keep_only, mix64, shingles, spent, text_hashes, worker_cache
 from emporium.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -158,8 +158,8 @@ def of_documents(docs: DataFrame, columns, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_only(_cache)
         for b in batches:
-            for i, j in chunked((pc.binary_length(b.column(1)).to_numpy() // 6).tolist(), 100_000):
-                found = Paragraphs([word_hashes(t, _cache) for t in b.column(1).slice(i, j - i).to_pylist()])
+            for i, j in chunked((pc.binary_length(b.column(1)).to_numpy() // 6).tolist(), 40_000):
+                found = Paragraphs(text_hashes(b.column(1).slice(i, j - i), _cache))
                 if len(found.at):
                     ids = b.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)[found.doc]
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c) for c in columns(found))], names=names)
@@ -275,8 +275,8 @@ def extension(same: np.ndarray) -> np.ndarray:
     """How far rows of words agree from their beginning on: to the farthest
     word that ends three equal ones (or equals from the first on) while four of
     five words are equal. 0 is no word."""
-    reach = np.arange(1, same.shape[1] + 1)
-    total = same.cumsum(1)
+    reach = np.arange(1, same.shape[1] + 1, dtype=np.int16)
+    total = same.cumsum(1, dtype=np.int16)
     three = same.copy()
     three[:, 1:] &= same[:, :-1]
     three[:, 2:] &= same[:, :-2]
@@ -288,18 +288,19 @@ def first_equal(x: np.ndarray, y: np.ndarray, most: int = 5) -> np.ndarray:
     """Where in contexts ``x`` the words begin that ``y`` has too: from the first
     three equal words of the paragraph (words put in or left out may have moved
     them by ``most``) as far before it as they extend."""
-    n = len(x)
-    best = np.full(n, SPAN)
+    best = np.full(len(x), SPAN)
     back = np.arange(1, REACH + WORDS + 1)
     for shift in range(-most, most + 1):
-        moved = np.zeros_like(y)
-        moved[:, max(0, -shift):SPAN - max(0, shift)] = y[:, max(0, shift):SPAN - max(0, -shift)]
-        same = (x == moved) & (x != 0)
+        same = np.zeros(x.shape, bool)
+        here, there = slice(max(0, -shift), SPAN - max(0, shift)), slice(max(0, shift), SPAN - max(0, -shift))
+        same[:, here] = x[:, here] == y[:, there]
+        same &= x != 0
         three = (same[:, :-2] & same[:, 1:-1] & same[:, 2:])[:, REACH:REACH + WORDS - 2]
-        at = REACH + three.argmax(1)
+        rows = np.flatnonzero(three.any(1))  # few, but for one shift
+        at = REACH + three[rows].argmax(1)
         before = at[:, None] - back
-        begin = at - extension((before >= 0) & np.take_along_axis(same, np.maximum(before, 0), 1))
-        best = np.where(three.any(1), np.minimum(best, begin), best)
+        begin = at - extension((before >= 0) & same[rows[:, None], np.maximum(before, 0)])
+        best[rows] = np.minimum(best[rows], begin)
     return np.where(best < SPAN, best, REACH)
 
 
@@ -328,8 +329,8 @@ def in_buckets(spark: SparkSession, keyed: DataFrame, keys: list[str]) -> DataFr
     that hold several, not all begun in one document; head is the smallest."""
     entry = keyed.select("digest", "lo", F.explode(F.array(*keys)).alias("bucket"))
     # paragraphs that all begin in one document need no link
-    heads = cut(spark, entry.groupBy("bucket").agg(F.min("digest").alias("head"), F.max("digest").alias("top"), F.min("lo").alias("l1"), F.max("lo").alias("l2"))
-                .where("head < top and l1 < l2").select(F.col("bucket").alias("k"), "head"), "heads")
+    heads = cut(spark, entry.groupBy("bucket").agg(F.min("digest").alias("head"), F.min("lo").alias("l1"), F.max("lo").alias("l2"))
+                .where("l1 < l2").select(F.col("bucket").alias("k"), "head"), "heads")
     out = cut(spark, IdBitmap(spark, heads.select("k")).rows(entry, "bucket", among=True).join(heads, F.col("bucket") == F.col("k"))
               .select("bucket", "digest", "lo", "head"), "held")
     spent(heads)
@@ -348,7 +349,7 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     # a bucket is one band's: some bands at a time are exchanged
     slices = [in_buckets(spark, keyed, keys[i:i + SLICE]) for i in range(0, BANDS, SLICE)]
     held = reduce(DataFrame.union, slices)
-    distinct = cut(spark, keyed.select("digest", "lo", "hi"), "paragraphs")
+    copied = cut(spark, keyed.where("lo < hi").select("digest", "lo", "hi"), "copied")
     spent(keyed)
 
     # 2: their words, from the first document that has them
@@ -357,29 +358,31 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     written = of_documents(holders, lambda p: [p.digests(), p.bodies()], "digest long, body binary")
     bodies = cut(spark, IdBitmap(spark, wanted.select("k")).rows(written, "digest", among=True)
                  .join(wanted, (F.col("digest") == F.col("k")) & (F.col("id") == F.col("lo"))).groupBy("digest").agg(F.first("body").alias("body")), "bodies")
-    part = cut(spark, components(spark, links(spark, held.drop("lo"), bodies, most)), "clusters")
-    spent(*slices, wanted, bodies)
+    part = components(spark, links(spark, held.drop("lo"), bodies, most))
+    spent(*slices, bodies)
 
-    # 3: clusters of two documents or more, and where they are
-    of_cluster = distinct.join(part.withColumnRenamed("node", "kn"), F.col("digest") == F.col("kn"), "left").select("digest", "lo", "hi", F.coalesce("component", "digest").alias("cluster"))
+    # 3: clusters of two documents or more, and where they are; a paragraph without links is one if equal ones are
+    ranges = wanted.select(F.col("k").alias("digest"), "lo", F.col("lo").alias("hi")).union(copied)
+    of_cluster = (ranges.join(part, F.col("digest") == F.col("node"), "left").where("component is not null or lo < hi")
+                  .select("digest", F.coalesce("component", "digest").alias("cluster"), "lo", "hi"))
     shared = of_cluster.groupBy("cluster").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").select(F.col("cluster").alias("kc"), "least")
-    chosen = cut(spark, of_cluster.join(shared, F.col("cluster") == F.col("kc")).select(F.col("digest").alias("k"), "cluster", "least"), "chosen")
-    spent(distinct, part)
+    chosen = cut(spark, of_cluster.select("digest", "cluster").distinct().join(shared, F.col("cluster") == F.col("kc")).select(F.col("digest").alias("k"), "cluster", "least"), "chosen")
+    spent(copied, wanted, part)
     places = of_documents(docs, lambda p: [p.start.astype(np.int32), p.digests()], "start int, digest long")
-    located = cut(spark, IdBitmap(spark, chosen.select("k")).rows(places, "digest", among=True).join(chosen, F.col("digest") == F.col("k"))
-                  .select("id", "start", "digest", "cluster", (F.col("id") == F.col("least")).alias("kept")), "located")
+    located = (IdBitmap(spark, chosen.select("k")).rows(places, "digest", among=True).join(chosen, F.col("digest") == F.col("k"))
+               .select("id", "start", "digest", "cluster", (F.col("id") == F.col("least")).alias("kept")))
 
     # 4: outer paragraphs of what stays and of what goes, and what they are compared with
     order, own = W.partitionBy("id").orderBy("start"), W.partitionBy("id", "kept").orderBy("start")
-    beside = cut(spark, located.distinct().select("*", F.lag("start").over(order).alias("near"), F.lag("cluster").over(order).alias("previous"),
+    # a document's rows are exchanged once, to be made distinct and put in order
+    beside = cut(spark, located.repartition("id").distinct().select("*", F.lag("start").over(order).alias("near"), F.lag("cluster").over(order).alias("previous"),
                                                   F.lag("start").over(own).alias("before"), F.lead("start").over(own).alias("after")), "beside")
-    spent(located)
     outer = F.expr(f"before is null or start - before > {WORDS} or after is null or after - start > {WORDS}")
-    ends = beside.groupBy(F.col("cluster").alias("kc")).agg(*(f(F.struct("id", "start", "digest")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))))
-    faced = cut(spark, beside.join(ends, F.col("cluster") == F.col("kc")).withColumn("o", F.when(F.col("kept"), F.col("last")).otherwise(F.col("first")))
-                .where(outer | (F.col("digest") != F.col("o.digest")))
-                .select("id", "start", "digest", "cluster", "kept", *(F.col(f"o.{c}").alias(f"o_{c}") for c in ("id", "start", "digest"))), "edges")
-    whole = cut(spark, beside.join(faced.select("id", "start", "digest"), ["id", "start", "digest"], "left_anti"), "whole")
+    ends = cut(spark, beside.groupBy(F.col("cluster").alias("kc")).agg(*(f(F.struct("id", "start", "digest")).alias(n) for f, n in ((F.min, "first"), (F.max, "last")))), "ends")
+    edges = cut(spark, beside.join(ends, F.col("cluster") == F.col("kc")).withColumn("o", F.when(F.col("kept"), F.col("last")).otherwise(F.col("first")))
+                .select("id", "start", "digest", "cluster", "kept", (outer | (F.col("digest") != F.col("o.digest"))).alias("faces"), *(F.col(f"o.{c}").alias(f"o_{c}") for c in ("id", "start", "digest"))), "edges")
+    spent(ends)
+    faced, whole = edges.where("faces"), edges.where("not faces")
     needed = cut(spark, faced.select("id", "start", "digest").union(faced.select("o_id", "o_start", "o_digest")).select("id", _place().alias("place")).distinct(), "needed")
     around = of_documents(IdBitmap(spark, needed.select("id").distinct()).rows(docs, "id", among=True),
                           lambda p: [p.start.astype(np.int32), p.digests(), p.contexts()], "start int, digest long, context binary")
@@ -389,10 +392,10 @@ def repeated(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_co
     paired = (mine.join(contexts.withColumnRenamed("place", "kp"), F.col("p") == F.col("kp"))
               .join(contexts.select(F.col("place").alias("kq"), F.col("context").alias("other")), F.col("q") == F.col("kq")))
     longer = cut(spark, extended(paired, most), "longer")
-    spent(faced, needed, contexts)
+    spent(needed, contexts)
 
     # 5: passages
-    passage = cut(spark, components(spark, beside.where(f"start - near < {WORDS}").select(F.col("previous").alias("a"), F.col("cluster").alias("b")).distinct()), "passages")
+    passage = components(spark, beside.where(f"start - near < {WORDS}").select(F.col("previous").alias("a"), F.col("cluster").alias("b")))
     spans = longer.union(whole.select("id", F.col("start").cast("long"), (F.col("start") + WORDS).cast("long").alias("end"), "cluster", "kept"))
 
     order = W.partitionBy("id", "kept").orderBy("start", "end")

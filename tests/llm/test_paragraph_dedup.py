@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from emporium.llm import paragraph_dedup as P
-from emporium.llm.common import cut
+from emporium.llm.common import WordHashes, cut, text_hashes, word_hashes
 
 WORDS = [f"u{i}" for i in range(9000)]
 
@@ -225,3 +225,32 @@ def test_what_was_exchanged_for_a_table_goes_from_disk(spark):
     assert not exchanged() - before
     assert sum(r["count"] for r in out.collect()) == 1000
     assert spark.conf.get(key) == was
+
+
+def test_words_of_a_column_are_hashed_as_one_by_one():
+    """The same hashes, and short words of common letters take no turn through the cache."""
+    rng = random.Random(1)
+    alpha = "ÀÞß×÷ÿĀΩΣДжאÈéaZbQİ .,-!'“”—\t\n\x0b\x1c\x1f\x00\x85\u00a0\u2003\u3000日😀9"
+    texts = ["", None, " ", "!!!", " a ", "a\u00a0b", "A" * 31, "B" * 32, "C" * 33 + " d", "!" + "q" * 31 + "?", "Ω" * 15, "Ω" * 16, "ΑΣ ΑΣΑ", *("".join(rng.choices(alpha, k=rng.randrange(60))) for _ in range(3000)),
+             *("".join(rng.choices("abcXYZ019,.", k=k)) for k in range(50))]
+    column = pa.array(texts, pa.string())
+    want = [word_hashes(t, WordHashes()).tolist() for t in texts]
+    assert [h.tolist() for h in text_hashes(column, WordHashes())] == want
+    assert [h.tolist() for h in text_hashes(column.slice(7, 100), WordHashes())] == want[7:107]
+    assert text_hashes(column.slice(0, 0), WordHashes()) == [] and [len(h) for h in text_hashes(column.slice(0, 4), WordHashes())] == [0] * 4
+    cache = WordHashes()
+    text_hashes(pa.array(["Plain (words), déjà VU; Слова и ΛΟΓΟΙ. 12 3.5"] * 3), cache)
+    assert not cache
+    text_hashes(pa.array(["日本 \u201cso\u201d"]), cache)
+    assert set(cache) == {"日本", "\u201cso\u201d"}
+
+
+def test_a_linked_paragraph_belongs_to_the_cluster_of_its_copies(spark):
+    """A paragraph of one document that differs by a word from one in two others, and one equal in two documents alone."""
+    rng = random.Random(21)
+    p, q = flat(rng, 60), flat(rng, 60)
+    near = [*p[:30], "other", *p[31:]]
+    rows = [(1, [*flat(rng, 40), *p]), (2, [*p, *flat(rng, 40)]), (3, [*flat(rng, 20), *near]), (4, q), (5, [*flat(rng, 9), *q])]
+    got = {r.doc_id: r for r in P.repeated(spark, frame(spark, rows)).collect()}
+    assert {i: (r.first_word, r.last_word, r.kept) for i, r in got.items()} == {1: (40, 99, True), 2: (0, 59, False), 3: (20, 79, False), 4: (0, 59, True), 5: (9, 68, False)}
+    assert got[1].cluster_id == got[2].cluster_id == got[3].cluster_id != got[4].cluster_id == got[5].cluster_id

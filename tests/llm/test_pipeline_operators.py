@@ -162,6 +162,25 @@ def test_components(spark):
     assert got == {x: find(x) for x in list(parent)}
 
 
+def test_components_of_small_classes_take_few_steps(spark, monkeypatch):
+    """Classes around a node or two are done after a step or two; only long paths go through the stars."""
+    written = []
+    monkeypatch.setattr(components, "cut", lambda s, df, name, f=components.cut: written.append(name) or f(s, df, name))
+    rng = random.Random(8)
+    name = lambda x: (x * 0x9E3779B97F4A7C15 + 77) % (1 << 63)
+    links = [(name(10 * c + rng.randrange(k)), name(10 * c + k)) for c in range(300) for k in range(1, rng.randrange(2, 5))]
+    of = lambda rows: {r.node: r.component for r in components.components(spark, spark.createDataFrame(rows, "a long, b long")).collect()}
+    got = of(links)
+    classes = {}
+    for node in got:
+        classes.setdefault((node - 77) * pow(0x9E3779B97F4A7C15, -1, 1 << 63) % (1 << 63) // 10, set()).add(node)
+    assert len(classes) == 300 and all({got[n] for n in c} == {min(c)} for c in classes.values())
+    assert written.count("step") <= 3 and "large" not in written
+    written.clear()
+    assert of([(i, i + 1) for i in range(90)]) == {i: 0 for i in range(91)} and written.count("step") == 1 and "large" in written
+    assert of([(1, 1)]) == {}
+
+
 # decontamination
 
 def test_decontamination_equals_brute_force(spark):
