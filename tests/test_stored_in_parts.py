@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from emporium.operators import slices
 from emporium.operators.dedup import keep_first
 from emporium.operators.slices import SLICES, in_slices
 from emporium.plans import gold as G
@@ -16,6 +17,9 @@ from emporium.sources.bronze import entity_columns
 from emporium.sources.warehouse import Warehouse
 
 
+SF_SMALL = "/root/testdata/sf0.001"
+
+
 def _rows(df):
     return sorted(map(repr, df.collect()))
 
@@ -41,7 +45,9 @@ def _raw(spark):
 
 
 @pytest.fixture
-def golds(spark, tmp_path):
+def golds(spark, tmp_path, monkeypatch):
+    """Gold tables of which none is too small to be stored in slices."""
+    monkeypatch.setattr(slices, "PART_BYTES", 0)
     raw, n = _raw(spark), iter(range(99))
 
     def make(stored=True, **kw):
@@ -105,6 +111,18 @@ def test_large_tables_are_written_in_slices(golds, monkeypatch):
             assert sum(map(len, held)) == len(set().union(*held)) > 1, name
 
 
+def test_small_tables_are_written_whole(spark, tmp_path, monkeypatch):
+    parts = {}
+    real = Warehouse.persist
+
+    def persist(self, name, df, *args, **kw):
+        parts[name] = len(kw.get("parts") or [df])
+        return real(self, name, df, *args, **kw)
+    monkeypatch.setattr(Warehouse, "persist", persist)
+    Gold(spark, SF_SMALL, store=Warehouse(spark, str(tmp_path))).fact_order_items
+    assert set(parts.values()) == {1} and "gold/absent_item_keys" not in parts
+
+
 def test_one_slice_alone(spark):
     df = spark.createDataFrame([(k,) for k in (None, "a", "b", "c", "d", "e")] * 2, "k string")
     assert sorted(r for i in range(3) for r in _rows(in_slices(df, ["k"], 3, i))) == _rows(df)
